@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, packing, quality, simhash
+from . import bpe, covertree, langid, packing, quality, simhash
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_byte_bpe": bpe.op2_byte_bpe,
     "op3_packing": packing.op3_packing,
+    "op6_language_id": langid.op6_language_id,
+    "op8_embedding_near_dedup": covertree.op8_embedding_near_dedup,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
 }
 
