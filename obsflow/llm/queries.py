@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, covertree, langid, packing, quality, simhash
+from . import bpe, covertree, langid, lm, packing, quality, simhash
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_packing": packing.op3_packing,
     "op6_language_id": langid.op6_language_id,
     "op8_embedding_near_dedup": covertree.op8_embedding_near_dedup,
+    "op9_lm_scoring": lm.op9_lm_scoring,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
 }
 
