@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import bpe, covertree, langid, lm, packing, quality, simhash
+from . import bpe, covertree, langid, line_dedup, lm, packing, quality, simhash
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_byte_bpe": bpe.op2_byte_bpe,
     "op3_packing": packing.op3_packing,
+    "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_language_id": langid.op6_language_id,
     "op8_embedding_near_dedup": covertree.op8_embedding_near_dedup,
     "op9_lm_scoring": lm.op9_lm_scoring,
