@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from . import bpe, covertree, langid, line_dedup, lm, packing, quality, simhash
+from . import bpe, covertree, langid, licenses, line_dedup, lm, packing, quality, simhash, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_byte_bpe": bpe.op2_byte_bpe,
     "op3_packing": packing.op3_packing,
+    "op4_warc_revisits": warc.op4_warc_revisits,
     "op5_line_dedup": line_dedup.op5_line_dedup,
     "op6_language_id": langid.op6_language_id,
+    "op7_license_scan": licenses.op7_license_scan,
     "op8_embedding_near_dedup": covertree.op8_embedding_near_dedup,
     "op9_lm_scoring": lm.op9_lm_scoring,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_warc_revisits": warc.ORACLE,
+    "op7_license_scan": licenses.oracle(),
+}

@@ -163,6 +163,15 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def filter_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """The rows of ``df`` whose id is the smallest of their class, one row an
+    id, with all their columns; rows with a null id stay."""
+    kept = classes(df, id_col, text_col, shingle).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    first = df.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col])
+    stay = first.join(kept, first[id_col] == kept["_kept_id"], "left_semi")
+    return stay.unionByName(df.filter(F.col(id_col).isNull()))
+
+
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     got = classes(table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
