@@ -138,7 +138,10 @@ def filter_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     whole = F.struct(*[F.col(c) for c in df.columns])
     row = df.select(whole.alias("doc_id"), F.col(text_col).alias("text"))
-    return judge(measure(row)).filter("kept").select("doc_id.*")
+    # The row number keeps Catalyst from pushing the filter below the measures,
+    # which would repeat every expression that they share.
+    numbered = judge(measure(row)).withColumn("_nth", F.monotonically_increasing_id())
+    return numbered.filter("kept and _nth >= 0").select("doc_id.*")
 
 
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
