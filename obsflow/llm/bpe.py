@@ -31,7 +31,7 @@ from .cuts import CutEncoder
 
 LONG = 192
 #: Rows handled at a time; bounds a worker's memory.
-ROWS = 4096
+ROWS = 1024
 NONE = np.int32(1 << 30)
 
 
@@ -83,7 +83,6 @@ class Encoder:
         self.ranks = ranks
         self.pairs = PairTable(ranks)
         self.byte = np.array([ranks.get(bytes([k]), -1) for k in range(256)], np.int32)
-        self.tokens = {rank: token for token, rank in ranks.items()}
         self.encode = CutEncoder(pattern, lambda matches: [x.tobytes() for x in self.merge([m.encode() for m in matches])])
 
     def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
@@ -140,20 +139,22 @@ class Encoder:
                     heapq.heappush(heap, (r, left))
         return np.array([i for i in ids if i >= 0], np.int32)
 
-    def decode(self, ids: list[int]) -> bytes:
-        """The bytes of the ids; an id that the table lacks raises KeyError."""
-        return b"".join(map(self.tokens.__getitem__, ids))
-
 
 def read_ranks(path: str) -> dict[bytes, int]:
-    with open(path, "rb") as f:
+    with open(urlsplit(path).path if path.startswith("file:") else path, "rb") as f:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
 @cache
 def encoder(path: str, pattern: str) -> Encoder:
     """One a worker, of a rank file that every node has (it is installed)."""
-    return Encoder(read_ranks(urlsplit(path).path if path.startswith("file:") else path), pattern)
+    return Encoder(read_ranks(path), pattern)
+
+
+@cache
+def tokens(path: str) -> dict[int, bytes]:
+    """The bytes of each id; one a worker."""
+    return {rank: token for token, rank in read_ranks(path).items()}
 
 
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -172,14 +173,17 @@ def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
-def decode(df: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``encode``'s rows with decoded, the bytes of the ids; null ids: null."""
+def decode(df: DataFrame, path: str) -> DataFrame:
+    """``encode``'s rows with decoded, the bytes of the ids; null ids: null.  An
+    id that the table lacks is an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path, pattern)
-        for b in batches:
-            texts = [None if x is None else e.decode(x.values.to_numpy().tolist()) for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.binary())], names=["doc_id", "ids", "decoded"])
+        token = tokens(path).__getitem__
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                b = whole.slice(at, ROWS)
+                texts = [b"".join(map(token, x.values.to_numpy().tolist())) if x.is_valid else None for x in b.column(1)]
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.binary())], names=["doc_id", "ids", "decoded"])
 
     rows = df.select("doc_id", "ids")
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>, decoded binary")
@@ -189,7 +193,7 @@ def op2_byte_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers as P
 
     path = P.path("byte_bpe_multi_50k.tiktoken")
-    both = decode(encode(table(spark, sf_dir, "documents"), path, P.PATTERN), path, P.PATTERN)
+    both = decode(encode(table(spark, sf_dir, "documents"), path, P.PATTERN), path)
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Cuts and matches remembered in each of two generations; a bound on memory.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 class Recent:
