@@ -8,7 +8,8 @@ those of one length form one contiguous bucket, from which batches of equal
 shape can be read.
 
 The pieces are written once; only counts by (length, partition) are summed to
-number them, so no token is shuffled.
+number them, so tokens are shuffled only where those counts, 12 rows a
+partition, are too many to broadcast.
 
 Defined results: a null or empty text is the end id alone; repeated rows are
 packed one by one; other columns aren't read.
@@ -31,8 +32,10 @@ from .cuts import CutEncoder
 
 LONGEST = 2048
 END = 1
+#: Counts by (length, partition) up to this number are broadcast, 24 bytes each.
+BROADCAST_ROWS = 500_000
 #: Rows handled at a time; bounds a worker's memory.
-ROWS = 4096
+ROWS = 2048
 
 
 @cache
@@ -95,6 +98,9 @@ def pack(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_co
     by_length = counts.groupBy("length").agg(F.sum("n").alias("n"))
     shorter = by_length.withColumn("shorter", F.coalesce(F.sum("n").over(Window.orderBy("length").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     base = by_part.join(shorter.select("length", "shorter"), "length").select("length", "part", (F.col("before") + F.col("shorter")).alias("base"))
+    base = written(base, "sequence-bases")
+    if base.count() <= BROADCAST_ROWS:  # else both sides are shuffled
+        base = F.broadcast(base)
     return cut.join(base, ["length", "part"]).select("doc_id", "start", "length", "ids", "doc_tokens", (F.col("base") + F.col("nth")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
 
