@@ -1 +1 @@
-
+"""Column expressions and declarative feed descriptions."""

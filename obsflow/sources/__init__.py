@@ -1 +1 @@
-
+"""Readers, writers and the snapshot tables."""
