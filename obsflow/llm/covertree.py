@@ -222,3 +222,10 @@ def links(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", lab
 
 def op8_embedding_near_dedup(spark, sf_dir: str) -> DataFrame:
     return links(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+pairs AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(x, y) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.x, p.y FROM reach r JOIN pairs p ON p.x = r.y)
+SELECT vec_id, (SELECT count(*) FROM pairs p WHERE p.x = v.vec_id) AS n_links, c AS component_id, vec_id = c AS kept FROM v JOIN (SELECT x, min(y) AS c FROM reach GROUP BY 1) ON x = vec_id"""

@@ -146,3 +146,25 @@ def filter_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
     return judge(measure(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def oracle() -> str:
+    """The same as DuckDB SQL, the threshold table compiled likewise."""
+    held = []
+    for r in RULES:
+        den = "1.0::DOUBLE" if r.den is None else f"{r.den}::DOUBLE"
+        bounds = [f"{r.num}::DOUBLE >= {den} * {r.low}::DOUBLE"] * (r.low is not None) + [f"{r.num}::DOUBLE <= {den} * {r.high}::DOUBLE"] * (r.high is not None)
+        held.append(f"(({' AND '.join(bounds)}) OR n_words < {r.least_words} OR {den} = 0)")
+    stop = ", ".join("'" + w + "'" for w in dict.fromkeys(STOP_WORDS))
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, list_filter(string_split_regex(t, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS ws, list_filter(string_split(t, chr(10)), lambda x: trim(x, {white}) <> '') AS ls FROM d),
+win AS (SELECT doc_id, i, ws[i:i+4] AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM w)),
+rep AS (SELECT doc_id, count(DISTINCT i + o) AS r FROM (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM win) WHERE c > 1), (SELECT unnest(range(0, 5)) AS o) GROUP BY 1),
+m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(translate(t, {white}, ''))::BIGINT AS word_chars, (length(t) - length(translate(t, '{SYMBOLS}', '')))::BIGINT AS n_symbols,
+  (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(r, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines, len(list_filter(ws, lambda x: x IN ({stop})))::BIGINT AS n_stop_words,
+  len(regexp_extract_all(t, '!!'))::BIGINT AS n_shouts, len(list_filter(range(2, len(ws) + 1), lambda j: ws[j] = ws[j - 1]))::BIGINT AS n_adjacent,
+  len(list_filter(ls, lambda x: regexp_matches(x, '(\\.\\.\\.|…)[ \\t\\r]*$')))::BIGINT AS n_ellipsis_lines FROM w LEFT JOIN rep USING (doc_id)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND {" AND ".join(held)} AS kept FROM b"""

@@ -18,6 +18,8 @@ QUERIES = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_quality_rules": quality.oracle(),
     "op4_warc_revisits": warc.ORACLE,
     "op7_license_scan": licenses.oracle(),
+    "op8_embedding_near_dedup": covertree.ORACLE,
 }
