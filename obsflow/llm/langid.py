@@ -38,10 +38,11 @@ SMOOTH = 0.5
 SWITCH = 12.0
 #: A language writes in a script that holds at least this share of its letters.
 SCRIPT_SHARE = 0.01
-#: Score of a word for a language that doesn't write in its script.
+#: What a word's score for a language that doesn't write in its script is below
+#: the best of those that do.
 FOREIGN = -60.0
 #: Rows handled at a time; bounds a worker's memory.
-ROWS = 2048
+ROWS = 1024
 
 #: First code points of blocks and the script of their letters.
 SCRIPTS = (
@@ -124,7 +125,8 @@ class Model:
         g = grams(words)
         out = np.stack([np.bincount(g.word, weights=row[g.bucket], minlength=len(words)) for row in self.logp], 1)
         known = self.writes[:, g.script].T & (g.script >= 0)[:, None]
-        out[~known & known.any(1)[:, None]] = FOREIGN
+        best = np.where(known, out, -np.inf).max(1, keepdims=True)
+        out = np.where(~known & known.any(1)[:, None], best + FOREIGN, out)
         out[g.n_letters == 0] = 0
         return out - out.max(1, keepdims=True), g.n_letters
 
@@ -229,6 +231,7 @@ def _label(texts: pa.Array, m: Model) -> list[pa.Array]:
     top = letters.argmax(1)
     score = np.divide(letters[np.arange(n), top], total, out=np.zeros(n), where=total > 0)
     names = np.array(m.languages or ["und"], object)
+    spans[total == 0] = 0
     return [pa.array(np.where(total > 0, names[top], "und").tolist(), pa.string()), pa.array(score), pa.array(spans)]
 
 
@@ -243,10 +246,19 @@ def training_rows(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
 def filter_documents(df: DataFrame, least_score: float = 0.3) -> DataFrame:
     """The rows of ``df`` with a language that holds at least ``least_score`` of
     their letters, with all their columns; learned from ``df`` itself."""
-    model = fit(training_rows(df))
-    whole = F.struct(*[F.col(c) for c in df.columns])
-    labelled = predict(df.select(whole.alias("doc_id"), F.col("text")), model)
-    return labelled.filter((F.col("lang_pred") != "und") & (F.col("score") >= least_score)).select("doc_id.*")
+    shared = df.sparkSession.sparkContext.broadcast(fit(training_rows(df)))
+
+    # Only texts go to Python and only verdicts come back.
+    @F.arrow_udf("boolean")
+    def keeps(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            verdicts = []
+            for at in range(0, len(texts), ROWS):
+                lang, score, _ = _label(texts.slice(at, ROWS), shared.value)
+                verdicts.append(pc.and_(pc.not_equal(lang, "und"), pc.greater_equal(score, least_score)))
+            yield pa.concat_arrays(verdicts) if verdicts else pa.array([], pa.bool_())
+
+    return df.filter(keeps(F.col("text")))
 
 
 def op6_language_id(spark, sf_dir: str) -> DataFrame:
