@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.spec import CURATED, KEYS
 from ..functions.values import missing_count
+from .validate import passed
 
 
 def winners(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -25,7 +26,7 @@ def curated(accepted: DataFrame) -> DataFrame:
 def quality_counts(classified: DataFrame, by: str = "batch_id") -> DataFrame:
     """input, accepted, rejected, duplicate and missing counts of each batch."""
     base = classified.groupBy(by).agg(F.count("*").alias("input_count"), F.count_if(F.size("reasons") > 0).alias("rejected_count"))
-    good = classified.filter(F.size("reasons") == 0)
+    good = passed(classified)
     best = winners(good, [by, *KEYS], [F.desc("source_ingested_at"), F.desc("payload_hash")])
     kept = best.groupBy(F.col(by).alias("_by")).agg(F.count("*").alias("accepted_count"), F.sum(missing_count()).cast("long").alias("missing_measurement_count"))
     out = base.join(kept, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by").fillna(0, ["accepted_count", "missing_measurement_count"])
