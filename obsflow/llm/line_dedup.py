@@ -6,8 +6,8 @@ near the place where the length difference and the segment's number allow it
 (the multi-match-aware window).  So each distinct line is indexed under the
 hashes of its segments, with their number and the line's length, and probes
 with the few substrings of its own that can match lines of each admissible
-length.  Candidates whose letter counts differ too much are dropped, and the
-rest verified by a banded bit-parallel edit distance: the states of the
+length.  Candidates in which too many characters occur an odd number of times in one
+line only are dropped, and the rest verified by a banded bit-parallel edit distance: the states of the
 (2 * EDITS + 1)-wide band are bits, one mask for each number of edits.
 
 Links become classes by ``components.connected``; of each class the first line,
@@ -32,12 +32,11 @@ from .components import connected
 
 EDITS = 2
 LEAST = 24
-#: Letters whose counts are compared before verification.
-COUNTED = "etaoinrsd"
-#: Bits of each letter's count.
-BITS = 7
 #: Line ids up to this number are broadcast (8 bytes each), more are shuffled.
 BROADCAST_IDS = 500_000
+#: Removed lines and their documents up to this number are broadcast (at most 48
+#: bytes each), more are shuffled.
+BROADCAST_PLACES = 2_000_000
 
 
 def lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -47,51 +46,44 @@ def lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return trimmed.filter("line != '' and doc_id is not null").withColumn("id", F.xxhash64("line"))
 
 
-def _segment(n: Column, i: int, edits: int) -> tuple[Column, Column]:
-    """Start and length of segment i of a line of n characters; the last
-    n % (edits + 1) segments are one longer."""
+def _with_parts(df: DataFrame, n: str, edits: int) -> DataFrame:
+    """Length and number of longer segments for lines of n - 0..edits characters."""
     parts = edits + 1
-    short = ((n - n % parts) / parts).cast("int")
-    extra = F.greatest(F.lit(0), i - (parts - n % parts)).cast("int")
-    return short * i + extra, short + F.when(i >= parts - n % parts, 1).otherwise(0)
+    for less in range(parts):
+        other = F.col(n) - less
+        df = df.withColumn(f"_long{less}", other % parts).withColumn(f"_short{less}", ((other - F.col(f"_long{less}")) / parts).cast("int"))
+    return df
 
 
-def _index_keys(line: Column, n: Column, edits: int) -> Column:
+def _segment(less: int, i: int, edits: int) -> tuple[Column, Column]:
+    """Start and length of segment i; the last ``_long`` segments are one longer."""
+    short, extra = F.col(f"_short{less}"), F.col(f"_long{less}") - (edits + 1 - i)
+    return short * i + F.greatest(F.lit(0), extra), short + (extra >= 0).cast("int")
+
+
+def _index_keys(line: str, n: str, edits: int) -> Column:
     keys = []
     for i in range(edits + 1):
-        start, size = _segment(n, i, edits)
-        keys.append(F.xxhash64(F.lit(i), n, F.substring(line, start + 1, size)))
+        start, size = _segment(0, i, edits)
+        keys.append(F.xxhash64(F.lit(i), F.col(n), F.substring(line, start + 1, size)))
     return F.array(*keys)
 
 
-def _probe_keys(line: Column, n: Column, edits: int) -> Column:
+def _probe_keys(line: str, n: str, edits: int) -> Column:
+    """Lines have LEAST characters at least, so that no shift leaves the line."""
     keys = []
     for less in range(edits + 1):
-        other = n - less
         for i in range(edits + 1):
-            start, size = _segment(other, i, edits)
+            start, size = _segment(less, i, edits)
             for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
-                at = start + shift
-                keys.append(F.when((at >= 0) & (at + size <= n), F.xxhash64(F.lit(i), other, F.substring(line, at + 1, size))))
-    return F.array_compact(F.array(*keys))
-
-
-def _counts(line: Column) -> Column:
-    """The counts of COUNTED letters, modulo 2 ** BITS, in one long."""
-    out = F.lit(0).cast("long")
-    for k, c in enumerate(COUNTED):
-        n = F.length(line) - F.length(F.replace(line, F.lit(c), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft((n % (1 << BITS)).cast("long"), BITS * k))
-    return out
+                keys.append(F.xxhash64(F.lit(i), F.col(n) - less, F.substring(line, start + (shift + 1), size)))
+    return F.array(*keys)
 
 
-def _counts_apart(a: Column, b: Column) -> Column:
-    """A lower bound of the summed differences of two ``_counts``."""
-    out = F.lit(0)
-    for k in range(len(COUNTED)):
-        apart = F.abs(F.shiftright(a, BITS * k).bitwiseAND((1 << BITS) - 1) - F.shiftright(b, BITS * k).bitwiseAND((1 << BITS) - 1))
-        out = out + F.least(apart, (1 << BITS) - apart)
-    return out
+def parity(line: Column) -> Column:
+    """One bit for each character code modulo 64 (a shift's lowest six bits): whether
+    it occurs an odd number of times.  An edit changes at most two bits."""
+    return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), lambda bits, c: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c))))
 
 
 def _match_masks(x: Column, y: Column, edits: int) -> Column:
@@ -137,13 +129,15 @@ def within_edits(a: Column, b: Column, edits: int = EDITS) -> Column:
 
 
 def candidates(distinct: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Pairs a < b of the ids of distinct lines (id, line) that share a segment
-    where it may stand and don't differ too much in their letter counts."""
-    n = F.length("line")
-    able = distinct.filter(n >= LEAST).select("id", "line", n.alias("n"), _counts(F.col("line")).alias("c"))
-    index = able.select(F.explode(_index_keys(F.col("line"), F.col("n"), edits)).alias("key"), F.col("id").alias("i"), F.col("c").alias("ci"))
-    probe = able.select(F.explode(_probe_keys(F.col("line"), F.col("n"), edits)).alias("key"), F.col("id").alias("p"), F.col("c").alias("cp"))
-    met = index.join(probe, "key").filter((F.col("i") != F.col("p")) & (_counts_apart(F.col("ci"), F.col("cp")) <= 2 * edits))
+    """Pairs a < b of the ids of distinct lines (id, line, parity) that share a
+    segment where it may stand and don't differ too much in their characters."""
+    if LEAST < 8 * (edits + 1) or edits < 1:
+        raise ValueError("lines must have eight characters a segment at least")
+    able = _with_parts(distinct.filter(F.length("line") >= LEAST).select("id", "line", "parity", F.length("line").alias("n")), "n", edits)
+    index = able.select(F.explode(_index_keys("line", "n", edits)).alias("key"), F.col("id").alias("i"), F.col("parity").alias("ci"))
+    probe = able.select(F.explode(_probe_keys("line", "n", edits)).alias("key"), F.col("id").alias("p"), F.col("parity").alias("cp"))
+    near = F.bit_count(F.col("ci").bitwiseXOR(F.col("cp"))) <= 2 * edits
+    met = index.join(probe, "key").filter((F.col("i") != F.col("p")) & near)
     return met.select(F.least("i", "p").alias("a"), F.greatest("i", "p").alias("b")).distinct()
 
 
@@ -152,10 +146,17 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
 
 
+def _few_places(gone: DataFrame) -> DataFrame:
+    """``removals``, broadcast if it holds few places, else joined by a shuffle."""
+    total = gone.agg(F.coalesce(F.sum(F.size("gone") + 1), F.lit(0))).first()[0]
+    return F.broadcast(gone) if total <= BROADCAST_PLACES else gone
+
+
 def links(df: DataFrame, edits: int = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pairs a < b of ids of different lines within ``edits`` edits."""
     all_lines = lines(df, id_col, text_col)
-    pairs = written(candidates(all_lines.groupBy("id").agg(F.first("line").alias("line")), edits), "line-pairs")
+    distinct = all_lines.withColumn("parity", parity(F.col("line"))).groupBy("id").agg(F.first("line").alias("line"), F.first("parity").alias("parity"))
+    pairs = written(candidates(distinct, edits), "line-pairs")
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids")
     texts = written(all_lines.join(_small(wanted), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line")), "line-texts")
     both = pairs.join(texts.toDF("a", "line_a"), "a").join(texts.toDF("b", "line_b"), "b")
@@ -179,8 +180,8 @@ def dedup(df: DataFrame, edits: int = EDITS, id_col: str = "doc_id", text_col: s
     removed lines, n_lines (with a word, before) and n_removed."""
     gone = written(removals(df, edits, id_col, text_col), "removed-lines").withColumnRenamed("doc_id", "gone_id")
     row = df.select(F.struct(*df.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    both = row.join(_small(gone), F.col("id") == F.col("gone_id"), "left")
-    parts = F.split("text", "\n")
+    both = row.join(_few_places(gone), F.col("id") == F.col("gone_id"), "left").withColumn("parts", F.split("text", "\n"))
+    parts = F.col("parts")
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "gone")
     rebuilt = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
     n_lines = F.size(F.filter(parts, lambda line: F.btrim(line, F.lit(WS_CHARS)) != "")).cast("long")
