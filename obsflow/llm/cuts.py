@@ -10,6 +10,7 @@ beside white space are cut by a slower expression.  Ids are gathered in numpy.
 from __future__ import annotations
 
 import re
+import weakref
 from collections.abc import Callable
 
 import numpy as np
@@ -43,6 +44,17 @@ class Recent:
         return [young[k] for k in keys]
 
 
+#: The encoders of this worker.
+_encoders: weakref.WeakSet = weakref.WeakSet()
+
+
+def forget() -> None:
+    """Empties what encoders remember.  Operators that need a worker's memory for
+    something else call this first, since Spark reuses workers."""
+    for e in _encoders:
+        e.cuts, e.matches = Recent(), Recent()
+
+
 class CutEncoder:
     """encode: distinct matches of the pattern to the bytes of their 32-bit ids.
 
@@ -58,6 +70,7 @@ class CutEncoder:
         self.slow = re.compile(r"(?<=[^\s])(?=[ \n][^\s])").split
         self.encode = encode
         self.cuts, self.matches = Recent(), Recent()
+        _encoders.add(self)
 
     def _matches(self, cut: str) -> list[str]:
         """The pattern's matches.  Letters, alone or before one comma or stop,

@@ -28,6 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import cuts
 from .common import id_mod, table
 
 BUCKETS = 1 << 15
@@ -42,7 +43,7 @@ SCRIPT_SHARE = 0.01
 #: the best of those that do.
 FOREIGN = -60.0
 #: Rows handled at a time; bounds a worker's memory.
-ROWS = 1024
+ROWS = 256
 
 #: First code points of blocks and the script of their letters.
 SCRIPTS = (
@@ -171,6 +172,7 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
     """Learns from all rows with text and a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts.forget()
         counts: dict[str, np.ndarray] = {}
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
@@ -251,12 +253,14 @@ def filter_documents(df: DataFrame, least_score: float = 0.3) -> DataFrame:
     # Only texts go to Python and only verdicts come back.
     @F.arrow_udf("boolean")
     def keeps(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        cuts.forget()
         for texts in batches:
             verdicts = []
             for at in range(0, len(texts), ROWS):
                 lang, score, _ = _label(texts.slice(at, ROWS), shared.value)
                 verdicts.append(pc.and_(pc.not_equal(lang, "und"), pc.greater_equal(score, least_score)))
             yield pa.concat_arrays(verdicts) if verdicts else pa.array([], pa.bool_())
+            pa.default_memory_pool().release_unused()
 
     return df.filter(keeps(F.col("text")))
 

@@ -56,8 +56,8 @@ def lengths(n: int, longest: int = LONGEST) -> list[int]:
 
 
 def pieces(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", longest: int = LONGEST, end: int = END) -> DataFrame:
-    """doc_id, start, length, ids, doc_tokens and the place (part, nth) of each
-    piece among those of its length in its partition."""
+    """doc_id, start, length, ids (unsigned 32-bit, little-endian), doc_tokens and
+    the place (part, nth) of each piece among those of its length in its partition."""
     if longest < 1 or longest & (longest - 1):
         raise ValueError("the longest sequence must be a power of two")
 
@@ -79,12 +79,13 @@ def pieces(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
                     own = size == n
                     nth[own] = count.get(int(n), 0) + np.arange(own.sum())
                     count[int(n)] = count.get(int(n), 0) + int(own.sum())
-                lists = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), pa.array(ids, pa.int32()))
-                columns = [few.column(0).take(pa.array(doc)), pa.array(ends - size - (np.cumsum(total) - total)[doc]), pa.array(size), lists, pa.array(total[doc]), pa.array(np.full(len(size), part, np.int32)), pa.array(nth)]
+                places = pa.py_buffer(np.concatenate([[0], 4 * ends]).astype(np.int32))
+                packed = pa.Array.from_buffers(pa.binary(), len(size), [None, places, pa.py_buffer(np.ascontiguousarray(ids, "<u4"))])
+                columns = [few.column(0).take(pa.array(doc)), pa.array(ends - size - (np.cumsum(total) - total)[doc]), pa.array(size), packed, pa.array(total[doc]), pa.array(np.full(len(size), part, np.int32)), pa.array(nth)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids", "doc_tokens", "part", "nth"])
 
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, start long, length long, ids array<int>, doc_tokens long, part int, nth long")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, start long, length long, ids binary, doc_tokens long, part int, nth long")
 
 
 def pack(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", longest: int = LONGEST, end: int = END) -> DataFrame:
@@ -106,16 +107,7 @@ def pack(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_co
 
 def digests(packed: DataFrame) -> DataFrame:
     """``pack``'s rows with ids_crc32 in place of the ids."""
-    import zlib
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            at = b.schema.get_field_index("ids")
-            crc = pa.array([zlib.crc32(x.values.to_numpy().astype("<u4").tobytes()) for x in b.column(at)], pa.int64())
-            yield b.set_column(at, "ids_crc32", crc)
-
-    schema = ", ".join(f"{f.name if f.name != 'ids' else 'ids_crc32'} {f.dataType.simpleString() if f.name != 'ids' else 'long'}" for f in packed.schema)
-    return packed.mapInArrow(run, schema)
+    return packed.select(*[F.crc32("ids").alias("ids_crc32") if c == "ids" else c for c in packed.columns])
 
 
 def op3_packing(spark, sf_dir: str) -> DataFrame:
