@@ -1,29 +1,28 @@
 """Language-model scoring by deleted interpolation.
 
-The model is a bigram of words with a class for infrequent ones.  The
-``VOCABULARY`` most frequent training words are the hot words; every other word
-is cold.  A context is a hot word, any cold word, or the start of a text.  The
-maximum-likelihood estimates of
+The model is a bigram of words; the context of a text's first word is its
+start.  The maximum-likelihood estimates of
 
-    bigram    c(h, w) / c(h)          w hot
-              c(h, cold) / c(h) * c(w) / c(cold)    w cold
+    bigram    c(h, w) / c(h)
     unigram   c(w) / N
     uniform   1 / (V + 1)
 
 are mixed with weights that depend on the bucket of c(h) (its binary order of
 magnitude).  The weights are learned by expectation-maximisation on held-out
 counts: those of ``DEV`` of the training rows, against the counts of the rest.
-Then the counts of all training rows are used.
+Then the counts of all training rows are used.  Every pair of words counts.
 
-Counts of words and all sums over a text's cold words are Spark joins and
-grouped sums that grow with the input.  Only the table over hot words reaches
-the driver and is broadcast: (VOCABULARY + 2) x (VOCABULARY + 1) numbers at
-most, whatever the input.  Hot words, which would make hot join keys, never
-enter the join of cold words; of what does, no word has over 1 / VOCABULARY of
-all tokens.
+Pairs of two of the ``VOCABULARY`` most frequent training words (hot words) are
+the fast path: only their table reaches the driver and is broadcast,
+(VOCABULARY + 2) x (VOCABULARY + 1) numbers at most, whatever the input.  Every
+other pair has a cold word.  First each text gets the counts of its cold words
+(a join, and back to the text); then each distinct pair of a text is one row
+with its words' counts, and one shuffle by pair brings c(h, w).  Hot words and
+hot pairs, which would make hot join keys, never enter these shuffles; of what
+does, no key has over 1 / VOCABULARY of all tokens.
 
 Words are joined by their 64-bit XXH64; among 10 million distinct words a
-collision has a chance of 3 in a million.
+collision has a chance of 3 in a million.  Pairs are keyed by 64 bits of both.
 
 Defined results: a null or empty text is one end token.  Rows with equal ids
 count as one text each in training and are summed in the result: one row an id.
@@ -39,18 +38,21 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, id_mod, id_mod_py, table, written
+from .common import WS_CHARS, dropped, id_mod, id_mod_py, table, written
 
 VOCABULARY = 2048
 #: Remainders of crc32(id) modulo FOLDS: held out from training, and held out
 #: within training for the weights.
 FOLDS, HELD_OUT, DEV = 10, 0, 1
 #: Rows handled at a time; bounds a worker's memory.
-ROWS = 4096
+ROWS = 1024
 ROUNDS = 30
+#: Parts of the texts that get their words' counts one after the other; each
+#: takes its share of the disk that the shuffles need.
+SLICES = 3
 
 
 def _hash(words: list[bytes]) -> np.ndarray:
@@ -97,13 +99,14 @@ def tokens(texts: pa.Array) -> Tokens:
     return Tokens(keys, code, text, first)
 
 
-def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Tokens, np.ndarray]]:
-    """Each small batch of (id, text) with its tokens and each row's fold (-1: null id)."""
+def _each(batches: Iterator[pa.RecordBatch], fold: bool = True) -> Iterator[tuple[pa.RecordBatch, Tokens, np.ndarray]]:
+    """Each small batch of (id, text, ...) with its tokens and, if asked for, each
+    row's fold (-1: null id)."""
     for whole in batches:
         for at in range(0, whole.num_rows, ROWS):
             b = whole.slice(at, ROWS)
-            fold = np.array([-1 if i is None else id_mod_py(i, FOLDS) for i in b.column(0).to_pylist()])
-            yield b, tokens(b.column(1)), fold
+            folds = np.array([-1 if i is None else id_mod_py(i, FOLDS) for i in b.column(0).to_pylist()] if fold else [], np.int64)
+            yield b, tokens(b.column(1)), folds
 
 
 def vocabulary(rows: DataFrame) -> DataFrame:
@@ -160,27 +163,20 @@ def _bucket(context_counts: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(context_counts + 1.0)).astype(int)
 
 
-def learn_weights(n: np.ndarray, dev: np.ndarray, cold: list[tuple[int, int, int]], tokens_n: int, types: int) -> np.ndarray:
+def learn_weights(n: np.ndarray, dev: np.ndarray, cold: list[np.ndarray]) -> np.ndarray:
     """Weights (bucket x [bigram, unigram, uniform]) by EM on the counts ``dev``.
 
-    n: counts without them.  cold: (c(w) order of magnitude, sum of c(w), sum of
-    held-out counts) of the cold words, all without the held-out rows.
+    n: counts without them.  cold: ``cold_events`` of the pairs with a cold word.
     """
     h = n.sum(1)
-    bucket = _bucket(h)
     weights = np.tile([0.6, 0.39, 0.01], (65, 1))
     total = max(1, n.sum())
-    c_cold = max(1, n[:, -1].sum())
     i, j = np.nonzero(dev)
-    hot = j < n.shape[1] - 1
-    events = [(bucket[i[hot]], n[i[hot], j[hot]] / np.maximum(1, h[i[hot]]), n[:, :-1].sum(0)[j[hot]] / total, dev[i[hot], j[hot]].astype(float))]
-    of_cold = max(1, sum(d for _, _, d in cold))
-    for words, count, held in cold:  # the model takes the cold word to be independent of the context
-        mean = count / max(1, words)
-        k = i[~hot]
-        events.append((bucket[k], n[k, -1] / np.maximum(1, h[k]) * mean / c_cold, np.full(len(k), mean / total), dev[k, -1] * (held / of_cold)))
+    hot = (j < n.shape[1] - 1) & (i != n.shape[1] - 1)
+    i, j = i[hot], j[hot]
+    events = [(_bucket(h)[i], n[i, j] / np.maximum(1, h[i]), n[:, :-1].sum(0)[j] / total, dev[i, j].astype(float)), cold[:4]]
     b, p2, p1, d = (np.concatenate(x) for x in zip(*events, strict=True))
-    parts = np.stack([p2, p1, np.full(len(b), 1 / (types + 1))], 1)
+    parts = np.stack([p2, p1, np.full(len(b), cold[4])], 1)
     for _ in range(ROUNDS if len(b) else 0):
         share = weights[b] * parts
         share *= (d / share.sum(1))[:, None]
@@ -196,9 +192,10 @@ class Model:
     hot: np.ndarray  # sorted keys
     hot_n: np.ndarray  # their counts
     log_hot: np.ndarray  # context x hot: log10 of the mixed probability
-    slope: np.ndarray  # by context: a cold word of count c has probability
-    floor: np.ndarray  # slope * c + floor
-    weights: np.ndarray
+    slope: np.ndarray  # by context: cold words of count c have on average
+    floor: np.ndarray  # the probability slope * c + floor
+    mix: np.ndarray  # bucket x factors of c(h, w) / c(h), of c(w), and 1
+    start_n: int  # training texts
     tokens_n: int
     types: int
 
@@ -206,65 +203,177 @@ class Model:
         return np.log10((n + 0.1) / (self.tokens_n + 0.1 * (self.types + 1)))
 
 
-def fit(rows: DataFrame, words: DataFrame, size: int = VOCABULARY) -> Model:
-    """rows: doc_id and text; words: their ``vocabulary``."""
+def _is_hot(keys: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    return np.isin(keys, hot)
+
+
+def _cold_words(t: Tokens, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Text and code of each text's distinct cold words, by text and key."""
+    order = np.argsort(t.keys)
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    cold = ~_is_hot(t.keys, hot)[t.code]
+    one = np.unique(t.text[cold] * len(order) + rank[t.code[cold]])
+    return one // len(order), order[one % len(order)]
+
+
+def with_counts(rows: DataFrame, words: DataFrame, hot: np.ndarray) -> DataFrame:
+    """doc_id, text, and n and dev of its distinct cold words, by their keys."""
+    shared = rows.sparkSession.sparkContext.broadcast(hot)
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+
+    def of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, t, _ in _each(batches, fold=False):
+            text, code = _cold_words(t, shared.value)
+            yield pa.RecordBatch.from_arrays([pa.array(t.keys[code]), b.column(0).take(pa.array(text))], names=["w", "row"])
+
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, t, _ in _each(batches, fold=False):
+            text, code = _cold_words(t, shared.value)
+            known = b.column(2).flatten()
+            w, at = np.unique(known.field("w").to_numpy(), return_index=True)
+            there = np.isin(t.keys[code], w)
+            k = at[np.searchsorted(w, t.keys[code][there])]
+            ends = pa.array(np.searchsorted(text, np.arange(b.num_rows + 1)).astype(np.int32))
+            got = []
+            for name in ("n", "dev"):
+                of = np.zeros(len(code), np.int64)
+                of[there] = known.field(name).to_numpy()[k]
+                got.append(pa.ListArray.from_arrays(ends, pa.array(of)))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *got], names=["doc_id", "text", "n", "dev"])
+
+    keyed = rows.withColumn("row", F.xxhash64("doc_id", "text"))
+    parts = []
+    for k in range(SLICES):
+        part = keyed.filter(F.pmod("row", F.lit(SLICES)) == k)
+        known = part.select("row", "text").mapInArrow(of_text, "w long, row long").join(words, "w")
+        known = known.groupBy("row").agg(F.collect_list(F.struct("w", "n", "dev")).alias("known"))
+        both = part.join(known, "row", "left").select("doc_id", "text", F.coalesce("known", F.array().cast("array<struct<w:long,n:long,dev:long>>")).alias("known"))
+        parts.append(written(both.mapInArrow(aligned, f"doc_id {id_type}, text string, n array<long>, dev array<long>"), "counted-texts"))
+        rows.sparkSession._jvm.System.gc()  # shuffle files of the part
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _counted(b: pa.RecordBatch, t: Tokens, hot: np.ndarray, of_hot: np.ndarray, column: int) -> np.ndarray:
+    """The count of each of t.keys: ``of_hot``, or of the list in the column."""
+    out = np.zeros(len(t.keys), np.int64)
+    _, code = _cold_words(t, hot)
+    out[code] = b.column(column).flatten().to_numpy()
+    there = _is_hot(t.keys, hot)
+    out[there] = of_hot[np.searchsorted(hot, t.keys[there])]
+    return out
+
+
+def _pairs(t: Tokens, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens whose pair has a cold word, the code of each one's context (-1:
+    start) and the key of the pair."""
+    before = np.empty_like(t.code)
+    before[1:] = t.code[:-1]
+    before[t.first] = -1
+    is_hot = np.append(_is_hot(t.keys, hot), True)  # the start too
+    at = np.nonzero(~(is_hot[t.code] & is_hot[before]))[0]
+    h, w = np.append(t.keys, 0).view(np.uint64)[before[at]], t.keys.view(np.uint64)[t.code[at]]
+    key = h * np.uint64(0x9E3779B97F4A7C15) + w
+    key = (key ^ key >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return at, before[at], (key ^ key >> np.uint64(29)).view(np.int64)
+
+
+def cold_events(texts: DataFrame, hot: np.ndarray, hot_n: np.ndarray, start_n: int, tokens_n: int, types: int) -> list[np.ndarray]:
+    """Bucket of c(h), bigram and unigram estimates and held-out counts of the
+    pairs with a cold word, all counts without the held-out rows; then 1 / (V + 1).
+
+    Pairs of a bucket whose estimates agree to a quarter of a binary order of
+    magnitude are one event with their mean estimates; so the number of events
+    doesn't depend on the input.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((hot, hot_n, start_n))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, hot_n, start_n = shared.value
+        for b, t, fold in _each(batches):
+            rest = np.append(_counted(b, t, hot, hot_n, 2) - _counted(b, t, hot, np.zeros_like(hot_n), 3), start_n)
+            at, before, key = _pairs(t, hot)
+            of = fold[t.text[at]]
+            at, before, key, of = (x[of > HELD_OUT] for x in (at, before, key, of))
+            key, first, back = np.unique(key, return_index=True, return_inverse=True)
+            dev = np.bincount(back[of == DEV], minlength=len(key))
+            n = np.bincount(back, minlength=len(key)) - dev
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, n, dev, rest[before[first]], rest[t.code[at[first]]])], names=["key", "n", "dev", "h", "w"])
+
+    one = texts.mapInArrow(run, "key long, n long, dev long, h long, w long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("dev").alias("dev"), F.first("h").alias("h"), F.first("w").alias("w")).filter("dev > 0")
+    p2, p1 = F.col("n") / F.greatest("h", F.lit(1)), F.col("w") / F.lit(max(1, tokens_n))
+    cells = one.select(F.ceil(F.log2(F.col("h") + 1)).alias("b"), p2.alias("p2"), p1.alias("p1"), "dev")
+    order = [F.floor(4 * F.log2(F.when(F.col(p) > 0, F.col(p)))).alias(f"_{p}") for p in ("p2", "p1")]
+    got = cells.groupBy("b", *order).agg(*[(F.sum(F.col(p) * F.col("dev")) / F.sum("dev")).alias(p) for p in ("p2", "p1")], F.sum("dev").alias("d")).select("b", "p2", "p1", F.col("d").cast("double")).toArrow()
+    return [*(got[k].to_numpy() for k in range(4)), 1 / (types + 1)]
+
+
+def fit(rows: DataFrame, words: DataFrame, size: int = VOCABULARY, texts: DataFrame | None = None) -> Model:
+    """rows: doc_id and text; words: their ``vocabulary``; texts: ``with_counts``
+    of the ``hot_words``."""
     stats = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    top = words.orderBy(F.desc("n"), "w").limit(size).select("w", "n").toArrow()
-    order = np.argsort(top["w"].to_numpy())
-    hot, hot_n = top["w"].to_numpy()[order], top["n"].to_numpy()[order]
+    hot, hot_n = hot_words(words, size)
     n, dev = table_counts(rows, hot)
-    spark = rows.sparkSession
-    is_hot = F.broadcast(spark.createDataFrame([(int(w),) for w in hot], "w long"))  # ``size`` rows
-    rest = F.col("n") - F.col("dev")
-    cold = words.join(is_hot, "w", "left_anti").groupBy(F.ceil(F.log2(rest + 1)).alias("order"))
-    by_order = [(r["words"], r["count"], r["held"]) for r in cold.agg(F.count("*").alias("words"), F.sum(rest).alias("count"), F.sum("dev").alias("held")).collect()]  # at most 64 rows
-    weights = learn_weights(n - dev, dev, by_order, stats["n"], stats["v"])
+    rest = n - dev
+    texts = with_counts(rows, words, hot) if texts is None else texts
+    weights = learn_weights(rest, dev, cold_events(texts, hot, rest[:, :-1].sum(0), int(rest[-1].sum()), int(rest.sum()), stats["v"]))
     h = n.sum(1)
     by_context = weights[_bucket(h)]
     uniform = by_context[:, 2] / (stats["v"] + 1)
     total = max(1, stats["n"])
     mixed = n[:, :-1] * (by_context[:, 0] / np.maximum(1, h))[:, None] + by_context[:, 1][:, None] * (hot_n / total) + uniform[:, None]
     slope = by_context[:, 0] * n[:, -1] / np.maximum(1, h) / max(1, n[:, -1].sum()) + by_context[:, 1] / total
+    mix = weights / [1, total, stats["v"] + 1]
     if not stats["n"]:
-        slope, uniform = np.zeros(len(h)), np.ones(len(h))
-    return Model(hot, hot_n, np.log10(mixed), slope, uniform, weights, stats["n"], stats["v"])
+        slope, uniform, mix = np.zeros(len(h)), np.ones(len(h)), np.tile([0.0, 0.0, 1.0], (65, 1))
+    return Model(hot, hot_n, np.log10(mixed), slope, uniform, mix, int(h[-1]), stats["n"], stats["v"])
 
 
-def score(rows: DataFrame, words: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score; one row an id."""
-    spark = rows.sparkSession
+def hot_words(words: DataFrame, size: int = VOCABULARY) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted keys of the most frequent words, and their counts."""
+    top = words.orderBy(F.desc("n"), "w").limit(size).select("w", "n").toArrow()
+    order = np.argsort(top["w"].to_numpy())
+    return top["w"].to_numpy()[order], top["n"].to_numpy()[order]
+
+
+def score(texts: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score and score; one row an id.
+    texts: ``with_counts`` of the model's hot words."""
+    spark = texts.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    id_type = rows.schema["doc_id"].dataType.simpleString()
+    id_type = texts.schema["doc_id"].dataType.simpleString()
 
     def of_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        hot_base = m.base(m.hot_n)
-        for b, t, _ in _each(batches):
+        for b, t, _ in _each(batches, fold=False):
+            n = _counted(b, t, m.hot, m.hot_n, 2)
             context, column = _columns(t, m.hot)
-            hot = column < len(m.hot)
-            sums = lambda x, hot=hot, t=t, b=b: np.bincount(t.text[hot], weights=x, minlength=b.num_rows)
-            known = np.bincount(t.text[hot], minlength=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.bincount(t.text, minlength=b.num_rows)), pa.array(known), pa.array(sums(hot_base[column[hot]])), pa.array(sums(m.log_hot[context[hot], column[hot]]))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+            hot = (column < len(m.hot)) & (context != len(m.hot))
+            known = np.bincount(t.text[n[t.code] > 0], minlength=b.num_rows)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.bincount(t.text, minlength=b.num_rows)), pa.array(known), pa.array(np.bincount(t.text, m.base(n)[t.code], b.num_rows)), pa.array(np.bincount(t.text[hot], m.log_hot[context[hot], column[hot]], b.num_rows).astype(float))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     def of_cold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b, t, _ in _each(batches):
-            context, column = _columns(t, m.hot)
-            cold = column == len(m.hot)
-            # Equal (text, word, context) as one row, with how many there were.
-            one = (t.text[cold] * len(t.keys) + t.code[cold]) * len(m.slope) + context[cold]
-            one, n = np.unique(one, return_counts=True)
-            at = one // len(m.slope)
-            yield pa.RecordBatch.from_arrays([pa.array(t.keys[at % len(t.keys)]), b.column(0).take(pa.array(at // len(t.keys))), pa.array(n << 16 | one % len(m.slope))], names=["w", "doc_id", "m"])
-
-    hot = rows.mapInArrow(of_hot, f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double")
-    cold = rows.mapInArrow(of_cold, f"w long, doc_id {id_type}, m long")
-    contexts = spark.createDataFrame([(k, float(s), float(f)) for k, (s, f) in enumerate(zip(model.slope, model.floor, strict=True))], "context int, slope double, floor double")
-    counted = cold.join(words.select("w", "n"), "w", "left").select("doc_id", (F.col("m").bitwiseAND(0xFFFF)).cast("int").alias("context"), F.shiftright("m", 16).alias("times"), F.coalesce("n", F.lit(0)).alias("n"))
-    whole = model.tokens_n + 0.1 * (model.types + 1)
-    base = F.col("times") * F.log10((F.col("n") + F.lit(0.1)) / F.lit(whole))
-    mixed = F.col("times") * F.log10(F.col("slope") * F.col("n") + F.col("floor"))
-    parts = counted.join(F.broadcast(contexts), "context").select("doc_id", F.lit(0).cast("long").alias("n_tokens"), F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("n_known"), base.alias("base_score"), mixed.alias("score"))
+        for b, t, fold in _each(batches):
+            n = np.append(_counted(b, t, m.hot, m.hot_n, 2), m.start_n)
+            at, before, key = _pairs(t, m.hot)
+            # Equal (text, context, word) as one row, with how many there were.
+            order = np.lexsort((key, t.text[at]))
+            text, key = t.text[at][order], key[order]
+            new = np.nonzero(np.append(True, (text[1:] != text[:-1]) | (key[1:] != key[:-1])))[0] if len(key) else np.zeros(0, np.int64)
+            times, first = np.diff(np.append(new, len(key))), order[new]
+            yield pa.RecordBatch.from_arrays([pa.array(key[new]), b.column(0).take(pa.array(text[new])), pa.array(times), pa.array(np.where(fold[text[new]] > HELD_OUT, times, 0)), pa.array(n[before[first]]), pa.array(n[t.code[at[first]]])], names=["key", "doc_id", "times", "train", "h", "w"])
+
+    hot = texts.mapInArrow(of_hot, f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double")
+    cold = texts.mapInArrow(of_cold, f"key long, doc_id {id_type}, times long, train long, h long, w long")
+    mix = spark.createDataFrame([(k, *map(float, x)) for k, x in enumerate(model.mix)], "b int, f2 double, f1 double, f0 double")
+    counted = cold.withColumn("n", F.sum("train").over(Window.partitionBy("key"))).withColumn("b", F.ceil(F.log2(F.col("h") + 1)).cast("int"))
+    mixed = F.col("f2") * F.col("n") / F.greatest("h", F.lit(1)) + F.col("f1") * F.col("w") + F.col("f0")
+    none = F.lit(0).cast("long")
+    parts = counted.join(F.broadcast(mix), "b").select("doc_id", none.alias("n_tokens"), none.alias("n_known"), F.lit(0.0).alias("base_score"), (F.col("times") * F.log10(mixed)).alias("score"))
     sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
     return hot.unionByName(parts.groupBy("doc_id").agg(*sums)).groupBy("doc_id").agg(*sums)
 
@@ -277,8 +386,11 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``score`` of all rows by a model learned from their training part."""
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     words = written(vocabulary(rows), "vocabulary")
-    model = fit(rows, words)
-    return score(rows, words, model).withColumn("train_tokens", F.lit(model.tokens_n).cast("long")).withColumn("held_out", held_out(F.col("doc_id")))
+    texts = with_counts(rows, words, hot_words(words)[0])
+    model = fit(rows, words, texts=texts)
+    dropped(words)
+    df.sparkSession._jvm.System.gc()  # shuffle files of the fit
+    return score(texts, model).withColumn("train_tokens", F.lit(model.tokens_n).cast("long")).withColumn("held_out", held_out(F.col("doc_id")))
 
 
 def op9_lm_scoring(spark, sf_dir: str) -> DataFrame:

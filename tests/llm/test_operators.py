@@ -295,6 +295,28 @@ def test_lm_model_is_a_distribution(spark, monkeypatch):
     assert np.allclose(total[seen], 1.0, atol=0.05)
 
 
+def test_lm_counts_pairs_of_infrequent_words(spark):
+    ids = [k for k in range(200) if zlib.crc32(str(k).encode()) % 10]
+    held = [k for k in range(200) if not zlib.crc32(str(k).encode()) % 10]
+    common = " ".join(f"f{k}" for k in range(2100))
+    texts = [(i, common) for i in ids[:6]] + [(i, f"r{k % 30} s{k % 30}") for k, i in enumerate(ids[6:96])]
+    texts += [(held[0], "r1 s1"), (held[1], "r1 s2"), (held[2], "r1 f5 new s1 s1 s1")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm.score_documents(rows).collect()}
+    assert got[held[0]] > got[held[1]] + 0.5  # all four words are outside the 2048 most frequent
+    words = lm.written(lm.vocabulary(rows), "v")
+    counted = lm.with_counts(rows, words, lm.hot_words(words, 40)[0])
+    m = lm.fit(rows, words, 40, counted)
+    tokens = {i: [None, *t.split(), "\n"] for i, t in texts}
+    train = [t for i, t in tokens.items() if i in ids]
+    c, c2 = Counter(w for t in train for w in t), Counter(x for t in train for x in zip(t, t[1:], strict=False))
+    for r in lm.score(counted, m).collect():
+        t = tokens[r["doc_id"]]
+        mix = [m.mix[math.ceil(math.log2(c[h] + 1))] for h in t[:-1]]
+        want = sum(math.log10(f[0] * c2[h, w] / max(1, c[h]) + f[1] * c[w] + f[2]) for f, h, w in zip(mix, t, t[1:], strict=False))
+        assert r["score"] == pytest.approx(want, rel=1e-9)
+
+
 def test_golay_keys_meet_within_three_bits():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 63, 500).astype(np.uint64) * np.uint64(2) + np.uint64(1)
