@@ -1,8 +1,8 @@
 """Licence recognition by sentence rules, in Spark SQL functions.
 
 A text is cut into sentences; sentences that speak of licences are normalised
-and mapped to identifiers of known licence sentences by the first rule that
-matches.  The identifiers, in order of appearance, form a sequence; the ordered
+and mapped to the identifiers of all known licence sentences in them, by their
+position (the standard GPL notice is one sentence).  The identifiers, in order of appearance, form a sequence; the ordered
 licence rules are matched against it one after the other, and each takes the
 identifiers it matches away from those that follow.
 
@@ -19,6 +19,9 @@ from pyspark.sql import functions as F
 
 from .common import table
 
+# KEYWORD, SENTENCES and LICENSES are those of ``oracle``, which takes the first
+# rule that matches a sentence; ``scan`` goes by the tables below them.
+
 #: Fixed value: what a sentence must hold, in lower case, to be looked at.
 KEYWORD = "licen[cs]e|copyright|warrant|permission|spdx|redistribut|public domain"
 
@@ -78,44 +81,61 @@ LICENSES = (
     ("CC0-1.0", "CcZero;"),
     ("Public-Domain", "PublicDomain;"),
 )
+#: Keywords of the patterns that hold no KEYWORD.
+KEYWORDS = KEYWORD + "|creative commons|cc by|cc0|\\bgnu\\b|endorse or promote|software is provided by"
+#: SENTENCES, with the version of GplLater in its name.
+PATTERNS = tuple(x for name, pattern in SENTENCES for x in ([(f"Gpl{v}Later", f"version {v}( of the license)? or .*any later version") for v in (2, 3)] if name == "GplLater" else [(name, pattern)]))
+#: LICENSES over PATTERNS.  LGPL and AGPL take their later versions
+#: before the GPL does; GPL is a notice without a version.
+_GPL = {
+    "GPL-2.0-or-later": "(GplRedistribute;Gpl2Name;|GplRedistribute;|Gpl2Name;)Gpl2Later;(GplNoWarranty;)?",
+    "GPL-3.0-or-later": "(GplRedistribute;Gpl3Name;|GplRedistribute;|Gpl3Name;)Gpl3Later;(GplNoWarranty;)?",
+    "GPL-2.0-only": "(GplRedistribute;)?Gpl2Name;(GplNoWarranty;)?",
+    "GPL-3.0-only": "((GplRedistribute;)?Gpl3Name;|SpdxGpl3;)(GplNoWarranty;)?",
+    "LGPL": "LgplName;(Gpl[23]Later;)?(GplNoWarranty;)?",
+    "AGPL": "AgplName;(Gpl[23]Later;)?(GplNoWarranty;)?",
+}
+SEQUENCES = tuple((name, _GPL[name]) for name in ("LGPL", "AGPL")) + tuple((name, _GPL.get(name, pattern)) for name, pattern in LICENSES if name not in ("LGPL", "AGPL")) + (("GPL", "GplRedistribute;(GplNoWarranty;)?"),)
 #: The identifier of a sentence of licences that no rule knows.
 UNKNOWN = "Unknown"
 
 
 def sentences(text: Column) -> Column:
-    """Normalised sentences that hold a KEYWORD: a sentence ends after a stop
+    """Normalised sentences that hold one of KEYWORDS: a sentence ends after a stop
     and white space, or with an empty line; comment marks are no words."""
     low = F.lower(F.coalesce(text, F.lit("")))
     ended = F.regexp_replace(F.regexp_replace(low, "\\r", ""), "([.!?])[ \\t\\n]+|\\n[ \\t]*\\n", "$1\u001e")
     plain = F.transform(F.split(ended, "\u001e"), lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9.+]+", " ")))
-    return F.filter(F.when(low.rlike(KEYWORD), plain).otherwise(F.array().cast("array<string>")), lambda s: s.rlike(KEYWORD))
+    raw = KEYWORDS.replace(" ", "[^a-z0-9.+]+")
+    return F.filter(F.when(low.rlike(raw), plain).otherwise(F.array().cast("array<string>")), lambda s: s.rlike(KEYWORDS))
 
 
 def _identify(sentence: Column) -> Column:
-    out = None
-    for name, pattern in SENTENCES:
-        out = F.when(sentence.rlike(pattern), name) if out is None else out.when(sentence.rlike(pattern), name)
-    return out.otherwise(UNKNOWN)
+    """The identifiers of all patterns in a sentence, by position."""
+    at = F.array(*[F.struct(F.regexp_instr(sentence, F.lit(pattern)).alias("at"), F.lit(k).alias("k"), F.lit(name).alias("name")) for k, (name, pattern) in enumerate(PATTERNS)])
+    found = F.transform(F.array_sort(F.filter(at, lambda x: x["at"] > 0)), lambda x: x["name"])
+    return F.transform(F.array(found), lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(F.lit(UNKNOWN))))[0]
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, sentence_ids (array, in order), licenses (array, sorted) and
+    """doc_id, n_sentences, sentence_ids (array, in order), licenses (array, sorted) and
     unknown, the identifiers that no licence rule took (array, in order)."""
-    rows = df.select(F.col(id_col).alias("doc_id"), F.transform(sentences(F.col(text_col)), _identify).alias("sentence_ids"))
+    rows = df.select(F.col(id_col).alias("doc_id"), F.transform(sentences(F.col(text_col)), _identify).alias("_ids"))
+    rows = rows.select("doc_id", F.size("_ids").cast("long").alias("n_sentences"), F.flatten("_ids").alias("sentence_ids"))
     rows = rows.withColumn("_left", F.concat(F.array_join("sentence_ids", ";"), F.when(F.size("sentence_ids") > 0, ";").otherwise("")))
     found = []
-    for k, (name, pattern) in enumerate(LICENSES):
+    for k, (name, pattern) in enumerate(SEQUENCES):
         whole = f"(^|;)({pattern})"
         rows = rows.withColumn(f"_found{k}", F.when(F.col("_left").rlike(whole), name))
         rows = rows.withColumn("_left", F.when(F.col(f"_found{k}").isNotNull(), F.regexp_replace("_left", whole, "$1")).otherwise(F.col("_left")))
         found.append(F.col(f"_found{k}"))
     licenses = F.array_sort(F.array_distinct(F.array_compact(F.array(*found))))
-    return rows.select("doc_id", "sentence_ids", licenses.alias("licenses"), F.filter(F.split("_left", ";"), lambda s: s != "").alias("unknown"))
+    return rows.select("doc_id", "n_sentences", "sentence_ids", licenses.alias("licenses"), F.filter(F.split("_left", ";"), lambda s: s != "").alias("unknown"))
 
 
 def op7_license_scan(spark, sf_dir: str) -> DataFrame:
     got = scan(table(spark, sf_dir, "documents"))
-    return got.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"), F.array_join("sentence_ids", ";").alias("sentence_ids"), F.array_join("licenses", " AND ").alias("licenses"), F.size("unknown").cast("long").alias("n_unknown"))
+    return got.select("doc_id", "n_sentences", F.array_join("sentence_ids", ";").alias("sentence_ids"), F.array_join("licenses", " AND ").alias("licenses"), F.size("unknown").cast("long").alias("n_unknown"))
 
 
 def oracle() -> str:

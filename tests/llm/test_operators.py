@@ -207,6 +207,20 @@ def test_licenses(spark):
     assert got == [(0, ["MIT"], []), (1, ["MIT"], []), (2, ["Apache-2.0"], []), (3, ["GPL-3.0-only"], []), (4, [], ["Unknown"]), (5, [], []), (6, [], []), (6, [], [])]
 
 
+def test_licenses_in_one_sentence(spark):
+    gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU {}General Public License as published by\nthe Free Software Foundation, either version {} of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.'
+    asked = [
+        (gpl.format("", 3), ["GPL-3.0-or-later"]), (gpl.format("", 2), ["GPL-2.0-or-later"]), (gpl.format("Lesser ", 3), ["LGPL"]), (gpl.format("Affero ", 3), ["AGPL"]), (apache, ["Apache-2.0"]),
+        ("You may redistribute it and/or modify it under the terms of the GNU General Public License version 2.", ["GPL-2.0-only"]), ("Redistribute it and/or modify it under the terms of the GNU General Public License.", ["GPL"]),
+        ("Available as CC BY 4.0", ["CC-BY-4.0"]), ("Texts are CC-BY-SA-4.0.", ["CC-BY-SA-4.0"]), ("Creative\nCommons Zero", ["CC0-1.0"]), ("Released under CC0 1.0.", ["CC0-1.0"]), ("It is in the public\ndomain.", ["Public-Domain"]),
+    ]
+    got = licenses.scan(spark.createDataFrame([(k, t) for k, (t, _) in enumerate(asked)], "doc_id long, text string")).collect()
+    assert [r["licenses"] for r in got] == [x for _, x in asked]
+    assert not any(r["unknown"] for r in got)
+    assert [r["n_sentences"] for r in got] == [2] * 4 + [1] * 8
+
+
 def test_revisits(spark):
     h = lambda **x: [(k.replace("_", "-"), v) for k, v in x.items()]
     url = "http://www.Example.org:80/a/?b=2&utm_source=x&a=1#f"
