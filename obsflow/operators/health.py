@@ -60,10 +60,14 @@ def quality_health(runs: DataFrame, checkpoints: DataFrame, stations: DataFrame,
     return one.select(F.lit("rejection_rate").alias("check_name"), F.when(bad, "warning").otherwise("healthy").alias("status"), "batch_id", "rejection_pct", "missing_pct")
 
 
-def parse_events(lines: DataFrame, newest: int = 2000) -> DataFrame:
-    """The ``newest`` lines of an event log (columns line_no, value) with at
-    (null: no object, or no zoned time), status, batch_id and error."""
-    tail = lines.orderBy(F.desc("line_no")).limit(newest)
+#: Lines of the tail of an event log.
+NEWEST = 2000
+
+
+def parse_events(lines: DataFrame, newest: int | None = NEWEST) -> DataFrame:
+    """The ``newest`` lines (None: all) of an event log (columns line_no, value)
+    with at (null: no object, or no zoned time), status, batch_id and error."""
+    tail = lines if newest is None else lines.orderBy(F.desc("line_no")).limit(newest)
     v = F.try_parse_json("value")
     get = lambda p: F.try_variant_get(F.col("_v"), p, "string")
     is_text = F.schema_of_variant(F.try_variant_get(F.col("_v"), "$.at", "variant")) == "STRING"
@@ -74,12 +78,14 @@ def parse_events(lines: DataFrame, newest: int = 2000) -> DataFrame:
 
 def failure_health(events: DataFrame, checkpoints: DataFrame, stations: DataFrame, now: Column, t: Thresholds = Thresholds()) -> DataFrame:
     """One row: failures of the last day that neither a later success of the
-    batch nor later live progress resolves, and the latest of them."""
+    batch nor later live progress resolves, and the latest of them.  events: of
+    all lines, since a tail may be shorter than the day."""
     limit = _skewed(now, t)
-    valid = events.filter(F.col("at").isNotNull() & (F.col("at") <= limit))
+    # What resolves a failure of the last day lies in the last day too.
+    valid = events.filter((F.col("at") <= limit) & (F.col("at") >= now - F.expr(f"INTERVAL {t.failure_hours} HOURS")))
     success = valid.filter("status = 'succeeded' and batch_id is not null").groupBy("batch_id").agg(F.max("at").alias("_success"))
     live = checkpoints.join(stations.select("station_id"), "station_id", "left_semi").filter(F.col("updated_at") <= limit).agg(F.max("updated_at").alias("_live"))
-    failed = valid.filter(F.col("status").isin("failed", "ingestion_failed") & (F.col("at") >= now - F.expr(f"INTERVAL {t.failure_hours} HOURS")))
+    failed = valid.filter(F.col("status").isin("failed", "ingestion_failed"))
     both = failed.join(success, "batch_id", "left").withColumn("_k", F.lit(1)).join(live.withColumn("_k", F.lit(1)), "_k")
     resolved = F.coalesce(F.col("_live") > F.col("at"), F.lit(False)) | ((F.col("status") == "failed") & F.coalesce(F.col("_success") > F.col("at"), F.lit(False)))
     open_ = both.filter(~resolved)
@@ -87,11 +93,13 @@ def failure_health(events: DataFrame, checkpoints: DataFrame, stations: DataFram
     return one.select(F.lit("recent_failures").alias("check_name"), F.when(F.col("unresolved") > 0, "critical").otherwise("healthy").alias("status"), "unresolved", "latest_at", F.col("_f.status").alias("latest_status"), F.col("_f.batch_id").alias("latest_batch_id"), F.col("_f.error").alias("latest_error"))
 
 
-def log_health(events: DataFrame, now: Column, t: Thresholds = Thresholds()) -> DataFrame:
-    """One row: lines of the log that are invalid or lie in the future."""
-    one = events.agg(F.count("*").alias("n_events"), F.count_if(F.col("at").isNull()).alias("invalid_events"), F.count_if(F.col("at") > _skewed(now, t)).alias("future_events"))
+def log_health(lines: DataFrame, now: Column, t: Thresholds = Thresholds(), newest: int = NEWEST) -> DataFrame:
+    """One row: the ``newest`` lines of the log that are invalid or lie in the
+    future, and whether the log (of n_lines) has more lines than these."""
+    whole = lines.agg(F.count("*").alias("n_lines"))
+    one = parse_events(lines, newest).agg(F.count("*").alias("n_events"), F.count_if(F.col("at").isNull()).alias("invalid_events"), F.count_if(F.col("at") > _skewed(now, t)).alias("future_events"))
     bad = (F.col("invalid_events") > 0) | (F.col("future_events") > 0)
-    return one.select(F.lit("event_log").alias("check_name"), F.when(bad, "warning").otherwise("healthy").alias("status"), "n_events", "invalid_events", "future_events")
+    return one.crossJoin(whole).select(F.lit("event_log").alias("check_name"), F.when(bad, "warning").otherwise("healthy").alias("status"), "n_events", "invalid_events", "future_events", "n_lines", (F.col("n_lines") > F.col("n_events")).alias("truncated"))
 
 
 def records_health(fact: DataFrame) -> DataFrame:

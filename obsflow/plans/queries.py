@@ -349,21 +349,21 @@ OLD = M.CHECKPOINTS.replace("INTERVAL 1 HOUR AS updated_at", "INTERVAL 1 HOUR -
 
 @query(f"WITH {M.STATION}, {OLD}, {FAILURE} SELECT * FROM failure_check")
 def failure_health(spark, sf_dir):
-    return health.failure_health(health.parse_events(M.event_lines(spark, sf_dir)), _old_checkpoints(spark, sf_dir), M.stations(spark, sf_dir), M.now())
+    return health.failure_health(health.parse_events(M.event_lines(spark, sf_dir), None), _old_checkpoints(spark, sf_dir), M.stations(spark, sf_dir), M.now())
 
 
 @query(f"WITH {M.STATION}, {OLD}, {FAILURE} SELECT * FROM log_check")
 def event_log_integrity(spark, sf_dir):
-    return health.log_health(health.parse_events(M.event_lines(spark, sf_dir)), M.now())
+    return health.log_health(M.event_lines(spark, sf_dir), M.now()).drop("n_lines", "truncated")  # not in its SQL
 
 
 @query(f"""WITH {HEALTH}, {QUALITY}, {FAILURE}, everything AS (SELECT check_name, status FROM station_checks UNION ALL SELECT check_name, status FROM quality_check UNION ALL SELECT check_name, status FROM failure_check
   UNION ALL SELECT check_name, status FROM log_check UNION ALL SELECT 'warehouse_records', CASE WHEN count(*) = 0 THEN 'critical' ELSE 'healthy' END FROM obs)
   SELECT CASE max(CASE status WHEN 'critical' THEN 2 WHEN 'warning' THEN 1 ELSE 0 END) WHEN 2 THEN 'critical' WHEN 1 THEN 'warning' ELSE 'healthy' END AS status, count(*) AS n_checks, count(*) FILTER (status <> 'healthy') AS n_unhealthy FROM everything""")
 def health_overall(spark, sf_dir):
-    c, s, e = M.checkpoints(spark, sf_dir), M.stations(spark, sf_dir), health.parse_events(M.event_lines(spark, sf_dir))
+    c, s, e = M.checkpoints(spark, sf_dir), M.stations(spark, sf_dir), M.event_lines(spark, sf_dir)
     fact = M.obs(spark, sf_dir)
-    return health.overall(health.station_health(fact, c, s, M.now()), health.quality_health(M.runs(spark, sf_dir), c, s), health.failure_health(e, c, s, M.now()), health.log_health(e, M.now()), health.records_health(fact))
+    return health.overall(health.station_health(fact, c, s, M.now()), health.quality_health(M.runs(spark, sf_dir), c, s), health.failure_health(health.parse_events(e, None), c, s, M.now()), health.log_health(e, M.now()), health.records_health(fact))
 
 
 PLAN = f"""{M.STATION}, {M.CHECKPOINTS}, planned AS (SELECT station_id, coalesce(watermark - INTERVAL 2 HOUR, {TIMES} - INTERVAL 24 HOUR) AS start, {TIMES} AS "end" FROM station LEFT JOIN ckpt USING (station_id))"""

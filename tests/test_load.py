@@ -132,3 +132,19 @@ def test_thresholds_are_checked():
     for bad in ({"max_rejection_pct": 101}, {"max_run_age_minutes": 0}, {"max_observation_age_minutes": float("inf")}):
         with pytest.raises(ValueError):
             health.Thresholds(**bad)
+
+
+def test_failures_before_the_tail_count(spark, monkeypatch):
+    from obsflow.plans import mapping, queries
+
+    now = T(str(mapping.NOW))
+    at = lambda minutes: (now - dt.timedelta(minutes=minutes)).isoformat() + "Z"
+    events = [("failed", 120, "x"), ("failed", 119, "y"), ("failed", 60 * 25, "z"), *[("started", 60, "w")] * 2500, ("succeeded", 30, "y")]
+    lines = spark.createDataFrame([(k, f'{{"at": "{at(m)}", "status": "{status}", "batch_id": "{b}"}}') for k, (status, m, b) in enumerate(events)] + [(-1, "no event")], "line_no long, value string")
+    monkeypatch.setattr(mapping, "event_lines", lambda spark, sf_dir: lines)
+    got = queries.failure_health(spark, "/root/testdata/sf0.001").first()
+    assert (got["status"], got["unresolved"], got["latest_batch_id"]) == ("critical", 1, "x")
+    tail = health.log_health(lines, mapping.now()).first()
+    assert (tail["n_events"], tail["invalid_events"], tail["n_lines"], tail["truncated"]) == (2000, 0, 2505, True)
+    whole = health.log_health(lines, mapping.now(), newest=2505).first()
+    assert (whole["n_events"], whole["invalid_events"], whole["truncated"]) == (2505, 1, False)
