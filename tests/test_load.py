@@ -148,3 +148,20 @@ def test_failures_before_the_tail_count(spark, monkeypatch):
     assert (tail["n_events"], tail["invalid_events"], tail["n_lines"], tail["truncated"]) == (2000, 0, 2505, True)
     whole = health.log_health(lines, mapping.now(), newest=2505).first()
     assert (whole["n_events"], whole["invalid_events"], whole["truncated"]) == (2505, 1, False)
+
+
+def test_extract_is_written_in_ordered_parts(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
+    try:
+        rows = spark.range(5000, 0, -1).select(F.col("id").alias("k"), F.col("id").cast("string").alias("s"))
+        readers.write_extract(rows, f"file://{tmp_path}/parts", ["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    parts = [p.read_text().splitlines() for p in sorted((tmp_path / "parts").glob("*.csv"))]
+    assert len(parts) > 1 and all(p[0] == "k,s" for p in parts)
+    assert [x for p in parts for x in p[1:]] == [f"{k},{k}" for k in range(1, 5001)]
+    assert readers.read_extract(spark, f"file://{tmp_path}/parts", "k bigint, s string").count() == 5000
+    readers.write_extract(rows.limit(0), f"file://{tmp_path}/none", ["k"])
+    assert [p.read_text() for p in (tmp_path / "none").glob("*.csv")] == ["k,s\n"]
