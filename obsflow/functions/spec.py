@@ -31,19 +31,61 @@ MEASURES = (
 )
 
 
+@dataclass(frozen=True)
+class Leaf:
+    """A place in the envelope or the payload, the kind of value that may stand
+    there besides null, and the reason given for another kind."""
+
+    name: str
+    path: str
+    kind: str
+    reason: str
+
+
+#: Fields of the envelope, places in the payload, and reasons.
+ENVELOPE_FIELDS = ("batch_id", "station_id", "ingested_at", "raw_json")
+STATION_URL = r"^https?://api\.weather\.gov/stations/([A-Za-z0-9_-]+)/?$"
+PAYLOAD = (
+    Leaf("properties", "$.properties", "object", "invalid_properties"),
+    Leaf("station", "$.properties.station", "text", "invalid_source_station_type"),
+    Leaf("time", "$.properties.timestamp", "text", "invalid_observed_at"),
+    Leaf("text", "$.properties.textDescription", "text", "invalid_text_description"),
+    Leaf("geometry", "$.geometry", "object", "invalid_geometry"),
+    Leaf("pair", "$.geometry.coordinates", "list", "invalid_coordinates"),
+    Leaf("longitude", "$.geometry.coordinates[0]", "number", "invalid_longitude"),
+    Leaf("latitude", "$.geometry.coordinates[1]", "number", "invalid_latitude"),
+)
+
+
 @dataclass(frozen=True)
 class Feed:
-    envelope: tuple[str, ...] = ("batch_id", "station_id", "ingested_at", "raw_json")
-    station_path: str = "$.properties.station"
-    station_url: str = r"^https?://api\.weather\.gov/stations/([A-Za-z0-9_-]+)/?$"
-    time_path: str = "$.properties.timestamp"
-    text_path: str = "$.properties.textDescription"
-    geometry_path: str = "$.geometry"
-    coordinates_path: str = "$.geometry.coordinates"
+    envelope: tuple[str, ...] = ENVELOPE_FIELDS
+    station_url: str = STATION_URL
+    places: tuple[Leaf, ...] = PAYLOAD
     measures: tuple[Measure, ...] = MEASURES
     future_minutes: int = 10
     gap_minutes: int = 120
 
+    def leaves(self) -> tuple[Leaf, ...]:
+        """All places of the payload, those of the measures included."""
+        out = list(self.places)
+        for m in self.measures:
+            out += [
+                Leaf(m.name, m.path, "object", f"invalid_{m.name}_object"),
+                Leaf(f"{m.name}_value", f"{m.path}.value", "number", f"invalid_{m.name}_value"),
+                Leaf(f"{m.name}_unit", f"{m.path}.unitCode", "text", f"invalid_{m.name}_unit_type"),
+            ]
+        return tuple(out)
+
+    def codes(self) -> list[str]:
+        """All reasons, in the order in which a line lists them."""
+        of = {leaf.name: leaf.reason for leaf in self.leaves()}
+        out = ["invalid_envelope", *[code for f in self.envelope for code in (f"missing_{f}", f"invalid_{f}_type")], "unknown_station", "invalid_payload"]
+        out += [of["properties"], of["station"], "missing_or_invalid_source_station", "source_station_mismatch", of["time"], "future_observed_at", "invalid_ingested_at", of["text"]]
+        out += [code for m in self.measures for code in (of[m.name], of[f"{m.name}_value"], of[f"{m.name}_unit"], f"unsupported_{m.name}_unit")]
+        out += [f"{m.short}_out_of_range" for m in self.measures]
+        return [*out, of["geometry"], of["pair"], of["longitude"], of["latitude"], "longitude_out_of_range", "latitude_out_of_range"]
+
 
 FEED = Feed()
 CURATED = (

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.spec import CURATED, KEYS
 from ..functions.values import missing_count
-from .validate import passed
 
 
 def winners(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -24,10 +23,18 @@ def curated(accepted: DataFrame) -> DataFrame:
 
 
 def quality_counts(classified: DataFrame, by: str = "batch_id") -> DataFrame:
-    """input, accepted, rejected, duplicate and missing counts of each batch."""
-    base = classified.groupBy(by).agg(F.count("*").alias("input_count"), F.count_if(F.size("reasons") > 0).alias("rejected_count"))
-    good = passed(classified)
-    best = winners(good, [by, *KEYS], [F.desc("source_ingested_at"), F.desc("payload_hash")])
-    kept = best.groupBy(F.col(by).alias("_by")).agg(F.count("*").alias("accepted_count"), F.sum(missing_count()).cast("long").alias("missing_measurement_count"))
-    out = base.join(kept, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by").fillna(0, ["accepted_count", "missing_measurement_count"])
+    """input, accepted, rejected, duplicate and missing counts of each batch.
+
+    One pass: lines are counted by key, rejected ones by batch alone, and the
+    latest version of a key brings its missing values along.
+    """
+    good = F.size("reasons") == 0
+    version = F.struct("source_ingested_at", "payload_hash")
+    rows = classified.select(by, good.alias("_good"), *[F.when(good, F.col(k)).alias(k) for k in KEYS], version.alias("_version"), missing_count().alias("_missing"))
+    by_key = rows.groupBy(by, "_good", *KEYS).agg(F.count("*").alias("_n"), F.max_by("_missing", "_version").alias("_missing"))
+    total = lambda condition, what: F.coalesce(F.sum(F.when(condition, what)), F.lit(0)).cast("long")
+    out = by_key.groupBy(by).agg(
+        F.sum("_n").alias("input_count"), total(~F.col("_good"), F.col("_n")).alias("rejected_count"), F.count_if("_good").alias("accepted_count"),
+        total(F.col("_good"), F.col("_missing")).alias("missing_measurement_count"),
+    )
     return out.withColumn("duplicate_count", F.col("input_count") - F.col("accepted_count") - F.col("rejected_count"))
