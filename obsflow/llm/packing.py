@@ -35,18 +35,34 @@ END = 1
 #: Counts by (length, partition) up to this number are broadcast, 24 bytes each.
 BROADCAST_ROWS = 500_000
 #: Rows handled at a time; bounds a worker's memory.
-ROWS = 2048
+ROWS = 1024
+#: Cuts that the library encodes in one call.
+JOINED = 1000
 
 
 @cache
 def tokens(path: str, pattern: str) -> CutEncoder:
-    """One a worker; ids by the ``tokenizers`` library."""
+    """One a worker; ids as the ``tokenizers`` library gives them, added tokens
+    in a text included."""
     single_threaded()
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True  # their strings in a text are ordinary text
-    return CutEncoder(pattern, lambda matches: [array("i", e.ids).tobytes() for e in own.encode_batch_fast(matches, add_special_tokens=False)])
+    ids = lambda e: array("i", e.ids).tobytes()
+    added = [t.content for t in own.get_added_tokens_decoder().values()]
+    # Tokens that begin with a space or newline, in the spelling of byte-level
+    # vocabularies: each cut has one, at its start.
+    first = np.array([(own.id_to_token(k) or "")[:1] in ("\u0120", "\u010a") for k in range(own.get_vocab_size())])
+
+    def joined(cuts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        got = [own.encode_batch_fast(["".join(cuts[k : k + JOINED])], add_special_tokens=False)[0].ids for k in range(0, len(cuts), JOINED)]
+        flat = np.concatenate([np.array(g, np.int32) for g in got]) if got else np.zeros(0, np.int32)
+        begin = np.nonzero(first[flat])[0]
+        if len(begin) != len(cuts):
+            raise ValueError("the vocabulary merges over a space or newline")
+        return flat, np.diff(np.append(begin, len(flat)))
+
+    return CutEncoder(pattern, lambda matches: list(map(ids, own.encode_batch_fast(matches, add_special_tokens=False))), added, lambda text: ids(own.encode(text, add_special_tokens=False)), joined)
 
 
 def lengths(n: int, longest: int = LONGEST) -> list[int]:
@@ -83,6 +99,7 @@ def pieces(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
                 packed = pa.Array.from_buffers(pa.binary(), len(size), [None, places, pa.py_buffer(np.ascontiguousarray(ids, "<u4"))])
                 columns = [few.column(0).take(pa.array(doc)), pa.array(ends - size - (np.cumsum(total) - total)[doc]), pa.array(size), packed, pa.array(total[doc]), pa.array(np.full(len(size), part, np.int32)), pa.array(nth)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids", "doc_tokens", "part", "nth"])
+                pa.default_memory_pool().release_unused()
 
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, start long, length long, ids binary, doc_tokens long, part int, nth long")

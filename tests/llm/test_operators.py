@@ -19,7 +19,7 @@ SPACE = "\x20\t\n\x0b\f\r"
 TEXTS = [
     None, "", " \n\t ", "one", "a b c d e f g h i j", "the same line\nthe same line\nthe same line", "x y z　w \x1c v", "don't  STOP  we've\n\n\n  12.5 %%% $$$ || <b>&",
     "日本語 の 文章 です。 Привет мир, это текст", "🙂🙂 ok 🙂", "word " * 5000, "a" * 3000, "The quick brown fox jumps over the lazy dog and then the quick brown fox jumps over it again.",
-    "The quick brown fox jumps over the lazy dog and then the quick brown fox jumps over it again.", "<|endoftext|> is text", "...\n…\nshort\n - bullet",
+    "The quick brown fox jumps over the lazy dog and then the quick brown fox jumps over it again.", "hello <|endoftext|> is text <pad> <s>", "<|endoftext|><|endoftext|>\n\n", "...\n…\nshort\n - bullet",
 ]
 EXTRA = "n_words long, fp string, lang string, kept string, score string, key string, id string, row string, gone string"
 
@@ -82,23 +82,31 @@ def test_bpe_of_random_text():
     e = bpe.encoder(path, P.PATTERN)
     own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=e.ranks, special_tokens={})
     rng = random.Random(3)
-    texts = ["".join(rng.choice([" ", "  ", "\n", "a", "The", "é", "1", "!", "'s", " \n", "\r", "．", "🙂", ","]) for _ in range(rng.randrange(80))) for _ in range(500)]
+    texts = ["".join(rng.choice([" ", "  ", "\n", "a", "The", "é", "1", "!", "'s", " \n", "\r", "．", "🙂", ",", "\u2003", "\x85", "\x1c", "x\ny", ", b"]) for _ in range(rng.randrange(80))) for _ in range(3000)]
     ids, ends = e.encode(pa.array(texts))
     assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [own.encode_ordinary(t) for t in texts]
 
 
-def test_recent_forgets_but_answers_alike():
-    r = cuts.Recent(3)
+def test_known_cuts_start_anew_but_answer_alike():
+    import pyarrow as pa
+
+    known = cuts.Known(3)
+    encode = lambda words: (np.array([int(c) for w in words.to_pylist() for c in w], np.int32), np.array([len(w) for w in words.to_pylist()]))
     for k in range(20):
-        assert r.get([k, k + 1], lambda ks: [x * 2 for x in ks]) == [2 * k, 2 * k + 2]
-    assert len(r.young) + len(r.old) <= 12
+        asked = [str(k), str(k + 1), str(k)]
+        at = known.get(pa.array(asked, pa.large_string()), encode)
+        assert [known.ids[known.ends[i] : known.ends[i + 1]].tolist() for i in at] == [[int(c) for c in w] for w in asked]
+        assert len(known.cuts) <= 3
 
 
 def test_packing(docs):
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
+    repeated = packing.pack(docs, P.path("byte_bpe_50k.json"), P.PATTERN).collect()
+    assert sorted(r["sequence_id"] for r in repeated) == list(range(len(repeated)))
+    assert Counter((r["start"], bytes(r["ids"])) for r in repeated if r["doc_id"] == 4) == Counter({(s, i): 2 for s, i in {(r["start"], bytes(r["ids"])) for r in repeated if r["doc_id"] == 4}})
+    assert packing.pack(docs.limit(0), P.path("byte_bpe_50k.json"), P.PATTERN).count() == 0
     got = packing.pack(docs.filter("doc_id != 4"), P.path("byte_bpe_50k.json"), P.PATTERN).collect()
     by_doc = defaultdict(list)
     for r in sorted(got, key=lambda r: r["start"]):
