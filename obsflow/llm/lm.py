@@ -10,70 +10,91 @@ start.  The maximum-likelihood estimates of
 are mixed with weights that depend on the bucket of c(h) (its binary order of
 magnitude).  The weights are learned by expectation-maximisation on held-out
 counts: those of ``DEV`` of the training rows, against the counts of the rest.
-Then the counts of all training rows are used.  Every pair of words counts.
-
-Pairs of two of the ``VOCABULARY`` most frequent training words (hot words) are
-the fast path: only their table reaches the driver and is broadcast,
-(VOCABULARY + 2) x (VOCABULARY + 1) numbers at most, whatever the input.  Every
-other pair has a cold word.  First each text gets the counts of its cold words
-(a join, and back to the text); then each distinct pair of a text is one row
-with its words' counts, and one shuffle by pair brings c(h, w).  Hot words and
-hot pairs, which would make hot join keys, never enter these shuffles; of what
-does, no key has over 1 / VOCABULARY of all tokens.
-
-Words are joined by their 64-bit XXH64; among 10 million distinct words a
-collision has a chance of 3 in a million.  Pairs are keyed by 64 bits of both.
-
-Defined results: a null or empty text is one end token.  Rows with equal ids
-count as one text each in training and are summed in the result: one row an id.
-Rows with a null id are scored, but neither learned from nor held out.  Without
-training rows every token has probability 1.  Other columns aren't read.
+Then the counts of all training rows are used.  Every word and every pair of
+words counts; no vocabulary is cut off.
+
+Texts are tokenised once, in batches of at most ``BYTES``.  A batch asks for the
+counts of its distinct words and pairs: their sorted 64-bit keys, with what the
+batch itself adds to the counts, go in blocks to the bucket of their key range.
+A bucket sums what all batches bring for a key and answers each block with the
+totals alone, in the block's order.  So what is shuffled is one key for each
+distinct pair of a batch, whatever is frequent is met once a batch, and no
+count goes through the driver.  The number of buckets grows with the text, so
+that a bucket stays small.
+
+Words are told apart by their 64-bit XXH64, pairs by a mix of both words' keys.
+
+Defined results: a null or empty text is one end token.  One row comes back for
+every row: rows with equal ids count as a text each, rows with a null id are
+scored, but neither learned from nor held out.  Without training rows every
+token has probability 1.  Other columns aren't read.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WS_CHARS, dropped, id_mod, id_mod_py, table, written
 
-VOCABULARY = 2048
 #: Remainders of crc32(id) modulo FOLDS: held out from training, and held out
 #: within training for the weights.
 FOLDS, HELD_OUT, DEV = 10, 0, 1
-#: Rows handled at a time; bounds a worker's memory.
-ROWS = 1024
+#: Rows and bytes of text of a batch at most (one longer text is a batch); they
+#: bound a worker's memory.
+ROWS, BYTES = 2048, 4 << 20
+#: Bytes of text for which there is a bucket of counts.
+BUCKET_BYTES = 16 << 20
 ROUNDS = 30
-#: Parts of the texts that get their words' counts one after the other; each
-#: takes its share of the disk that the shuffles need.
-SLICES = 3
+#: Held-out events whose estimates agree to this part of a binary order of
+#: magnitude are summed before the weights are learned.
+FINE = 4
 
 
 def _hash(words: list[bytes]) -> np.ndarray:
     import xxhash
 
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)).view(np.int64)
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
-def _end() -> int:
-    """The key of the end token: of white space, which no word has."""
-    return int(_hash([b"\n"])[0])
+#: The keys of the end token and of a text's start: of white space, which no word has.
+def _end() -> np.uint64:
+    return _hash([b"\n"])[0]
+
+
+def _start() -> np.uint64:
+    return _hash([b"\t"])[0]
 
 
 @dataclass
 class Tokens:
     """Tokens of a batch of texts, each text's words and its end."""
 
-    keys: np.ndarray  # of the distinct tokens
+    keys: np.ndarray  # of the distinct tokens, ascending, unsigned
     code: np.ndarray  # of each token, into keys
-    text: np.ndarray  # of each token
-    first: np.ndarray  # whether it is its text's first
+    ends: np.ndarray  # of each text's tokens, with a 0 in front
+
+    def text(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.ends) - 1), np.diff(self.ends))
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(context, word) codes of the distinct pairs, the start being context
+        len(keys); each token's place among them; and their keys."""
+        context = np.empty_like(self.code)
+        context[1:] = self.code[:-1]
+        context[self.ends[:-1]] = len(self.keys)
+        one, at = np.unique(context * len(self.keys) + self.code, return_inverse=True)
+        h, w = one // len(self.keys), one % len(self.keys)
+        key = np.append(self.keys, _start())[h] * np.uint64(0x9E3779B97F4A7C15) + self.keys[w]
+        key = (key ^ key >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+        return h, w, at, key ^ key >> np.uint64(29)
 
 
 def tokens(texts: pa.Array) -> Tokens:
@@ -86,296 +107,251 @@ def tokens(texts: pa.Array) -> Tokens:
     words = [w.encode("utf-8", "surrogatepass") for w in coded.dictionary.to_numpy(zero_copy_only=False)]
     begin = parts.offsets.to_numpy()
     begin = begin - begin[0]
-    code = coded.indices.to_numpy().astype(np.int64)
+    code = np.insert(coded.indices.to_numpy().astype(np.int64), begin[1:], len(words))
+    size = np.diff(begin) + 1
+    if b"" in words:  # what stands between two white spaces and at the ends
+        there = code != words.index(b"")
+        size = np.add.reduceat(there, np.cumsum(size) - size) if len(size) else size
+        code = code[there]
     keys = np.append(_hash(words), _end())
-    empty = words.index(b"") if b"" in words else -1
-    ends = begin[1:]
-    code = np.insert(code, ends, len(words))
-    text = np.insert(np.repeat(np.arange(len(texts)), np.diff(begin)), ends, np.arange(len(texts)))
-    if empty >= 0:  # what stands between two white spaces and at the ends
-        code, text = code[code != empty], text[code != empty]
-    first = np.ones(len(code), bool)
-    first[1:] = text[1:] != text[:-1]
-    return Tokens(keys, code, text, first)
-
-
-def _each(batches: Iterator[pa.RecordBatch], fold: bool = True) -> Iterator[tuple[pa.RecordBatch, Tokens, np.ndarray]]:
-    """Each small batch of (id, text, ...) with its tokens and, if asked for, each
-    row's fold (-1: null id)."""
+    used = np.bincount(code, minlength=len(keys)) > 0
+    keys, inverse = np.unique(np.where(used, keys, _end()), return_inverse=True)
+    return Tokens(keys, inverse[code], np.concatenate([[0], np.cumsum(size)]))
+
+
+def _pack(a: np.ndarray) -> bytes:
+    """The array's bytes by significance, compressed: what is alike comes together."""
+    raw = np.ascontiguousarray(a)
+    return pa.compress(raw.view(np.uint8).reshape(len(raw), -1).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, n: int, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    raw = pa.decompress(data, decompressed_size=n * size, codec="zstd", asbytes=True) if n else b""
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(dtype).reshape(n)
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of (id, text) of at most ROWS rows and, but for one row, BYTES."""
     for whole in batches:
-        for at in range(0, whole.num_rows, ROWS):
-            b = whole.slice(at, ROWS)
-            folds = np.array([-1 if i is None else id_mod_py(i, FOLDS) for i in b.column(0).to_pylist()] if fold else [], np.int64)
-            yield b, tokens(b.column(1)), folds
+        size = pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy()
+        ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        at = 0
+        while at < whole.num_rows:
+            to = min(at + ROWS, max(at + 1, int(np.searchsorted(ends, ends[at] + BYTES, side="right")) - 1))
+            yield whole.slice(at, to - at)
+            at = to
 
 
-def vocabulary(rows: DataFrame) -> DataFrame:
-    """w, n and dev: every training token's count, and that in the DEV rows."""
+ASKED = "bucket int, n_words int, n_pairs int, words binary, words_n binary, words_dev binary, pairs binary, pairs_n binary, pairs_dev binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, t, fold in _each(batches):
-            of = fold[t.text]
-            n = np.bincount(t.code[of > HELD_OUT], minlength=len(t.keys))
-            dev = np.bincount(t.code[of == DEV], minlength=len(t.keys))
-            k = np.nonzero(n)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(t.keys[k]), pa.array(n[k]), pa.array(dev[k])], names=["w", "n", "dev"])
-
-    counted = rows.mapInArrow(run, "w long, n long, dev long")
-    return counted.groupBy("w").agg(F.sum("n").alias("n"), F.sum("dev").alias("dev"))
-
-
-def _columns(t: Tokens, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each token's (context, column).  hot: sorted keys; column len(hot) is any
-    cold word, context len(hot) too, and len(hot) + 1 the start."""
-    k = np.searchsorted(hot, t.keys)
-    k[k == len(hot)] = 0
-    column = np.where(hot[k] == t.keys, k, len(hot))[t.code] if len(hot) else np.zeros(len(t.code), np.int64)
-    context = np.empty_like(column)
-    context[1:] = column[:-1]
-    context[t.first] = len(hot) + 1
-    return context, column
-
-
-def table_counts(rows: DataFrame, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Training counts of (context, column), and those in the DEV rows."""
-    shape = (len(hot) + 2, len(hot) + 1)
-    shared = rows.sparkSession.sparkContext.broadcast(hot)
+
+def asked(rows: DataFrame, buckets: int) -> DataFrame:
+    """Rows of two kinds.  For each batch one with ids, and its tokens packed; and
+    one for each bucket: keys of distinct words and pairs with the batch's counts
+    in training rows and in DEV rows."""
+    id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, dev = np.zeros(shape[0] * shape[1], np.int64), np.zeros(shape[0] * shape[1], np.int32)
-        for _, t, fold in _each(batches):
-            context, column = _columns(t, shared.value)
-            cell, of = context * shape[1] + column, fold[t.text]
-            np.add.at(n, cell[of > HELD_OUT], 1)
-            np.add.at(dev, cell[of == DEV], 1)
-        k = np.nonzero(n)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(n[k]), pa.array(dev[k].astype(np.int64))], names=["cell", "n", "dev"])
-
-    summed = rows.mapInArrow(run, "cell int, n long, dev long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("dev").alias("dev"))
-    got = summed.toArrow()  # at most shape[0] * shape[1] rows
-    n, dev = np.zeros(shape[0] * shape[1], np.int64), np.zeros(shape[0] * shape[1], np.int64)
-    n[got["cell"].to_numpy()], dev[got["cell"].to_numpy()] = got["n"].to_numpy(), got["dev"].to_numpy()
-    return n.reshape(shape), dev.reshape(shape)
-
-
-def _bucket(context_counts: np.ndarray) -> np.ndarray:
+        from uuid import uuid4
+
+        own = pa.binary()
+        bounds = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
+        for b in _slices(batches):
+            ids, t, name = b.column(0), tokens(b.column(1)), uuid4().hex
+            fold = np.array([-1 if i is None else id_mod_py(i, FOLDS) for i in ids.to_pylist()], np.int64)
+            of = fold[t.text()]
+            train, dev = of > HELD_OUT, of == DEV
+            h, w, at, key = t.pairs()
+            order = np.argsort(key)
+            count = lambda code, n, which: np.bincount(code, which, n).astype(np.int64)
+            parts = [
+                (t.keys, count(t.code, len(t.keys), train), count(t.code, len(t.keys), dev)),
+                (key[order], count(at, len(key), train)[order], count(at, len(key), dev)[order]),
+            ]
+            # A text's start is counted with the pairs, by its own key.
+            place = int(np.searchsorted(parts[1][0], _start()))
+            parts[1] = tuple(np.insert(a, place, v) for a, v in zip(parts[1], (_start(), (fold > HELD_OUT).sum(), (fold == DEV).sum()), strict=True))
+            cut = [np.concatenate([[0], np.searchsorted(k, bounds), [len(k)]]) for k, _, _ in parts]
+            blocks = [[_pack(a[i:j]) for i, j in zip(c[:-1], c[1:], strict=True)] for p, c in zip(parts, cut, strict=True) for a in p]
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)]
+            texts = [pa.array([_pack(t.ends)]), pa.array([_pack(t.code.astype(np.uint32))]), pa.array([_pack(t.keys)])]
+            sizes = [pa.array([len(t.code)]), pa.array([len(t.keys)], pa.int32())]
+            nulls = lambda n, *kinds: [pa.nulls(n, k) for k in kinds]
+            names = ["batch", "ids", "ends", "codes", "keys", "n_tokens", "n_keys", "bucket", "n_words", "n_pairs", "words", "words_n", "words_dev", "pairs", "pairs_n", "pairs_dev"]
+            yield pa.RecordBatch.from_arrays([pa.array([name]), *lists, *texts, *sizes, *nulls(1, *[pa.int32()] * 3, *[own] * 6)], names=names)
+            columns = [pa.array(range(buckets), pa.int32()), *[pa.array(np.diff(c).astype(np.int32)) for c in cut], *[pa.array(x, own) for x in blocks]]
+            yield pa.RecordBatch.from_arrays([pa.array([name] * buckets), *nulls(buckets, lists[0].type, own, own, own, pa.int64(), pa.int32()), *columns], names=names)
+            pa.default_memory_pool().release_unused()
+
+    return rows.mapInArrow(run, f"batch string, ids array<{id_type}>, ends binary, codes binary, keys binary, n_tokens long, n_keys int, {ASKED}")
+
+
+TOTALS = "batch string, bucket int, n_words int, n_pairs int, words_n binary, words_dev binary, pairs_n binary, pairs_dev binary, tokens long, tokens_dev long, types long"
+
+
+def _sum_bucket(got: pa.Table) -> pa.Table:
+    """The totals of every key of a bucket, block by block."""
+    out = {"batch": got["batch"], "bucket": got["bucket"], "n_words": got["n_words"], "n_pairs": got["n_pairs"]}
+    rows = got.num_rows
+    for kind in ("words", "pairs"):
+        size = got[f"n_{kind}"].to_numpy()
+        read = lambda name, dtype, size=size: np.concatenate([_unpack(x.as_py(), int(n), dtype) for x, n in zip(got[name], size, strict=True)])
+        one, at = np.unique(read(kind, np.uint64), return_inverse=True)
+        ends = np.concatenate([[0], np.cumsum(size)])
+        for what in ("n", "dev"):
+            total = np.bincount(at, read(f"{kind}_{what}", np.int64), len(one)).astype(np.int64)
+            each = total[at]
+            out[f"{kind}_{what}"] = pa.array([_pack(each[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
+            if kind == "words":  # once a bucket
+                out["tokens" if what == "n" else "tokens_dev"] = pa.array([int(total.sum())] + [0] * (rows - 1))
+                if what == "n":
+                    out["types"] = pa.array([int((total > 0).sum())] + [0] * (rows - 1))
+    pa.default_memory_pool().release_unused()
+    return pa.table({name: out[name] for name in (f.split()[0] for f in TOTALS.split(", "))})
+
+
+@dataclass
+class Counted:
+    """A batch's tokens with the counts that it asked for."""
+
+    ids: pa.Array
+    t: Tokens
+    words_n: np.ndarray
+    words_dev: np.ndarray
+    context: np.ndarray  # of each distinct pair, as Tokens.pairs has them
+    word: np.ndarray
+    at: np.ndarray
+    pairs_n: np.ndarray
+    pairs_dev: np.ndarray
+    start_n: int
+    start_dev: int
+
+
+def _counted(b: pa.RecordBatch) -> Iterator[Counted]:
+    for row in range(b.num_rows):
+        value = lambda name, row=row: b.column(name)[row].as_py()
+        ids = b.column("ids")[row].values
+        t = Tokens(_unpack(value("keys"), value("n_keys"), np.uint64), _unpack(value("codes"), value("n_tokens"), np.uint32).astype(np.int64), _unpack(value("ends"), len(ids) + 1, np.int64))
+        blocks = sorted(value("totals"), key=lambda x: x["bucket"])
+        read = lambda kind, what, blocks=blocks: np.concatenate([_unpack(x[f"{kind}_{what}"], x[f"n_{kind}"], np.int64) for x in blocks])
+        h, w, at, key = t.pairs()
+        order = np.argsort(key)
+        place = int(np.searchsorted(key[order], _start()))
+        pairs = {}
+        for what in ("n", "dev"):
+            got = read("pairs", what)
+            pairs[what] = np.empty(len(key), np.int64)
+            pairs[what][order] = np.delete(got, place)
+            pairs[f"start_{what}"] = int(got[place])
+        yield Counted(ids, t, read("words", "n"), read("words", "dev"), h, w, at, pairs["n"], pairs["dev"], pairs["start_n"], pairs["start_dev"])
+
+
+def bucket_of(context_counts: np.ndarray) -> np.ndarray:
     """The binary order of magnitude of each context's count; 0 for none."""
-    return np.ceil(np.log2(context_counts + 1.0)).astype(int)
+    return np.ceil(np.log2(context_counts + 1.0)).astype(np.int64)
 
 
-def learn_weights(n: np.ndarray, dev: np.ndarray, cold: list[np.ndarray]) -> np.ndarray:
-    """Weights (bucket x [bigram, unigram, uniform]) by EM on the counts ``dev``.
+def held_out_events(counted: DataFrame) -> DataFrame:
+    """b, d, p2 and w of the DEV rows' pairs: the bucket of c(h), how many there
+    are, and their mean c(h, w) / c(h) and c(w), all without the DEV rows."""
 
-    n: counts without them.  cold: ``cold_events`` of the pairs with a cold word.
-    """
-    h = n.sum(1)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for c in _counted(b):
+                fold = np.array([i is not None and id_mod_py(i, FOLDS) == DEV for i in c.ids.to_pylist()], bool)
+                d = np.bincount(c.at, fold[c.t.text()], len(c.context))
+                k = np.nonzero(d)[0]
+                d, h = d[k], np.append(c.words_n - c.words_dev, c.start_n - c.start_dev)[c.context[k]]
+                p2, w = (c.pairs_n - c.pairs_dev)[k] / np.maximum(1, h), (c.words_n - c.words_dev)[c.word[k]].astype(float)
+                order = [np.where(x > 0, np.floor(FINE * np.log2(np.maximum(x, 1e-300))), -4096).astype(np.int64) for x in (p2, w)]
+                cell, back = np.unique(np.stack([bucket_of(h), *order], 1), axis=0, return_inverse=True)
+                total = lambda x, back=back, n=len(cell): np.bincount(back.ravel(), x, n)
+                yield pa.RecordBatch.from_arrays([*[pa.array(cell[:, j]) for j in range(3)], pa.array(total(d)), pa.array(total(d * p2)), pa.array(total(d * w))], names=["b", "o2", "o1", "d", "p2", "w"])
+
+    cells = counted.mapInArrow(run, "b long, o2 long, o1 long, d double, p2 double, w double")
+    summed = cells.groupBy("b", "o2", "o1").agg(*[F.sum(c).alias(c) for c in ("d", "p2", "w")])
+    return summed.select("b", "d", (F.col("p2") / F.col("d")).alias("p2"), (F.col("w") / F.col("d")).alias("w"))
+
+
+def learn_weights(b: np.ndarray, p2: np.ndarray, p1: np.ndarray, p0: float, d: np.ndarray) -> np.ndarray:
+    """Weights (bucket x [bigram, unigram, uniform]) by EM on d events each with
+    these estimates.  A context never seen has no bigram."""
     weights = np.tile([0.6, 0.39, 0.01], (65, 1))
-    total = max(1, n.sum())
-    i, j = np.nonzero(dev)
-    hot = (j < n.shape[1] - 1) & (i != n.shape[1] - 1)
-    i, j = i[hot], j[hot]
-    events = [(_bucket(h)[i], n[i, j] / np.maximum(1, h[i]), n[:, :-1].sum(0)[j] / total, dev[i, j].astype(float)), cold[:4]]
-    b, p2, p1, d = (np.concatenate(x) for x in zip(*events, strict=True))
-    parts = np.stack([p2, p1, np.full(len(b), cold[4])], 1)
+    weights[0] = [0.0, 0.975, 0.025]
+    parts = np.stack([p2, p1, np.full(len(b), p0)], 1)
     for _ in range(ROUNDS if len(b) else 0):
         share = weights[b] * parts
         share *= (d / share.sum(1))[:, None]
-        summed = np.stack([np.bincount(b, weights=share[:, k], minlength=len(weights)) for k in range(3)], 1)
+        summed = np.stack([np.bincount(b, share[:, k], len(weights)) for k in range(3)], 1)
         seen = summed.sum(1) > 0
         weights[seen] = np.maximum(summed[seen] / summed[seen].sum(1, keepdims=True), 1e-6)
+        weights[0, 0] = 0.0
         weights /= weights.sum(1, keepdims=True)
     return weights
 
 
 @dataclass
 class Model:
-    hot: np.ndarray  # sorted keys
-    hot_n: np.ndarray  # their counts
-    log_hot: np.ndarray  # context x hot: log10 of the mixed probability
-    slope: np.ndarray  # by context: cold words of count c have on average
-    floor: np.ndarray  # the probability slope * c + floor
-    mix: np.ndarray  # bucket x factors of c(h, w) / c(h), of c(w), and 1
-    start_n: int  # training texts
-    tokens_n: int
+    """What mixes the counts; the counts themselves come with the texts."""
+
+    weights: np.ndarray
+    tokens: int
     types: int
 
     def base(self, n: np.ndarray) -> np.ndarray:
-        return np.log10((n + 0.1) / (self.tokens_n + 0.1 * (self.types + 1)))
-
-
-def _is_hot(keys: np.ndarray, hot: np.ndarray) -> np.ndarray:
-    return np.isin(keys, hot)
-
-
-def _cold_words(t: Tokens, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Text and code of each text's distinct cold words, by text and key."""
-    order = np.argsort(t.keys)
-    rank = np.empty_like(order)
-    rank[order] = np.arange(len(order))
-    cold = ~_is_hot(t.keys, hot)[t.code]
-    one = np.unique(t.text[cold] * len(order) + rank[t.code[cold]])
-    return one // len(order), order[one % len(order)]
-
-
-def with_counts(rows: DataFrame, words: DataFrame, hot: np.ndarray) -> DataFrame:
-    """doc_id, text, and n and dev of its distinct cold words, by their keys."""
-    shared = rows.sparkSession.sparkContext.broadcast(hot)
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-
-    def of_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, t, _ in _each(batches, fold=False):
-            text, code = _cold_words(t, shared.value)
-            yield pa.RecordBatch.from_arrays([pa.array(t.keys[code]), b.column(0).take(pa.array(text))], names=["w", "row"])
-
-    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, t, _ in _each(batches, fold=False):
-            text, code = _cold_words(t, shared.value)
-            known = b.column(2).flatten()
-            w, at = np.unique(known.field("w").to_numpy(), return_index=True)
-            there = np.isin(t.keys[code], w)
-            k = at[np.searchsorted(w, t.keys[code][there])]
-            ends = pa.array(np.searchsorted(text, np.arange(b.num_rows + 1)).astype(np.int32))
-            got = []
-            for name in ("n", "dev"):
-                of = np.zeros(len(code), np.int64)
-                of[there] = known.field(name).to_numpy()[k]
-                got.append(pa.ListArray.from_arrays(ends, pa.array(of)))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *got], names=["doc_id", "text", "n", "dev"])
-
-    keyed = rows.withColumn("row", F.xxhash64("doc_id", "text"))
-    parts = []
-    for k in range(SLICES):
-        part = keyed.filter(F.pmod("row", F.lit(SLICES)) == k)
-        known = part.select("row", "text").mapInArrow(of_text, "w long, row long").join(words, "w")
-        known = known.groupBy("row").agg(F.collect_list(F.struct("w", "n", "dev")).alias("known"))
-        both = part.join(known, "row", "left").select("doc_id", "text", F.coalesce("known", F.array().cast("array<struct<w:long,n:long,dev:long>>")).alias("known"))
-        parts.append(written(both.mapInArrow(aligned, f"doc_id {id_type}, text string, n array<long>, dev array<long>"), "counted-texts"))
-        rows.sparkSession._jvm.System.gc()  # shuffle files of the part
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _counted(b: pa.RecordBatch, t: Tokens, hot: np.ndarray, of_hot: np.ndarray, column: int) -> np.ndarray:
-    """The count of each of t.keys: ``of_hot``, or of the list in the column."""
-    out = np.zeros(len(t.keys), np.int64)
-    _, code = _cold_words(t, hot)
-    out[code] = b.column(column).flatten().to_numpy()
-    there = _is_hot(t.keys, hot)
-    out[there] = of_hot[np.searchsorted(hot, t.keys[there])]
-    return out
-
-
-def _pairs(t: Tokens, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens whose pair has a cold word, the code of each one's context (-1:
-    start) and the key of the pair."""
-    before = np.empty_like(t.code)
-    before[1:] = t.code[:-1]
-    before[t.first] = -1
-    is_hot = np.append(_is_hot(t.keys, hot), True)  # the start too
-    at = np.nonzero(~(is_hot[t.code] & is_hot[before]))[0]
-    h, w = np.append(t.keys, 0).view(np.uint64)[before[at]], t.keys.view(np.uint64)[t.code[at]]
-    key = h * np.uint64(0x9E3779B97F4A7C15) + w
-    key = (key ^ key >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
-    return at, before[at], (key ^ key >> np.uint64(29)).view(np.int64)
-
-
-def cold_events(texts: DataFrame, hot: np.ndarray, hot_n: np.ndarray, start_n: int, tokens_n: int, types: int) -> list[np.ndarray]:
-    """Bucket of c(h), bigram and unigram estimates and held-out counts of the
-    pairs with a cold word, all counts without the held-out rows; then 1 / (V + 1).
-
-    Pairs of a bucket whose estimates agree to a quarter of a binary order of
-    magnitude are one event with their mean estimates; so the number of events
-    doesn't depend on the input.
-    """
-    shared = texts.sparkSession.sparkContext.broadcast((hot, hot_n, start_n))
+        return np.log10((n + 0.1) / (self.tokens + 0.1 * (self.types + 1)))
+
+    def log(self, pair: np.ndarray, context: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """log10 of the mixed probability, from c(h, w), c(h) and c(w)."""
+        if not self.tokens:
+            return np.zeros(len(pair))
+        f = self.weights[bucket_of(context)]
+        return np.log10(f[:, 0] * pair / np.maximum(1, context) + f[:, 1] * word / self.tokens + f[:, 2] / (self.types + 1))
+
+
+def counted_texts(rows: DataFrame) -> tuple[DataFrame, dict]:
+    """The batches of all texts with their counts, written; and tokens, tokens_dev
+    and types of the training rows."""
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(1, math.ceil(size / BUCKET_BYTES))
+    both = written(asked(rows, buckets), "asked-counts")
+    totals = written(both.filter("bucket is not null").select("batch", *(c.split()[0] for c in ASKED.split(", "))).groupBy("bucket").applyInArrow(_sum_bucket, TOTALS), "count-totals")
+    stats = totals.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "tokens_dev", "types")]).first().asDict()
+    answers = totals.groupBy("batch").agg(F.collect_list(F.struct("bucket", "n_words", "n_pairs", "words_n", "words_dev", "pairs_n", "pairs_dev")).alias("totals"))
+    texts = both.filter("bucket is null").select("batch", "ids", "ends", "codes", "keys", "n_tokens", "n_keys")
+    out = written(texts.join(answers, "batch"), "counted-texts")
+    dropped(both)
+    dropped(totals)
+    return out, stats
+
+
+def fit(counted: DataFrame, stats: dict) -> Model:
+    """The mixture weights; at most one event for each cell of (bucket, order of
+    p2, order of w) reaches the driver, whatever the input."""
+    got = held_out_events(counted).toArrow()
+    b, d, p2, w = (got[c].to_numpy() for c in ("b", "d", "p2", "w"))
+    weights = learn_weights(b.astype(np.int64), p2, w / max(1, stats["tokens"] - stats["tokens_dev"]), 1 / (stats["types"] + 1), d)
+    return Model(weights, stats["tokens"], stats["types"])
+
+
+def score(counted: DataFrame, model: Model) -> DataFrame:
+    """doc_id, n_tokens, n_known, base_score and score of every text."""
+    shared = counted.sparkSession.sparkContext.broadcast(model)
+    id_type = counted.schema["ids"].dataType.elementType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, hot_n, start_n = shared.value
-        for b, t, fold in _each(batches):
-            rest = np.append(_counted(b, t, hot, hot_n, 2) - _counted(b, t, hot, np.zeros_like(hot_n), 3), start_n)
-            at, before, key = _pairs(t, hot)
-            of = fold[t.text[at]]
-            at, before, key, of = (x[of > HELD_OUT] for x in (at, before, key, of))
-            key, first, back = np.unique(key, return_index=True, return_inverse=True)
-            dev = np.bincount(back[of == DEV], minlength=len(key))
-            n = np.bincount(back, minlength=len(key)) - dev
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, n, dev, rest[before[first]], rest[t.code[at[first]]])], names=["key", "n", "dev", "h", "w"])
-
-    one = texts.mapInArrow(run, "key long, n long, dev long, h long, w long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("dev").alias("dev"), F.first("h").alias("h"), F.first("w").alias("w")).filter("dev > 0")
-    p2, p1 = F.col("n") / F.greatest("h", F.lit(1)), F.col("w") / F.lit(max(1, tokens_n))
-    cells = one.select(F.ceil(F.log2(F.col("h") + 1)).alias("b"), p2.alias("p2"), p1.alias("p1"), "dev")
-    order = [F.floor(4 * F.log2(F.when(F.col(p) > 0, F.col(p)))).alias(f"_{p}") for p in ("p2", "p1")]
-    got = cells.groupBy("b", *order).agg(*[(F.sum(F.col(p) * F.col("dev")) / F.sum("dev")).alias(p) for p in ("p2", "p1")], F.sum("dev").alias("d")).select("b", "p2", "p1", F.col("d").cast("double")).toArrow()
-    return [*(got[k].to_numpy() for k in range(4)), 1 / (types + 1)]
-
-
-def fit(rows: DataFrame, words: DataFrame, size: int = VOCABULARY, texts: DataFrame | None = None) -> Model:
-    """rows: doc_id and text; words: their ``vocabulary``; texts: ``with_counts``
-    of the ``hot_words``."""
-    stats = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    hot, hot_n = hot_words(words, size)
-    n, dev = table_counts(rows, hot)
-    rest = n - dev
-    texts = with_counts(rows, words, hot) if texts is None else texts
-    weights = learn_weights(rest, dev, cold_events(texts, hot, rest[:, :-1].sum(0), int(rest[-1].sum()), int(rest.sum()), stats["v"]))
-    h = n.sum(1)
-    by_context = weights[_bucket(h)]
-    uniform = by_context[:, 2] / (stats["v"] + 1)
-    total = max(1, stats["n"])
-    mixed = n[:, :-1] * (by_context[:, 0] / np.maximum(1, h))[:, None] + by_context[:, 1][:, None] * (hot_n / total) + uniform[:, None]
-    slope = by_context[:, 0] * n[:, -1] / np.maximum(1, h) / max(1, n[:, -1].sum()) + by_context[:, 1] / total
-    mix = weights / [1, total, stats["v"] + 1]
-    if not stats["n"]:
-        slope, uniform, mix = np.zeros(len(h)), np.ones(len(h)), np.tile([0.0, 0.0, 1.0], (65, 1))
-    return Model(hot, hot_n, np.log10(mixed), slope, uniform, mix, int(h[-1]), stats["n"], stats["v"])
-
-
-def hot_words(words: DataFrame, size: int = VOCABULARY) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys of the most frequent words, and their counts."""
-    top = words.orderBy(F.desc("n"), "w").limit(size).select("w", "n").toArrow()
-    order = np.argsort(top["w"].to_numpy())
-    return top["w"].to_numpy()[order], top["n"].to_numpy()[order]
-
-
-def score(texts: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_tokens, n_known, base_score and score; one row an id.
-    texts: ``with_counts`` of the model's hot words."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(model)
-    id_type = texts.schema["doc_id"].dataType.simpleString()
-
-    def of_hot(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for b, t, _ in _each(batches, fold=False):
-            n = _counted(b, t, m.hot, m.hot_n, 2)
-            context, column = _columns(t, m.hot)
-            hot = (column < len(m.hot)) & (context != len(m.hot))
-            known = np.bincount(t.text[n[t.code] > 0], minlength=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.bincount(t.text, minlength=b.num_rows)), pa.array(known), pa.array(np.bincount(t.text, m.base(n)[t.code], b.num_rows)), pa.array(np.bincount(t.text[hot], m.log_hot[context[hot], column[hot]], b.num_rows).astype(float))], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
-
-    def of_cold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b, t, fold in _each(batches):
-            n = np.append(_counted(b, t, m.hot, m.hot_n, 2), m.start_n)
-            at, before, key = _pairs(t, m.hot)
-            # Equal (text, context, word) as one row, with how many there were.
-            order = np.lexsort((key, t.text[at]))
-            text, key = t.text[at][order], key[order]
-            new = np.nonzero(np.append(True, (text[1:] != text[:-1]) | (key[1:] != key[:-1])))[0] if len(key) else np.zeros(0, np.int64)
-            times, first = np.diff(np.append(new, len(key))), order[new]
-            yield pa.RecordBatch.from_arrays([pa.array(key[new]), b.column(0).take(pa.array(text[new])), pa.array(times), pa.array(np.where(fold[text[new]] > HELD_OUT, times, 0)), pa.array(n[before[first]]), pa.array(n[t.code[at[first]]])], names=["key", "doc_id", "times", "train", "h", "w"])
-
-    hot = texts.mapInArrow(of_hot, f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double")
-    cold = texts.mapInArrow(of_cold, f"key long, doc_id {id_type}, times long, train long, h long, w long")
-    mix = spark.createDataFrame([(k, *map(float, x)) for k, x in enumerate(model.mix)], "b int, f2 double, f1 double, f0 double")
-    counted = cold.withColumn("n", F.sum("train").over(Window.partitionBy("key"))).withColumn("b", F.ceil(F.log2(F.col("h") + 1)).cast("int"))
-    mixed = F.col("f2") * F.col("n") / F.greatest("h", F.lit(1)) + F.col("f1") * F.col("w") + F.col("f0")
-    none = F.lit(0).cast("long")
-    parts = counted.join(F.broadcast(mix), "b").select("doc_id", none.alias("n_tokens"), none.alias("n_known"), F.lit(0.0).alias("base_score"), (F.col("times") * F.log10(mixed)).alias("score"))
-    sums = [F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base_score", "score")]
-    return hot.unionByName(parts.groupBy("doc_id").agg(*sums)).groupBy("doc_id").agg(*sums)
+        for b in batches:
+            for c in _counted(b):
+                text, n = c.t.text(), c.words_n[c.t.code]
+                logs = m.log(c.pairs_n, np.append(c.words_n, c.start_n)[c.context], c.words_n[c.word])
+                sums = [np.bincount(text, x, len(c.ids)) for x in (n > 0, m.base(c.words_n)[c.t.code], logs[c.at])]
+                columns = [c.ids, pa.array(np.diff(c.t.ends)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
+                pa.default_memory_pool().release_unused()
+
+    return counted.mapInArrow(run, f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -384,13 +360,10 @@ def held_out(doc_id: Column) -> Column:
 
 def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``score`` of all rows by a model learned from their training part."""
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    words = written(vocabulary(rows), "vocabulary")
-    texts = with_counts(rows, words, hot_words(words)[0])
-    model = fit(rows, words, texts=texts)
-    dropped(words)
-    df.sparkSession._jvm.System.gc()  # shuffle files of the fit
-    return score(texts, model).withColumn("train_tokens", F.lit(model.tokens_n).cast("long")).withColumn("held_out", held_out(F.col("doc_id")))
+    counted, stats = counted_texts(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    df.sparkSession._jvm.System.gc()  # lets go of shuffle files that nothing needs
+    model = fit(counted, stats)
+    return score(counted, model).withColumn("train_tokens", F.lit(model.tokens).cast("long")).withColumn("held_out", held_out(F.col("doc_id")))
 
 
 def op9_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -289,54 +289,84 @@ def test_embeddings(spark, monkeypatch, cell):
     assert covertree.links(df.limit(0)).count() == 0
 
 
-def test_lm_scores(docs, spark):
-    more = docs.select("doc_id", "text").unionByName(spark.range(100, 160).select(F.col("id").alias("doc_id"), F.concat(F.lit("the cat sat on the mat "), F.col("id")).alias("text"))).filter("doc_id != 4")
-    got = {r["doc_id"]: r for r in lm.score_documents(more.withColumn("score", F.lit("clash"))).collect()}
-    texts = {r["doc_id"]: [w.encode() for w in words(re.sub("[A-Z]", lambda m: m[0].lower(), r["text"] or ""))] + [None] for r in more.collect()}
-    fold = lambda i: zlib.crc32(str(i).encode()) % 10
-    c = Counter(w for i, t in texts.items() if fold(i) for w in t)
-    n, v = sum(c.values()), len(c)
-    assert set(got) == set(texts)
-    for i, t in texts.items():
-        base = sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t)
-        r = got[i]
-        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (len(t), sum(c[w] > 0 for w in t), n, fold(i) == 0)
-        assert r["base_score"] == pytest.approx(base, rel=1e-9) and r["score"] < 0
-    held = [r for i, r in got.items() if r["held_out"] and i >= 100]
-    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
-    assert lm.score_documents(more.limit(0)).count() == 0
-
-
-def test_lm_model_is_a_distribution(spark, monkeypatch):
-    rows = spark.range(40).select(F.col("id").alias("doc_id"), F.expr("concat_ws(' ', 'a', 'b', if(id % 3 = 0, 'c', 'd'), concat('w', id % 7))").alias("text"))
-    vocabulary = lm.written(lm.vocabulary(rows), "v")
-    m = lm.fit(rows, vocabulary, size=3)
-    cold = [r["n"] for r in vocabulary.collect() if r["w"] not in set(m.hot.tolist())]
-    total = (10**m.log_hot).sum(1) + m.slope * sum(cold) + m.floor * (len(cold) + 1)
-    seen = np.nonzero(m.log_hot.std(1) > 0)[0]
-    assert np.allclose(total[seen], 1.0, atol=0.05)
-
-
-def test_lm_counts_pairs_of_infrequent_words(spark):
-    ids = [k for k in range(200) if zlib.crc32(str(k).encode()) % 10]
-    held = [k for k in range(200) if not zlib.crc32(str(k).encode()) % 10]
-    common = " ".join(f"f{k}" for k in range(2100))
-    texts = [(i, common) for i in ids[:6]] + [(i, f"r{k % 30} s{k % 30}") for k, i in enumerate(ids[6:96])]
-    texts += [(held[0], "r1 s1"), (held[1], "r1 s2"), (held[2], "r1 f5 new s1 s1 s1")]
-    rows = spark.createDataFrame(texts, "doc_id long, text string")
-    got = {r["doc_id"]: r["score"] for r in lm.score_documents(rows).collect()}
-    assert got[held[0]] > got[held[1]] + 0.5  # all four words are outside the 2048 most frequent
-    words = lm.written(lm.vocabulary(rows), "v")
-    counted = lm.with_counts(rows, words, lm.hot_words(words, 40)[0])
-    m = lm.fit(rows, words, 40, counted)
-    tokens = {i: [None, *t.split(), "\n"] for i, t in texts}
-    train = [t for i, t in tokens.items() if i in ids]
-    c, c2 = Counter(w for t in train for w in t), Counter(x for t in train for x in zip(t, t[1:], strict=False))
-    for r in lm.score(counted, m).collect():
-        t = tokens[r["doc_id"]]
-        mix = [m.mix[math.ceil(math.log2(c[h] + 1))] for h in t[:-1]]
-        want = sum(math.log10(f[0] * c2[h, w] / max(1, c[h]) + f[1] * c[w] + f[2]) for f, h, w in zip(mix, t, t[1:], strict=False))
-        assert r["score"] == pytest.approx(want, rel=1e-9)
+def brute_lm(texts):
+    """Scores of (id, text) rows by plain counting, and the weights."""
+    fold = lambda i: -1 if i is None else zlib.crc32(str(i).encode()) % 10
+    toks = [(fold(i), [None, *words(re.sub("[A-Z]", lambda m: m[0].lower(), t or "")), "\n"]) for i, t in texts]
+
+    def counts(which):
+        c1, c2 = Counter(), Counter()
+        for f, t in toks:
+            if which(f):
+                c1.update(t)
+                c2.update(zip(t, t[1:], strict=False))
+        return c1, c2, sum(n for w, n in c1.items() if w is not None)
+
+    c1, c2, n = counts(lambda f: f > 0)
+    r1, r2, rn = counts(lambda f: f > 1)
+    v = len(c1) - (None in c1)
+    bucket = lambda c: math.ceil(math.log2(c + 1))
+    weights = defaultdict(lambda: [0.6, 0.39, 0.01], {0: [0.0, 0.975, 0.025]})
+    events = [(bucket(r1[h]), r2[h, w] / max(1, r1[h]), r1[w] / max(1, rn), 1 / (v + 1)) for f, t in toks if f == 1 for h, w in zip(t, t[1:], strict=False)]
+    for _ in range(lm.ROUNDS):
+        sums = defaultdict(lambda: [0.0, 0.0, 0.0])
+        for b, *p in events:
+            total = sum(x * y for x, y in zip(weights[b], p, strict=True))
+            for k in range(3):
+                sums[b][k] += weights[b][k] * p[k] / total
+        for b, s in sums.items():
+            new = [max(x / sum(s), 1e-6) if b or k else 0.0 for k, x in enumerate(s)]
+            weights[b] = [x / sum(new) for x in new]
+    out = []
+    for (_, t), (i, _) in zip(toks, texts, strict=True):
+        mixed = lambda h, w: sum(x * y for x, y in zip(weights[bucket(c1[h])], (c2[h, w] / max(1, c1[h]), c1[w] / n, 1 / (v + 1)), strict=True))
+        pairs = list(zip(t, t[1:], strict=False))
+        out.append((i, len(pairs), sum(c1[w] > 0 for _, w in pairs), sum(math.log10((c1[w] + 0.1) / (n + 0.1 * (v + 1))) for _, w in pairs), sum(math.log10(mixed(h, w)) for h, w in pairs)))
+    return out, weights, n
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_lm_scores_equal_plain_counting(docs, spark, monkeypatch, small):
+    import random
+
+    rng = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(rng.choices(vocabulary, [1 / (j + 1) for j in range(60)], k=rng.randrange(12)))) for k in range(300)]
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + [(k + 1000, t + " Rare pair" * (k % 3)) for k, t in rows] + [(None, "w0 w1 w0"), (None, "w0 w1"), (1000, "other text, equal id")]
+    if small:  # several batches and buckets
+        monkeypatch.setattr(lm, "BUCKET_BYTES", 4000)
+        monkeypatch.setattr(lm, "BYTES", 3000)
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit("clash"))
+    want, weights, n = brute_lm(rows)
+    got = lm.score_documents(df).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], round(r[3], 5))
+    pairs = list(zip(sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["base_score"], r["score"]) for r in got), key=key), sorted(want, key=key), strict=True))
+    assert all(a[:3] == b[:3] and a[3] == pytest.approx(b[3], rel=1e-9) for a, b in pairs)
+    # Estimates are summed by cells before the weights are learned.
+    assert all(a[4] == pytest.approx(b[4], rel=5e-3) for a, b in pairs)
+    assert {r["train_tokens"] for r in got} == {n} and all(r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0) for r in got)
+    counted, stats = lm.counted_texts(df.select("doc_id", "text"))
+    model = lm.fit(counted, stats)
+    assert all(model.weights[b] == pytest.approx(w, abs=0.02) for b, w in weights.items())
+
+
+def test_lm_without_training_rows(spark):
+    held = [k for k in range(60) if not zlib.crc32(str(k).encode()) % 10]
+    df = spark.createDataFrame([(k, "a b c") for k in held] + [(None, "a")], "doc_id long, text string")
+    assert {(r["n_tokens"], r["score"]) for r in lm.score_documents(df).collect()} == {(4, 0.0), (2, 0.0)}
+    assert lm.score_documents(df.limit(0)).count() == 0
+
+
+def test_lm_learns_weights_exactly_from_exact_events():
+    rng = np.random.default_rng(1)
+    b, p2, p1, d = rng.integers(0, 4, 200), rng.random(200), rng.random(200) / 10, rng.integers(1, 5, 200).astype(float)
+    p2[b == 0] = 0
+    got = lm.learn_weights(b, p2, p1, 0.001, d)
+    assert np.allclose(got.sum(1), 1) and got[0, 0] == 0
+    for k in range(1, 4):
+        here = b == k
+        likelihood = lambda w, here=here: (d[here] * np.log(w[0] * p2[here] + w[1] * p1[here] + w[2] * 0.001)).sum()
+        assert all(likelihood(got[k]) >= likelihood(w) - 0.5 for w in rng.dirichlet([1, 1, 1], 300))
 
 
 def test_golay_keys_meet_within_three_bits():
