@@ -143,22 +143,40 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = to
 
 
-ASKED = "bucket int, n_words int, n_pairs int, words binary, words_n binary, words_dev binary, pairs binary, pairs_n binary, pairs_dev binary"
-
-
-def asked(rows: DataFrame, buckets: int) -> DataFrame:
-    """Rows of two kinds.  For each batch one with ids, and its tokens packed; and
-    one for each bucket: keys of distinct words and pairs with the batch's counts
-    in training rows and in DEV rows."""
+def batched(rows: DataFrame) -> DataFrame:
+    """A row a batch of texts: its name, ids, and its tokens packed."""
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from uuid import uuid4
 
-        own = pa.binary()
-        bounds = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
         for b in _slices(batches):
-            ids, t, name = b.column(0), tokens(b.column(1)), uuid4().hex
+            ids, t = b.column(0), tokens(b.column(1))
+            lists = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+            packed = [pa.array([_pack(x)]) for x in (t.ends, t.code.astype(np.uint32), t.keys)]
+            yield pa.RecordBatch.from_arrays([pa.array([uuid4().hex]), lists, *packed, pa.array([len(t.code)]), pa.array([len(t.keys)])], names=["batch", "ids", "ends", "codes", "keys", "n_tokens", "n_keys"])
+            pa.default_memory_pool().release_unused()
+
+    return rows.mapInArrow(run, f"batch string, ids array<{id_type}>, ends binary, codes binary, keys binary, n_tokens long, n_keys long")
+
+
+def _tokens_of(b: pa.RecordBatch, row: int) -> tuple[pa.Array, Tokens]:
+    value = lambda name: b.column(name)[row].as_py()
+    ids = b.column("ids")[row].values
+    return ids, Tokens(_unpack(value("keys"), value("n_keys"), np.uint64), _unpack(value("codes"), value("n_tokens"), np.uint32).astype(np.int64), _unpack(value("ends"), len(ids) + 1, np.int64))
+
+
+ASKED = "batch string, bucket int, n_words int, n_pairs int, words binary, words_n binary, words_dev binary, pairs binary, pairs_n binary, pairs_dev binary"
+
+
+def asked(texts: DataFrame, buckets: int) -> DataFrame:
+    """For each batch and bucket the keys of distinct words and pairs, ascending,
+    with the batch's counts in training rows and in DEV rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds = np.array([(k << 64) // buckets for k in range(1, buckets)], np.uint64)
+        for b, row in ((b, row) for b in batches for row in range(b.num_rows)):
+            ids, t = _tokens_of(b, row)
             fold = np.array([-1 if i is None else id_mod_py(i, FOLDS) for i in ids.to_pylist()], np.int64)
             of = fold[t.text()]
             train, dev = of > HELD_OUT, of == DEV
@@ -174,17 +192,12 @@ def asked(rows: DataFrame, buckets: int) -> DataFrame:
             parts[1] = tuple(np.insert(a, place, v) for a, v in zip(parts[1], (_start(), (fold > HELD_OUT).sum(), (fold == DEV).sum()), strict=True))
             cut = [np.concatenate([[0], np.searchsorted(k, bounds), [len(k)]]) for k, _, _ in parts]
             blocks = [[_pack(a[i:j]) for i, j in zip(c[:-1], c[1:], strict=True)] for p, c in zip(parts, cut, strict=True) for a in p]
-            lists = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)]
-            texts = [pa.array([_pack(t.ends)]), pa.array([_pack(t.code.astype(np.uint32))]), pa.array([_pack(t.keys)])]
-            sizes = [pa.array([len(t.code)]), pa.array([len(t.keys)], pa.int32())]
-            nulls = lambda n, *kinds: [pa.nulls(n, k) for k in kinds]
-            names = ["batch", "ids", "ends", "codes", "keys", "n_tokens", "n_keys", "bucket", "n_words", "n_pairs", "words", "words_n", "words_dev", "pairs", "pairs_n", "pairs_dev"]
-            yield pa.RecordBatch.from_arrays([pa.array([name]), *lists, *texts, *sizes, *nulls(1, *[pa.int32()] * 3, *[own] * 6)], names=names)
-            columns = [pa.array(range(buckets), pa.int32()), *[pa.array(np.diff(c).astype(np.int32)) for c in cut], *[pa.array(x, own) for x in blocks]]
-            yield pa.RecordBatch.from_arrays([pa.array([name] * buckets), *nulls(buckets, lists[0].type, own, own, own, pa.int64(), pa.int32()), *columns], names=names)
+            name = b.column("batch")[row].as_py()
+            columns = [pa.array([name] * buckets), pa.array(range(buckets), pa.int32()), *[pa.array(np.diff(c).astype(np.int32)) for c in cut], *[pa.array(x, pa.binary()) for x in blocks]]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in ASKED.split(", ")])
             pa.default_memory_pool().release_unused()
 
-    return rows.mapInArrow(run, f"batch string, ids array<{id_type}>, ends binary, codes binary, keys binary, n_tokens long, n_keys int, {ASKED}")
+    return texts.select("batch", "ids", "ends", "codes", "keys", "n_tokens", "n_keys").mapInArrow(run, ASKED)
 
 
 TOTALS = "batch string, bucket int, n_words int, n_pairs int, words_n binary, words_dev binary, pairs_n binary, pairs_dev binary, tokens long, tokens_dev long, types long"
@@ -230,10 +243,8 @@ class Counted:
 
 def _counted(b: pa.RecordBatch) -> Iterator[Counted]:
     for row in range(b.num_rows):
-        value = lambda name, row=row: b.column(name)[row].as_py()
-        ids = b.column("ids")[row].values
-        t = Tokens(_unpack(value("keys"), value("n_keys"), np.uint64), _unpack(value("codes"), value("n_tokens"), np.uint32).astype(np.int64), _unpack(value("ends"), len(ids) + 1, np.int64))
-        blocks = sorted(value("totals"), key=lambda x: x["bucket"])
+        ids, t = _tokens_of(b, row)
+        blocks = sorted(b.column("totals")[row].as_py(), key=lambda x: x["bucket"])
         read = lambda kind, what, blocks=blocks: np.concatenate([_unpack(x[f"{kind}_{what}"], x[f"n_{kind}"], np.int64) for x in blocks])
         h, w, at, key = t.pairs()
         order = np.argsort(key)
@@ -315,13 +326,13 @@ def counted_texts(rows: DataFrame) -> tuple[DataFrame, dict]:
     and types of the training rows."""
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
-    both = written(asked(rows, buckets), "asked-counts")
-    totals = written(both.filter("bucket is not null").select("batch", *(c.split()[0] for c in ASKED.split(", "))).groupBy("bucket").applyInArrow(_sum_bucket, TOTALS), "count-totals")
+    texts = written(batched(rows), "token-batches")
+    totals = written(asked(texts, buckets).groupBy("bucket").applyInArrow(_sum_bucket, TOTALS), "count-totals")
+    rows.sparkSession._jvm.System.gc()  # lets go of shuffle files that nothing needs
     stats = totals.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "tokens_dev", "types")]).first().asDict()
     answers = totals.groupBy("batch").agg(F.collect_list(F.struct("bucket", "n_words", "n_pairs", "words_n", "words_dev", "pairs_n", "pairs_dev")).alias("totals"))
-    texts = both.filter("bucket is null").select("batch", "ids", "ends", "codes", "keys", "n_tokens", "n_keys")
     out = written(texts.join(answers, "batch"), "counted-texts")
-    dropped(both)
+    dropped(texts)
     dropped(totals)
     return out, stats
 
