@@ -20,6 +20,9 @@ WS = "[ \\t\\n\\x0B\\f\\r]+"
 #: The same six characters, as text.
 WS_CHARS = " \t\n\x0b\f\r"
 
+#: Spark's setting that deletes the shuffle files of a query when it has ended.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -53,7 +56,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # Once the table stands, nothing needs the shuffle files of its making.
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._obsflow_path = path
     return out

@@ -131,6 +131,15 @@ def _unpack(data: bytes, n: int, dtype) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(dtype).reshape(n)
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Of ascending keys the differences."""
+    return _pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpack_keys(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(_unpack(data, n, np.uint64), dtype=np.uint64)
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches of (id, text) of at most ROWS rows and, but for one row, BYTES."""
     for whole in batches:
@@ -153,7 +162,7 @@ def batched(rows: DataFrame) -> DataFrame:
         for b in _slices(batches):
             ids, t = b.column(0), tokens(b.column(1))
             lists = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
-            packed = [pa.array([_pack(x)]) for x in (t.ends, t.code.astype(np.uint32), t.keys)]
+            packed = [pa.array([x]) for x in (_pack(t.ends), _pack(t.code.astype(np.uint32)), _pack_keys(t.keys))]
             yield pa.RecordBatch.from_arrays([pa.array([uuid4().hex]), lists, *packed, pa.array([len(t.code)]), pa.array([len(t.keys)])], names=["batch", "ids", "ends", "codes", "keys", "n_tokens", "n_keys"])
             pa.default_memory_pool().release_unused()
 
@@ -163,7 +172,7 @@ def batched(rows: DataFrame) -> DataFrame:
 def _tokens_of(b: pa.RecordBatch, row: int) -> tuple[pa.Array, Tokens]:
     value = lambda name: b.column(name)[row].as_py()
     ids = b.column("ids")[row].values
-    return ids, Tokens(_unpack(value("keys"), value("n_keys"), np.uint64), _unpack(value("codes"), value("n_tokens"), np.uint32).astype(np.int64), _unpack(value("ends"), len(ids) + 1, np.int64))
+    return ids, Tokens(_unpack_keys(value("keys"), value("n_keys")), _unpack(value("codes"), value("n_tokens"), np.uint32).astype(np.int64), _unpack(value("ends"), len(ids) + 1, np.int64))
 
 
 ASKED = "batch string, bucket int, n_words int, n_pairs int, words binary, words_n binary, words_dev binary, pairs binary, pairs_n binary, pairs_dev binary"
@@ -191,7 +200,7 @@ def asked(texts: DataFrame, buckets: int) -> DataFrame:
             place = int(np.searchsorted(parts[1][0], _start()))
             parts[1] = tuple(np.insert(a, place, v) for a, v in zip(parts[1], (_start(), (fold > HELD_OUT).sum(), (fold == DEV).sum()), strict=True))
             cut = [np.concatenate([[0], np.searchsorted(k, bounds), [len(k)]]) for k, _, _ in parts]
-            blocks = [[_pack(a[i:j]) for i, j in zip(c[:-1], c[1:], strict=True)] for p, c in zip(parts, cut, strict=True) for a in p]
+            blocks = [[pack(a[i:j]) for i, j in zip(c[:-1], c[1:], strict=True)] for p, c in zip(parts, cut, strict=True) for a, pack in zip(p, (_pack_keys, _pack, _pack), strict=True)]
             name = b.column("batch")[row].as_py()
             columns = [pa.array([name] * buckets), pa.array(range(buckets), pa.int32()), *[pa.array(np.diff(c).astype(np.int32)) for c in cut], *[pa.array(x, pa.binary()) for x in blocks]]
             yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in ASKED.split(", ")])
@@ -209,11 +218,12 @@ def _sum_bucket(got: pa.Table) -> pa.Table:
     rows = got.num_rows
     for kind in ("words", "pairs"):
         size = got[f"n_{kind}"].to_numpy()
-        read = lambda name, dtype, size=size: np.concatenate([_unpack(x.as_py(), int(n), dtype) for x, n in zip(got[name], size, strict=True)])
-        one, at = np.unique(read(kind, np.uint64), return_inverse=True)
+        keys = np.concatenate([_unpack_keys(x.as_py(), int(n)) for x, n in zip(got[kind], size, strict=True)])
+        one, at = np.unique(keys, return_inverse=True)
         ends = np.concatenate([[0], np.cumsum(size)])
         for what in ("n", "dev"):
-            total = np.bincount(at, read(f"{kind}_{what}", np.int64), len(one)).astype(np.int64)
+            own = np.concatenate([_unpack(x.as_py(), int(n), np.int64) for x, n in zip(got[f"{kind}_{what}"], size, strict=True)])
+            total = np.bincount(at, own, len(one)).astype(np.int64)
             each = total[at]
             out[f"{kind}_{what}"] = pa.array([_pack(each[i:j]) for i, j in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
             if kind == "words":  # once a bucket
@@ -328,7 +338,6 @@ def counted_texts(rows: DataFrame) -> tuple[DataFrame, dict]:
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
     texts = written(batched(rows), "token-batches")
     totals = written(asked(texts, buckets).groupBy("bucket").applyInArrow(_sum_bucket, TOTALS), "count-totals")
-    rows.sparkSession._jvm.System.gc()  # lets go of shuffle files that nothing needs
     stats = totals.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "tokens_dev", "types")]).first().asDict()
     answers = totals.groupBy("batch").agg(F.collect_list(F.struct("bucket", "n_words", "n_pairs", "words_n", "words_dev", "pairs_n", "pairs_dev")).alias("totals"))
     out = written(texts.join(answers, "batch"), "counted-texts")
@@ -372,7 +381,6 @@ def held_out(doc_id: Column) -> Column:
 def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``score`` of all rows by a model learned from their training part."""
     counted, stats = counted_texts(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    df.sparkSession._jvm.System.gc()  # lets go of shuffle files that nothing needs
     model = fit(counted, stats)
     return score(counted, model).withColumn("train_tokens", F.lit(model.tokens).cast("long")).withColumn("held_out", held_out(F.col("doc_id")))
 
