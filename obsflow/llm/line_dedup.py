@@ -1,25 +1,34 @@
 """Near-duplicate lines by a segment-partition edit join, in Spark SQL only.
 
-A line of n characters is cut into EDITS + 1 even segments.  If a line of at
-least n characters is within EDITS edits of it, one segment occurs in that line
-near the place where the length difference and the segment's number allow it
-(the multi-match-aware window).  So each distinct line is indexed under the
-hashes of its segments, with their number and the line's length, and probes
-with the few substrings of its own that can match lines of each admissible
-length.  Candidates in which too many characters occur an odd number of times in one
-line only are dropped, and the rest verified by a banded bit-parallel edit distance: the states of the
-(2 * EDITS + 1)-wide band are bits, one mask for each number of edits.
-
-Links become classes by ``components.connected``; of each class the first line,
-by (id, place), stays.  Equal lines are grouped before the join.
-
-Lines are compared without the white space at their ends, by their 64-bit hash
-where equality is meant.  Lines under ``LEAST`` characters match equal lines
-only.  Lines without a word take no part and stay.
-
-Defined results: null text has no lines and stays null; rows with equal ids
-must not differ in their lines (equal rows are one document); null ids take no
-part and pass unchanged; other columns aren't read.
+Lines are sequences of words.  Two lines are near-duplicates if at most
+``tolerance`` words are inserted, deleted or replaced between them: none below
+``LEAST`` words, then one, and one more for every ``STEP`` words of the shorter
+line, up to ``MOST``.
+
+A line of n words is cut into tolerance + 1 even segments.  If a line of at
+least n words is near it, one segment occurs in that line near the place where
+the length difference and the segment's number allow it (the multi-match-aware
+window).  So each line is met under the hashes of its own segments and of the
+few runs of its words that can match a segment of each admissible length.
+
+Nobody pairs the lines of a key with each other.  The lines of a key are
+compared with the first line that has the segment as its own, by a banded
+bit-parallel edit distance: the states of the (2 * MOST + 1)-wide band are bits,
+one mask for each number of edits.  Links become classes.  A key whose lines
+now belong to one class is done.  In any other its lines are cut further: the
+words beside the matched segment are again cut into tolerance + 1 segments,
+which gives longer keys that fewer lines share, and so on until no key has two
+classes.  That ends, and finds what all pairs would: words shrink with each
+cut, and lines of which only ``tolerance`` words are left are all linked.
+
+Of each class the first line, by (id, hash of the text, place), stays.
+
+Lines of equal words are one line, told apart by 96 bits of hashes.  Lines
+without a word take no part and stay.
+
+Defined results: null text has no lines and stays null; rows equal in id and
+text are one document, rows with equal ids and different texts are not; null ids
+take no part and pass unchanged; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -27,160 +36,198 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, table, written
+from .common import WS_CHARS, dropped, table, written
 from .components import connected
 
-EDITS = 2
-LEAST = 24
-#: Line ids up to this number are broadcast (8 bytes each), more are shuffled.
+#: Lines under LEAST words match equal lines only; STEP words allow one more edit.
+LEAST, STEP, MOST = 8, 48, 4
+#: Keys or line ids up to this number are broadcast (16 bytes each), more are shuffled.
 BROADCAST_IDS = 500_000
-#: Removed lines and their documents up to this number are broadcast (at most 48
-#: bytes each), more are shuffled.
-BROADCAST_PLACES = 2_000_000
+#: Removed lines up to this number are broadcast (at most 48 bytes each), more
+#: are shuffled.
+BROADCAST_PLACES = 500_000
+WIDTH = 2 * MOST + 1
+
+
+def tolerance(n: Column) -> Column:
+    return F.when(n < LEAST, 0).otherwise(F.least(F.lit(MOST), (n / STEP).cast("int") + 1))
 
 
 def lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, place (from 0) and line of every line with a word."""
-    split = df.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("place", "line"))
-    trimmed = split.withColumn("line", F.btrim("line", F.lit(WS_CHARS)))
-    return trimmed.filter("line != '' and doc_id is not null").withColumn("id", F.xxhash64("line"))
+    """doc_id, copy (hash of the text), place (from 0) and words of every line
+    with a word, and its hashes id and more."""
+    others = WS_CHARS.replace(" ", "").replace("\n", "")
+    text = F.translate(F.col(text_col), others, " " * len(others))
+    split = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("copy"), F.posexplode(F.split(text, "\n")).alias("place", "line"))
+    worded = split.withColumn("words", F.array_remove(F.split("line", " "), "")).filter(F.size("words") > 0).drop("line")
+    return worded.withColumns({"id": F.xxhash64("words"), "more": F.hash("words")})
+
 
+def _segment(m: Column, parts, i) -> tuple[Column, Column]:
+    """Start and length of segment i of m words; the last ``m % parts`` are one longer."""
+    short = (m / parts).cast("int")
+    over = F.lit(i) - (F.lit(parts) - m % parts)
+    return short * i + F.greatest(F.lit(0), over), short + (over >= 0).cast("int")
 
-def _with_parts(df: DataFrame, n: str, edits: int) -> DataFrame:
-    """Length and number of longer segments for lines of n - 0..edits characters."""
-    parts = edits + 1
-    for less in range(parts):
-        other = F.col(n) - less
-        df = df.withColumn(f"_long{less}", other % parts).withColumn(f"_short{less}", ((other - F.col(f"_long{less}")) / parts).cast("int"))
-    return df
 
+def _key(above: Column, i, words: Column, start: Column, size: Column) -> Column:
+    return F.xxhash64(above, F.lit(i), F.slice(words, start + 1, size))
 
-def _segment(less: int, i: int, edits: int) -> tuple[Column, Column]:
-    """Start and length of segment i; the last ``_long`` segments are one longer."""
-    short, extra = F.col(f"_short{less}"), F.col(f"_long{less}") - (edits + 1 - i)
-    return short * i + F.greatest(F.lit(0), extra), short + (extra >= 0).cast("int")
 
+def whole_lines(distinct: DataFrame) -> DataFrame:
+    """The entries of uncut lines (id, words): for each length of the other line
+    (m), the tolerance (t), own if the line is of that length itself, the key so
+    far, and the words not yet matched (rest)."""
+    n = F.size("words")
+    less = F.filter(F.sequence(F.lit(0), tolerance(n)), lambda k: (k <= tolerance(n - k)) & (tolerance(n - k) > 0))
+    each = distinct.select("id", F.col("words").alias("rest"), n.alias("n"), F.explode(less).alias("less"))
+    m = F.col("n") - F.col("less")
+    return each.select("id", "rest", m.cast("long").alias("key"), m.alias("m"), tolerance(m).alias("t"), (F.col("less") == 0).alias("own"))
 
-def _index_keys(line: str, n: str, edits: int) -> Column:
-    keys = []
-    for i in range(edits + 1):
-        start, size = _segment(0, i, edits)
-        keys.append(F.xxhash64(F.lit(i), F.col(n), F.substring(line, start + 1, size)))
-    return F.array(*keys)
 
+def cut(entries: DataFrame) -> DataFrame:
+    """The next entries of each: one for every segment and place where it may stand."""
+    t, m, rest = F.col("t"), F.col("m"), F.col("rest")
+    less = F.size("rest") - m
 
-def _probe_keys(line: str, n: str, edits: int) -> Column:
-    """Lines have LEAST characters at least, so that no shift leaves the line."""
-    keys = []
-    for less in range(edits + 1):
-        for i in range(edits + 1):
-            start, size = _segment(less, i, edits)
-            for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
-                keys.append(F.xxhash64(F.lit(i), F.col(n) - less, F.substring(line, start + (shift + 1), size)))
-    return F.array(*keys)
+    def at(i: Column) -> Column:
+        start, size = _segment(m, t + 1, i)
+        shifts = F.sequence(F.greatest(-i, less - t + i), F.least(i, less + t - i))
+        one = lambda s: F.struct(_key(F.col("key"), i, rest, start + s, size).alias("key"), (F.col("own") & (s == 0)).alias("own"), (start + s).alias("start"), size.alias("size"))
+        return F.transform(F.filter(shifts, lambda s: (size > 0) & (start + s >= 0) & (start + s + size <= F.size(rest))), one)
 
+    each = entries.select("id", "rest", "m", "t", F.explode(F.flatten(F.transform(F.sequence(F.lit(0), t), at))).alias("e"))
+    left = F.concat(F.slice("rest", F.lit(1), F.col("e.start")), F.slice("rest", F.col("e.start") + F.col("e.size") + 1, F.size("rest")))
+    return each.select("id", left.alias("rest"), "e.key", (F.col("m") - F.col("e.size")).alias("m"), "t", "e.own")
 
-def parity(line: Column) -> Column:
-    """One bit for each character code modulo 64 (a shift's lowest six bits): whether
-    it occurs an odd number of times.  An edit changes at most two bits."""
-    return F.aggregate(F.split(line, ""), F.lit(0).cast("long"), lambda bits, c: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.ascii(c))))
 
+def first_keys(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """key, id and own of the first cut of all lines, as ``cut`` has them.
 
-def _match_masks(x: Column, y: Column, edits: int) -> Column:
-    """For each character of y one bit a place of the band: equal or not."""
+    Where the lengths within reach have one tolerance, as they nearly always
+    have, the segments are plain expressions, which Spark compiles.
+    """
+    all_lines = lines(df, id_col, text_col).select("id", "words").filter(F.size("words") >= LEAST)
+    n = F.size("words")
+    own = tolerance(n)
+    even = tolerance(n - own) == own
+    keys = F.when(F.lit(False), None)
+    for t in range(1, MOST + 1):
+        each = []
+        for less in range(t + 1):
+            for i in range(t + 1):
+                start, size = _segment(n - less, t + 1, i)
+                for s in range(max(-i, less - t + i), min(i, less + t - i) + 1):
+                    each.append(F.struct(_key((n - less).cast("long"), i, F.col("words"), start + s, size).alias("key"), F.lit(less == 0 and s == 0).alias("own")))
+        keys = keys.when(own == t, F.array(*each))
+    compiled = all_lines.filter(even).select("id", F.explode(keys).alias("e")).select("e.key", "id", "e.own")
+    return compiled.unionByName(cut(whole_lines(all_lines.filter(~even))).select("key", "id", "own"))
+
+
+def _match_masks(x: Column, y: Column) -> Column:
+    """For each word of y one bit a place of the band: equal or not."""
     bit = lambda c, at, k: F.when(F.get(x, at) == c, 1 << k).otherwise(0)
-    return F.transform(y, lambda c, j: sum((bit(c, j + d, d + edits) for d in range(-edits, edits + 1)), F.lit(0)))
+    return F.transform(y, lambda c, j: sum((bit(c, j + d, d + MOST) for d in range(-MOST, MOST + 1)), F.lit(0)).cast("long"))
 
 
-def _step(masks: Column, match: Column, edits: int) -> Column:
-    """The band's masks, one for each number of edits, after one more character."""
-    width = 2 * edits + 1
-    full = (1 << width) - 1
-    before = [F.shiftright(masks, width * e).bitwiseAND(full) for e in range(edits + 1)]
-    out, fewer = F.lit(0), None
-    for e in range(edits + 1):
+def _step(masks: Column, match: Column) -> Column:
+    """The band's masks, one for each number of edits, after one more word."""
+    full = (1 << WIDTH) - 1
+    before = [F.shiftright(masks, WIDTH * e).bitwiseAND(full) for e in range(MOST + 1)]
+    out, fewer = F.lit(0).cast("long"), None
+    for e in range(MOST + 1):
         now = before[e].bitwiseAND(match)
-        if e:  # substituted, inserted, deleted
+        if e:  # replaced, inserted, deleted
             now = now.bitwiseOR(before[e - 1]).bitwiseOR(F.shiftright(before[e - 1], 1)).bitwiseOR(F.shiftleft(fewer, 1).bitwiseAND(full))
-        out = out.bitwiseOR(F.shiftleft(now, width * e))
+        out = out.bitwiseOR(F.shiftleft(now, WIDTH * e))
         fewer = now
     return out
 
 
-def within_edits(a: Column, b: Column, edits: int = EDITS) -> Column:
-    """Whether two strings are at most ``edits`` edits apart.
+def within_edits(a: Column, b: Column, edits: Column) -> Column:
+    """Whether two arrays of words are at most ``edits`` (MOST at most) edits apart.
 
-    After j characters of b, bit d + edits of mask e is set if the first j + d
-    characters of a are within e edits of them.  All masks share one integer.
+    After j words of b, bit d + MOST of mask e is set if the first j + d words of
+    a are within e edits of them.  All masks share one 64-bit integer.
     """
-    width = 2 * edits + 1
-    full = (1 << width) - 1
-    start = sum(((((1 << (e + 1)) - 1) << edits) & full) << (width * e) for e in range(edits + 1))
-    chars = lambda c: F.regexp_extract_all(c, F.lit("(?s)."), F.lit(0))
-
-    def last_bit(s: Column) -> Column:
-        masks = F.aggregate(_match_masks(s["x"], s["y"], edits), F.lit(start), lambda m, c: _step(m, c, edits))
-        at = F.lit(width * edits + edits) + F.size(s["x"]) - F.size(s["y"])
-        return F.call_function("shiftright", masks, at).bitwiseAND(1) == 1
-
-    # transform over one struct evaluates the characters once.
-    one = F.array(F.struct(chars(a).alias("x"), chars(b).alias("y")))
-    return F.when(F.abs(F.length(a) - F.length(b)) <= edits, F.get(F.transform(one, last_bit), F.lit(0))).otherwise(False)
-
-
-def candidates(distinct: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Pairs a < b of the ids of distinct lines (id, line, parity) that share a
-    segment where it may stand and don't differ too much in their characters."""
-    if LEAST < 8 * (edits + 1) or edits < 1:
-        raise ValueError("lines must have eight characters a segment at least")
-    able = _with_parts(distinct.filter(F.length("line") >= LEAST).select("id", "line", "parity", F.length("line").alias("n")), "n", edits)
-    index = able.select(F.explode(_index_keys("line", "n", edits)).alias("key"), F.col("id").alias("i"), F.col("parity").alias("ci"))
-    probe = able.select(F.explode(_probe_keys("line", "n", edits)).alias("key"), F.col("id").alias("p"), F.col("parity").alias("cp"))
-    near = F.bit_count(F.col("ci").bitwiseXOR(F.col("cp"))) <= 2 * edits
-    met = index.join(probe, "key").filter((F.col("i") != F.col("p")) & near)
-    return met.select(F.least("i", "p").alias("a"), F.greatest("i", "p").alias("b")).distinct()
+    full = (1 << WIDTH) - 1
+    start = sum(((((1 << (e + 1)) - 1) << MOST) & full) << (WIDTH * e) for e in range(MOST + 1))
+    masks = F.aggregate(_match_masks(a, b), F.lit(start).cast("long"), _step)
+    last = F.call_function("shiftright", masks, edits * WIDTH + MOST + F.size(a) - F.size(b)).bitwiseAND(F.lit(1).cast("long")) == 1
+    return F.when(F.abs(F.size(a) - F.size(b)) <= edits, last).otherwise(False)
 
 
 def _small(df: DataFrame) -> DataFrame:
-    """``df`` of ids, broadcast if it is small, else joined by a shuffle."""
+    """``df`` of keys or ids, broadcast if it is small, else joined by a shuffle."""
     return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
 
 
+def _met(keyed: DataFrame) -> DataFrame:
+    """key, id and first of the lines that meet another line: first is the least
+    line that has the key's segment as its own."""
+    own = F.when(F.col("own"), F.col("id"))
+    groups = keyed.groupBy("key").agg(F.min(own).alias("first"), F.min("id").alias("_a"), F.max("id").alias("_b"))
+    live = written(groups.filter("first is not null and _a != _b").select("key", "first"), "line-keys")
+    return written(keyed.select("key", "id").join(_small(live), "key").distinct(), "line-meetings")
+
+
+def _texts(df: DataFrame, met: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id and words of the lines that meet others."""
+    wanted = written(met.select("id").distinct(), "line-ids")
+    found = lines(df, id_col, text_col).select("id", "words").join(_small(wanted), "id", "left_semi")
+    return written(found.groupBy("id").agg(F.first("words").alias("words")), "line-texts")
+
+
+def links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Pairs a, b of ids of near-duplicate lines, enough to connect all that are."""
+    keyed = written(first_keys(df, id_col, text_col), "line-segments")
+    met = _met(keyed)
+    dropped(keyed)
+    texts = _texts(df, met, id_col, text_col)
+    entries, found = cut(whole_lines(texts)), None
+    while True:
+        pairs = met.filter("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
+        both = pairs.join(texts.toDF("a", "words_a"), "a").join(texts.toDF("b", "words_b"), "b")
+        near = within_edits(F.col("words_a"), F.col("words_b"), tolerance(F.least(F.size("words_a"), F.size("words_b"))))
+        new = written(both.filter(near).select("a", "b"), "line-links")
+        found = new if found is None else found.unionByName(new)
+        # Keys with lines of several classes are cut once more.
+        roots = connected(found).withColumnRenamed("node", "id")
+        classed = met.select("key", "id").join(roots, "id", "left").select("key", F.coalesce("root", "id").alias("root"))
+        mixed = written(classed.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).filter("_a != _b").select("key"), "mixed-keys")
+        if mixed.isEmpty():
+            return found
+        entries = written(cut(entries.join(_small(mixed), "key", "left_semi")), "line-entries")
+        met = _met(entries.select("key", "id", "own"))
+
+
+def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, copy and gone, the places of its lines that an earlier line stands for."""
+    places = written(lines(df, id_col, text_col).select("id", "more", "doc_id", "copy", "place"), "line-places")
+    roots = written(connected(links(df, id_col, text_col)).withColumnRenamed("node", "id"), "line-roots")
+    # Only lines that occur twice or are linked can go.
+    twice = places.groupBy("id", "more").agg(F.count("*").alias("n")).filter("n > 1").select("id")
+    asked = written(twice.unionByName(roots.select("id")).distinct(), "asked-lines")
+    some = places.join(_small(asked), "id", "left_semi").join(roots, "id", "left")
+    some = some.select(F.coalesce("root", "id").alias("root"), F.when(F.col("root").isNull(), F.col("more")).alias("more"), F.struct("doc_id", "copy", "place").alias("at"))
+    some = written(some.withColumn("more", F.coalesce("more", F.lit(0))), "classed-lines")
+    stays = written(some.groupBy("root", "more").agg(F.min("at").alias("stays")), "staying-lines")
+    gone = some.join(_small(stays), ["root", "more"]).filter("at != stays")
+    return gone.select("at.*").groupBy("doc_id", "copy").agg(F.collect_set("place").alias("gone"))
+
+
 def _few_places(gone: DataFrame) -> DataFrame:
     """``removals``, broadcast if it holds few places, else joined by a shuffle."""
     total = gone.agg(F.coalesce(F.sum(F.size("gone") + 1), F.lit(0))).first()[0]
     return F.broadcast(gone) if total <= BROADCAST_PLACES else gone
 
 
-def links(df: DataFrame, edits: int = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pairs a < b of ids of different lines within ``edits`` edits."""
-    all_lines = lines(df, id_col, text_col)
-    distinct = all_lines.withColumn("parity", parity(F.col("line"))).groupBy("id").agg(F.first("line").alias("line"), F.first("parity").alias("parity"))
-    pairs = written(candidates(distinct, edits), "line-pairs")
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "line-ids")
-    texts = written(all_lines.join(_small(wanted), "id", "left_semi").groupBy("id").agg(F.first("line").alias("line")), "line-texts")
-    both = pairs.join(texts.toDF("a", "line_a"), "a").join(texts.toDF("b", "line_b"), "b")
-    return both.filter(within_edits(F.col("line_a"), F.col("line_b"), edits)).select("a", "b")
-
-
-def removals(df: DataFrame, edits: int = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and gone, the places of its lines that an earlier line stands for."""
-    places = lines(df, id_col, text_col).select("id", "doc_id", "place")
-    first = written(places.groupBy("id").agg(F.min(F.struct("doc_id", "place")).alias("first")), "first-lines")
-    roots = written(connected(links(df, edits, id_col, text_col)), "line-roots")
-    classed = first.join(roots, first["id"] == roots["node"], "left").select("id", "first", F.coalesce("root", "id").alias("root"))
-    stays = classed.groupBy("root").agg(F.min("first").alias("stays"))
-    of_line = classed.join(stays, "root").select("id", "stays")
-    gone = places.join(of_line, "id").filter((F.col("stays.doc_id") != F.col("doc_id")) | (F.col("stays.place") != F.col("place")))
-    return gone.groupBy("doc_id").agg(F.collect_set("place").alias("gone"))
-
-
-def dedup(df: DataFrame, edits: int = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``df``: row (a struct of its columns), text without the
     removed lines, n_lines (with a word, before) and n_removed."""
-    gone = written(removals(df, edits, id_col, text_col), "removed-lines").withColumnRenamed("doc_id", "gone_id")
+    gone = written(removals(df, id_col, text_col), "removed-lines").withColumnsRenamed({"doc_id": "gone_id", "copy": "gone_copy"})
     row = df.select(F.struct(*df.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    both = row.join(_few_places(gone), F.col("id") == F.col("gone_id"), "left").withColumn("parts", F.split("text", "\n"))
+    both = row.join(_few_places(gone), (F.col("id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_copy")), "left").withColumn("parts", F.split("text", "\n"))
     parts = F.col("parts")
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "gone")
     rebuilt = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
@@ -193,10 +240,10 @@ def dedup(df: DataFrame, edits: int = EDITS, id_col: str = "doc_id", text_col: s
     )
 
 
-def filter_documents(df: DataFrame, edits: int = EDITS) -> DataFrame:
+def filter_documents(df: DataFrame) -> DataFrame:
     """``df`` with the removed lines cut from its texts; rows that lose all
     their lines go.  n_chars follows the text where there is such a column."""
-    new = dedup(df, edits).filter("n_removed = 0 or n_removed < n_lines")
+    new = dedup(df).filter("n_removed = 0 or n_removed < n_lines")
     changed = {"text": F.col("text")} | ({"n_chars": F.length("text").cast(df.schema["n_chars"].dataType)} if "n_chars" in df.columns else {})
     return new.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in df.columns])
 

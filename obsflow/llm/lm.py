@@ -287,7 +287,7 @@ def held_out_events(counted: DataFrame) -> DataFrame:
                 p2, w = (c.pairs_n - c.pairs_dev)[k] / np.maximum(1, h), (c.words_n - c.words_dev)[c.word[k]].astype(float)
                 order = [np.where(x > 0, np.floor(FINE * np.log2(np.maximum(x, 1e-300))), -4096).astype(np.int64) for x in (p2, w)]
                 cell, back = np.unique(np.stack([bucket_of(h), *order], 1), axis=0, return_inverse=True)
-                total = lambda x, back=back, n=len(cell): np.bincount(back.ravel(), x, n)
+                total = lambda x, back=back, n=len(cell): np.bincount(back.ravel(), x, n).astype(float)
                 yield pa.RecordBatch.from_arrays([*[pa.array(cell[:, j]) for j in range(3)], pa.array(total(d)), pa.array(total(d * p2)), pa.array(total(d * w))], names=["b", "o2", "o1", "d", "p2", "w"])
 
     cells = counted.mapInArrow(run, "b long, o2 long, o1 long, d double, p2 double, w double")

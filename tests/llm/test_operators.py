@@ -137,32 +137,101 @@ def edit_distance(a, b):
     return p[-1]
 
 
-@pytest.fixture(scope="module")
-def near_lines():
+def tolerance(n):
+    return 0 if n < line_dedup.LEAST else min(line_dedup.MOST, 1 + n // line_dedup.STEP)
+
+
+def line_classes(found):
+    """The smallest of the lines (tuples of words) that each is linked with."""
+    found = sorted(set(found))
+    root = {x: x for x in found}
+    near = [(a, b) for i, a in enumerate(found) for b in found[i + 1 :] if (t := tolerance(min(len(a), len(b)))) and abs(len(a) - len(b)) <= t and edit_distance(a, b) <= t]
+    for _ in found:
+        before = dict(root)
+        for a, b in near:
+            root[a] = root[b] = min(root[a], root[b])
+        if root == before:
+            return root
+    return root
+
+
+def near_lines(seed, words_of, edits):
     import random
 
-    rng = random.Random(7)
+    rng = random.Random(seed)
     out = []
-    for _ in range(40):
-        s = "".join(rng.choice("abc dé🙂") for _ in range(rng.randrange(22, 50)))
-        out.append(s)
-        for _ in range(4):
-            t = list(s)
-            for _ in range(rng.randrange(4)):
-                k = rng.randrange(len(t))
-                t[k : k + rng.randrange(2)] = rng.choice(["x", "", "b"])
-            out.append("".join(t))
-    return sorted({x.strip() for x in out})
-
-
-@pytest.mark.parametrize("edits", [1, 2])
-def test_edit_join_finds_all_links(spark, near_lines, edits):
-    df = spark.createDataFrame([(k, x) for k, x in enumerate(near_lines)], "doc_id long, text string")
-    by_id = {r["id"]: r["line"] for r in line_dedup.lines(df).collect()}
-    got = {frozenset((by_id[r["a"]], by_id[r["b"]])) for r in line_dedup.links(df, edits).collect()}
-    long = [x for x in near_lines if len(x) >= line_dedup.LEAST]
-    want = {frozenset((a, b)) for i, a in enumerate(long) for b in long[i + 1 :] if abs(len(a) - len(b)) <= edits and edit_distance(a, b) <= edits}
-    assert got == want
+    for _ in range(8):
+        n = rng.choice([7, 8, 9, 16, 30, 47, 48, 49, 50, 97, 150, 195])
+        base = [rng.choice(words_of) for _ in range(n)]
+        out.append(base)
+        for _ in range(6):
+            line = list(rng.choice(out[-4:]))
+            for _ in range(rng.randrange(edits + 1)):
+                k = rng.randrange(len(line))
+                line[k : k + rng.randrange(2)] = rng.choice([["new"], [], [rng.choice(words_of)]])
+            out.append(line)
+    return [x for x in out if x]
+
+
+@pytest.mark.parametrize("case", [(1, [f"w{k}" for k in range(40)], 5), (2, ["a", "b"], 3)])
+def test_edit_join_finds_the_classes_of_all_pairs(spark, case):
+    found = near_lines(*case)
+    # Lines that share a half and nothing else, and a chain of single edits.
+    found += [["the", "same", "four", "words"] + [f"o{k}{j}" for j in range(4)] for k in range(30)]
+    found += [[f"c{j}" if j >= k else f"d{j}" for j in range(9)] for k in range(9)]
+    df = spark.createDataFrame([(k, "  ".join(x)) for k, x in enumerate(found)], "doc_id long, text string")
+    words_of = {r["id"]: tuple(r["words"]) for r in line_dedup.lines(df).collect()}
+    roots = {r["node"]: r["root"] for r in components.connected(line_dedup.links(df)).collect()}
+    got, want = defaultdict(set), defaultdict(set)
+    for i, w in words_of.items():
+        got[roots.get(i, i)].add(w)
+    for w, r in line_classes(words_of.values()).items():
+        want[r].add(w)
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
+
+
+def test_compiled_segments_equal_the_cut_ones(spark):
+    df = spark.createDataFrame([(n, " ".join(f"w{k}" for k in range(n))) for n in [1, 7, 8, 9, 31, 46, 47, 48, 49, 50, 51, 96, 100, 148, 200]], "doc_id long, text string")
+    distinct = line_dedup.lines(df).select("id", "words")
+    plain = line_dedup.cut(line_dedup.whole_lines(distinct)).select("key", "id", "own")
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, line_dedup.first_keys(df).collect()))
+
+
+def test_banded_distance_equals_the_plain_one(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [([rng.choice("abc") for _ in range(rng.randrange(12))], [rng.choice("abc") for _ in range(rng.randrange(12))], rng.randrange(5)) for _ in range(400)]
+    df = spark.createDataFrame(rows, "a array<string>, b array<string>, e int")
+    got = df.select("a", "b", "e", line_dedup.within_edits(F.col("a"), F.col("b"), F.col("e")).alias("near")).collect()
+    assert all(r["near"] == (edit_distance(r["a"], r["b"]) <= r["e"]) for r in got)
+
+
+def brute_line_dedup(rows):
+    """(text, n_lines, n_removed) of each (id, text), as dedup has them; ids not
+    null and not repeated."""
+    split = lambda text: [tuple(words(x)) for x in text.split("\n")] if text is not None else []
+    root = line_classes(w for _, t in rows for w in split(t) if w)
+    first = {}
+    for i, t in sorted(rows, key=lambda r: r[0]):
+        for k, w in enumerate(split(t)):
+            if w:
+                first.setdefault(root[w], (i, k))
+    out = {}
+    for i, t in rows:
+        stays = [k for k, w in enumerate(split(t)) if not w or first[root[w]] == (i, k)]
+        out[i] = (None if t is None else "\n".join(t.split("\n")[k] for k in stays), sum(map(bool, split(t))), len(split(t)) - len(stays))
+    return out
+
+
+def test_line_dedup_equals_brute_force(spark):
+    import random
+
+    rng = random.Random(9)
+    pool = [" ".join(x) for x in near_lines(8, [f"w{k}" for k in range(30)], 3)] + ["", " ", "short line", "short\tline"]
+    rows = [(k, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 7)))) for k in range(60)] + [(100, None), (101, "")]
+    got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", "text", "n_lines", "n_removed").collect()}
+    assert got == brute_line_dedup(rows)
 
 
 def test_line_dedup_keeps_first_lines(spark):
@@ -175,6 +244,12 @@ def test_line_dedup_keeps_first_lines(spark):
     assert line_dedup.filter_documents(df.limit(0)).count() == 0
 
 
+def test_line_dedup_of_equal_ids(spark):
+    rows = [(1, "first\nsecond"), (5, "second\nunique to this row"), (5, "unique to that row\nsecond"), (5, "unique to that row\nsecond")]
+    got = sorted(r["text"] for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == ["first\nsecond", "unique to that row", "unique to that row", "unique to this row"]
+
+
 def test_line_dedup_of_odd_texts_is_native(docs):
     assert line_dedup.dedup(docs).count() == docs.count()
     assert "Python" not in line_dedup.dedup(docs)._jdf.queryExecution().executedPlan().toString()
