@@ -11,15 +11,16 @@ the length difference and the segment's number allow it (the multi-match-aware
 window).  So each line is met under the hashes of its own segments and of the
 few runs of its words that can match a segment of each admissible length.
 
-Nobody pairs the lines of a key with each other.  The lines of a key are
-compared with the first line that has the segment as its own, by a banded
-bit-parallel edit distance: the states of the (2 * MOST + 1)-wide band are bits,
-one mask for each number of edits.  Links become classes.  A key whose lines
-now belong to one class is done.  In any other its lines are cut further: the
-words beside the matched segment are again cut into tolerance + 1 segments,
-which gives longer keys that fewer lines share, and so on until no key has two
-classes.  That ends, and finds what all pairs would: words shrink with each
-cut, and lines of which only ``tolerance`` words are left are all linked.
+Nobody pairs the lines of a key with each other at once.  First all are compared
+with the first line that has the segment as its own, by a banded bit-parallel
+edit distance: the states of the (2 * MOST + 1)-wide band are bits, one mask for
+each number of edits.  Links become classes.  A key whose lines now belong to
+one class is done.  Of the others, those in which lines of different classes
+make at most ``PAIRS`` pairs a line compare just these pairs.  The rest (a
+phrase that very many lines share) are cut further: the words beside the matched
+segment are again cut into tolerance + 1 segments, which gives longer keys that
+fewer lines share, each with a first line of its own.  After ``CUTS`` cuts all
+pairs of different classes are compared that are left, so no link is lost.
 
 Of each class the first line, by (id, hash of the text, place), stays.
 
@@ -40,7 +41,10 @@ from .common import WS_CHARS, dropped, table, written
 from .components import connected
 
 #: Lines under LEAST words match equal lines only; STEP words allow one more edit.
-LEAST, STEP, MOST = 8, 48, 4
+LEAST, STEP, MOST = 8, 48, 2
+#: Pairs of lines of different classes that a key may have for each of its lines
+#: before it is cut further, and cuts at most.
+PAIRS, CUTS = 64, 4
 #: Keys or line ids up to this number are broadcast (16 bytes each), more are shuffled.
 BROADCAST_IDS = 500_000
 #: Removed lines up to this number are broadcast (at most 48 bytes each), more
@@ -101,27 +105,33 @@ def cut(entries: DataFrame) -> DataFrame:
     return each.select("id", left.alias("rest"), "e.key", (F.col("m") - F.col("e.size")).alias("m"), "t", "e.own")
 
 
-def first_keys(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """key, id and own of the first cut of all lines, as ``cut`` has them.
+def _windows() -> list[tuple[int, int, int, int, int]]:
+    """(tolerance of the line, difference in length, tolerance of the other line,
+    segment, shift) of every place where a segment may stand."""
+    out = []
+    for own in range(1, MOST + 1):
+        for less in range(own + 1):
+            for t in {own} if less == 0 else {own, own - 1}:  # a shorter line may have a smaller one
+                if less <= t and t:
+                    out += [(own, less, t, i, s) for i in range(t + 1) for s in range(max(-i, less - t + i), min(i, less + t - i) + 1)]
+    return out
 
-    Where the lengths within reach have one tolerance, as they nearly always
-    have, the segments are plain expressions, which Spark compiles.
-    """
-    all_lines = lines(df, id_col, text_col).select("id", "words").filter(F.size("words") >= LEAST)
+
+def first_keys(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """key, id and own of the first cut of all lines, as ``cut`` has them.  The
+    windows are looked up in constants, so that Spark compiles the whole."""
+    table_ = _windows()
+    column = lambda k: F.array(*[F.lit(w[k]) for w in table_])
     n = F.size("words")
-    own = tolerance(n)
-    even = tolerance(n - own) == own
-    keys = F.when(F.lit(False), None)
-    for t in range(1, MOST + 1):
-        each = []
-        for less in range(t + 1):
-            for i in range(t + 1):
-                start, size = _segment(n - less, t + 1, i)
-                for s in range(max(-i, less - t + i), min(i, less + t - i) + 1):
-                    each.append(F.struct(_key((n - less).cast("long"), i, F.col("words"), start + s, size).alias("key"), F.lit(less == 0 and s == 0).alias("own")))
-        keys = keys.when(own == t, F.array(*each))
-    compiled = all_lines.filter(even).select("id", F.explode(keys).alias("e")).select("e.key", "id", "e.own")
-    return compiled.unionByName(cut(whole_lines(all_lines.filter(~even))).select("key", "id", "own"))
+    first, last = ([[j for j, w in enumerate(table_) if w[0] == t][k] for t in range(1, MOST + 1)] for k in (0, -1))
+    of = lambda values: F.get(F.array(*map(F.lit, values)), F.col("t") - 1)
+    able = lines(df, id_col, text_col).select("id", "words", n.alias("n"), tolerance(n).alias("t")).filter("t > 0")
+    each = able.select("id", "words", "n", F.explode(F.sequence(of(first), of(last))).alias("w"))
+    each = each.select("id", "words", "n", *[F.get(column(k), F.col("w")).alias(name) for k, name in ((1, "less"), (2, "t"), (3, "i"), (4, "shift"))])
+    each = each.filter(tolerance(F.col("n") - F.col("less")) == F.col("t"))
+    m = F.col("n") - F.col("less")
+    start, size = _segment(m, F.col("t") + 1, F.col("i"))
+    return each.select(_key(m.cast("long"), F.col("i"), F.col("words"), start + F.col("shift"), size).alias("key"), "id", ((F.col("less") == 0) & (F.col("shift") == 0)).alias("own"))
 
 
 def _match_masks(x: Column, y: Column) -> Column:
@@ -178,26 +188,40 @@ def _texts(df: DataFrame, met: DataFrame, id_col: str, text_col: str) -> DataFra
     return written(found.groupBy("id").agg(F.first("words").alias("words")), "line-texts")
 
 
+def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs a, b of lines that are near-duplicates.  Few words may stand in
+    one line only, which is cheaper to see than the distance."""
+    both = pairs.join(texts.toDF("a", "words_a"), "a").join(texts.toDF("b", "words_b"), "b")
+    a, b = F.col("words_a"), F.col("words_b")
+    edits = tolerance(F.least(F.size(a), F.size(b)))
+    alike = (F.size(F.array_except(a, b)) <= edits) & (F.size(F.array_except(b, a)) <= edits)
+    return written(both.filter(F.when(alike, within_edits(a, b, edits)).otherwise(False)).select("a", "b"), "line-links")
+
+
 def links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pairs a, b of ids of near-duplicate lines, enough to connect all that are."""
     keyed = written(first_keys(df, id_col, text_col), "line-segments")
     met = _met(keyed)
     dropped(keyed)
     texts = _texts(df, met, id_col, text_col)
-    entries, found = cut(whole_lines(texts)), None
+    entries, found, cuts = None, None, 0
     while True:
-        pairs = met.filter("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct()
-        both = pairs.join(texts.toDF("a", "words_a"), "a").join(texts.toDF("b", "words_b"), "b")
-        near = within_edits(F.col("words_a"), F.col("words_b"), tolerance(F.least(F.size("words_a"), F.size("words_b"))))
-        new = written(both.filter(near).select("a", "b"), "line-links")
+        new = _near(met.filter("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), texts)
         found = new if found is None else found.unionByName(new)
-        # Keys with lines of several classes are cut once more.
         roots = connected(found).withColumnRenamed("node", "id")
-        classed = met.select("key", "id").join(roots, "id", "left").select("key", F.coalesce("root", "id").alias("root"))
-        mixed = written(classed.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).filter("_a != _b").select("key"), "mixed-keys")
-        if mixed.isEmpty():
+        classed = met.select("key", "id").join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+        sizes = classed.groupBy("key", "root").agg(F.count("*").cast("double").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("classes"))
+        mixed = written(sizes.filter("classes > 1").select("key", ((F.col("n") * F.col("n") - F.col("same")) / 2 > F.col("n") * (PAIRS if cuts < CUTS else float("inf"))).alias("large")), "mixed-keys")
+        small = classed.join(_small(mixed.filter("not large").select("key")), "key", "left_semi")
+        a, b = small.toDF("key", "a", "root_a"), small.toDF("key", "b", "root_b")
+        across = a.join(b, "key").filter("a < b and root_a != root_b").select("a", "b").distinct()
+        found = found.unionByName(_near(across, texts))
+        large = mixed.filter("large").select("key")
+        if large.isEmpty():
             return found
-        entries = written(cut(entries.join(_small(mixed), "key", "left_semi")), "line-entries")
+        cuts += 1
+        entries = cut(whole_lines(texts)) if entries is None else entries
+        entries = written(cut(entries.join(_small(large), "key", "left_semi")), "line-entries")
         met = _met(entries.select("key", "id", "own"))
 
 

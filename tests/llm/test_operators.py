@@ -173,8 +173,9 @@ def near_lines(seed, words_of, edits):
     return [x for x in out if x]
 
 
-@pytest.mark.parametrize("case", [(1, [f"w{k}" for k in range(40)], 5), (2, ["a", "b"], 3)])
-def test_edit_join_finds_the_classes_of_all_pairs(spark, case):
+@pytest.mark.parametrize(("case", "pairs"), [((1, [f"w{k}" for k in range(40)], 5), 64), ((2, ["a", "b"], 3), 0)])
+def test_edit_join_finds_the_classes_of_all_pairs(spark, monkeypatch, case, pairs):
+    monkeypatch.setattr(line_dedup, "PAIRS", pairs)  # 0: all keys of two classes are cut
     found = near_lines(*case)
     # Lines that share a half and nothing else, and a chain of single edits.
     found += [["the", "same", "four", "words"] + [f"o{k}{j}" for j in range(4)] for k in range(30)]
@@ -201,7 +202,7 @@ def test_banded_distance_equals_the_plain_one(spark):
     import random
 
     rng = random.Random(3)
-    rows = [([rng.choice("abc") for _ in range(rng.randrange(12))], [rng.choice("abc") for _ in range(rng.randrange(12))], rng.randrange(5)) for _ in range(400)]
+    rows = [([rng.choice("abc") for _ in range(rng.randrange(12))], [rng.choice("abc") for _ in range(rng.randrange(12))], rng.randrange(line_dedup.MOST + 1)) for _ in range(400)]
     df = spark.createDataFrame(rows, "a array<string>, b array<string>, e int")
     got = df.select("a", "b", "e", line_dedup.within_edits(F.col("a"), F.col("b"), F.col("e")).alias("near")).collect()
     assert all(r["near"] == (edit_distance(r["a"], r["b"]) <= r["e"]) for r in got)
