@@ -12,14 +12,14 @@ window).  So each line is met under the hashes of its own segments and of the
 few runs of its words that can match a segment of each admissible length.
 
 Nobody pairs the lines of a key with each other at once.  First all are compared
-with the first line that has the segment as its own, by a banded bit-parallel
-edit distance: the states of the (2 * MOST + 1)-wide band are bits, one mask for
-each number of edits.  Links become classes.  A key whose lines now belong to
+with the most frequent line that has the segment as its own, by a banded
+bit-parallel edit distance: the states of the (2 * MOST + 1)-wide band are bits,
+one mask for each number of edits.  Links become classes.  A key whose lines now belong to
 one class is done.  Of the others, those in which lines of different classes
 make at most ``PAIRS`` pairs a line compare just these pairs.  The rest (a
 phrase that very many lines share) are cut further: the words beside the matched
 segment are again cut into tolerance + 1 segments, which gives longer keys that
-fewer lines share, each with a first line of its own.  After ``CUTS`` cuts all
+fewer lines share, each with a most frequent line of its own.  After ``CUTS`` cuts all
 pairs of different classes are compared that are left, so no link is lost.
 
 Of each class the first line, by (id, hash of the text, place), stays.
@@ -37,19 +37,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, dropped, table, written
+from .common import WS_CHARS, table, written
 from .components import connected
 
 #: Lines under LEAST words match equal lines only; STEP words allow one more edit.
 LEAST, STEP, MOST = 8, 48, 2
 #: Pairs of lines of different classes that a key may have for each of its lines
 #: before it is cut further, and cuts at most.
-PAIRS, CUTS = 64, 4
+PAIRS, CUTS = 16, 4
 #: Keys or line ids up to this number are broadcast (16 bytes each), more are shuffled.
 BROADCAST_IDS = 500_000
-#: Removed lines up to this number are broadcast (at most 48 bytes each), more
-#: are shuffled.
-BROADCAST_PLACES = 500_000
 WIDTH = 2 * MOST + 1
 
 
@@ -61,7 +58,10 @@ def lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     """doc_id, copy (hash of the text), place (from 0) and words of every line
     with a word, and its hashes id and more."""
     others = WS_CHARS.replace(" ", "").replace("\n", "")
-    text = F.translate(F.col(text_col), others, " " * len(others))
+    rare = F.lit(False)
+    for c in others:
+        rare |= F.contains(F.col(text_col), F.lit(c))
+    text = F.when(rare, F.translate(F.col(text_col), others, " " * len(others))).otherwise(F.col(text_col))
     split = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("copy"), F.posexplode(F.split(text, "\n")).alias("place", "line"))
     worded = split.withColumn("words", F.array_remove(F.split("line", " "), "")).filter(F.size("words") > 0).drop("line")
     return worded.withColumns({"id": F.xxhash64("words"), "more": F.hash("words")})
@@ -117,21 +117,35 @@ def _windows() -> list[tuple[int, int, int, int, int]]:
     return out
 
 
-def first_keys(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """key, id and own of the first cut of all lines, as ``cut`` has them.  The
-    windows are looked up in constants, so that Spark compiles the whole."""
+def entries_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of two kinds, made in one pass over the texts: key, id and own of the
+    first cut of all lines, as ``cut`` has them; and id, more, doc_id, copy and
+    place of each line.  The windows are looked up in constants, so that Spark
+    compiles the whole."""
     table_ = _windows()
     column = lambda k: F.array(*[F.lit(w[k]) for w in table_])
-    n = F.size("words")
-    first, last = ([[j for j, w in enumerate(table_) if w[0] == t][k] for t in range(1, MOST + 1)] for k in (0, -1))
+    n, w = F.size("words"), F.col("w")
+    first, last = ([[j for j, x in enumerate(table_) if x[0] == t][k] for t in range(1, MOST + 1)] for k in (0, -1))
     of = lambda values: F.get(F.array(*map(F.lit, values)), F.col("t") - 1)
-    able = lines(df, id_col, text_col).select("id", "words", n.alias("n"), tolerance(n).alias("t")).filter("t > 0")
-    each = able.select("id", "words", "n", F.explode(F.sequence(of(first), of(last))).alias("w"))
-    each = each.select("id", "words", "n", *[F.get(column(k), F.col("w")).alias(name) for k, name in ((1, "less"), (2, "t"), (3, "i"), (4, "shift"))])
-    each = each.filter(tolerance(F.col("n") - F.col("less")) == F.col("t"))
+    able = lines(df, id_col, text_col).select("*", n.alias("n"), tolerance(n).alias("t"))
+    # Window -1 is the line itself.
+    windows = F.when(F.col("t") > 0, F.concat(F.array(F.lit(-1)), F.sequence(of(first), of(last)))).otherwise(F.array(F.lit(-1)))
+    each = able.select("id", "more", "doc_id", "copy", "place", "words", "n", F.explode(windows).alias("w"))
+    each = each.withColumns({name: F.get(column(k), F.greatest(w, F.lit(0))) for k, name in ((1, "less"), (2, "t"), (3, "i"), (4, "shift"))})
+    each = each.filter((w < 0) | (tolerance(F.col("n") - F.col("less")) == F.col("t")))
     m = F.col("n") - F.col("less")
     start, size = _segment(m, F.col("t") + 1, F.col("i"))
-    return each.select(_key(m.cast("long"), F.col("i"), F.col("words"), start + F.col("shift"), size).alias("key"), "id", ((F.col("less") == 0) & (F.col("shift") == 0)).alias("own"))
+    key = F.when(w >= 0, _key(m.cast("long"), F.col("i"), F.col("words"), start + F.col("shift"), size))
+    own = (F.col("less") == 0) & (F.col("shift") == 0)
+    return each.select(key.alias("key"), "id", own.alias("own"), *[F.when(w < 0, F.col(c)).alias(c) for c in ("more", "doc_id", "copy", "place")])
+
+
+def keys_of(entries: DataFrame) -> DataFrame:
+    return entries.filter("key is not null").select("key", "id", "own")
+
+
+def places_of(entries: DataFrame) -> DataFrame:
+    return entries.filter("place is not null").select("id", "more", "doc_id", "copy", "place")
 
 
 def _match_masks(x: Column, y: Column) -> Column:
@@ -173,18 +187,22 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _met(keyed: DataFrame) -> DataFrame:
-    """key, id and first of the lines that meet another line: first is the least
-    line that has the key's segment as its own."""
-    own = F.when(F.col("own"), F.col("id"))
-    groups = keyed.groupBy("key").agg(F.min(own).alias("first"), F.min("id").alias("_a"), F.max("id").alias("_b"))
-    live = written(groups.filter("first is not null and _a != _b").select("key", "first"), "line-keys")
-    return written(keyed.select("key", "id").join(_small(live), "key").distinct(), "line-meetings")
+    """key, id and first of the lines that meet another line: first is the most
+    frequent line that has the key's segment as its own."""
+    groups = keyed.groupBy("key").agg(F.max("own").alias("own"), F.min("id").alias("_a"), F.max("id").alias("_b"))
+    live = written(groups.filter("own and _a != _b").select("key"), "line-keys")
+    lines_of = written(keyed.join(_small(live), "key", "left_semi").groupBy("key", "id").agg(F.max("own").alias("own"), F.count("*").alias("n")), "line-meetings")
+    first = lines_of.filter("own").groupBy("key").agg(F.max(F.struct("n", "id")).alias("_m")).select("key", F.col("_m.id").alias("first"))
+    return written(lines_of.select("key", "id").join(first, "key"), "line-meetings")
 
 
-def _texts(df: DataFrame, met: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id and words of the lines that meet others."""
+def _texts(df: DataFrame, met: DataFrame, places: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id and words of the lines that meet others, read from one document each."""
     wanted = written(met.select("id").distinct(), "line-ids")
-    found = lines(df, id_col, text_col).select("id", "words").join(_small(wanted), "id", "left_semi")
+    of_doc = written(places.join(_small(wanted), "id", "left_semi").groupBy("id").agg(F.min(F.struct("doc_id", "copy")).alias("_d")).select("id", "_d.*"), "line-documents")
+    docs = of_doc.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).distinct()
+    some = df.join(_small(docs), (df[id_col] == F.col("_id")) & (F.xxhash64(df[text_col]) == F.col("_copy")), "left_semi")
+    found = lines(some, id_col, text_col).select("id", "words").join(_small(wanted), "id", "left_semi")
     return written(found.groupBy("id").agg(F.first("words").alias("words")), "line-texts")
 
 
@@ -198,18 +216,26 @@ def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(both.filter(F.when(alike, within_edits(a, b, edits)).otherwise(False)).select("a", "b"), "line-links")
 
 
-def links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pairs a, b of ids of near-duplicate lines, enough to connect all that are."""
-    keyed = written(first_keys(df, id_col, text_col), "line-segments")
-    met = _met(keyed)
-    dropped(keyed)
-    texts = _texts(df, met, id_col, text_col)
-    entries, found, cuts = None, None, 0
+def _labels(found: DataFrame) -> DataFrame:
+    """id and root of linked lines.  Lines of one root are connected; not all that
+    are connected have one root, which costs pairs, but no links."""
+    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    near = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("root"))
+    further = near.select(F.col("id").alias("root"), F.col("root").alias("_r"))
+    return written(near.join(further, "root", "left").select("id", F.coalesce("_r", "root").alias("root")), "line-labels")
+
+
+def links(df: DataFrame, entries: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Pairs a, b of ids of near-duplicate lines, enough to connect all that are.
+    entries: ``entries_of`` of df, where they are written already."""
+    entries = written(entries_of(df, id_col, text_col), "line-entries") if entries is None else entries
+    met = _met(keys_of(entries))
+    texts = _texts(df, met, places_of(entries), id_col, text_col)
+    whole, found, cuts = None, None, 0
     while True:
         new = _near(met.filter("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), texts)
         found = new if found is None else found.unionByName(new)
-        roots = connected(found).withColumnRenamed("node", "id")
-        classed = met.select("key", "id").join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+        classed = written(met.select("key", "id").join(_labels(found), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root")), "line-classes")
         sizes = classed.groupBy("key", "root").agg(F.count("*").cast("double").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("classes"))
         mixed = written(sizes.filter("classes > 1").select("key", ((F.col("n") * F.col("n") - F.col("same")) / 2 > F.col("n") * (PAIRS if cuts < CUTS else float("inf"))).alias("large")), "mixed-keys")
         small = classed.join(_small(mixed.filter("not large").select("key")), "key", "left_semi")
@@ -220,15 +246,16 @@ def links(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
         if large.isEmpty():
             return found
         cuts += 1
-        entries = cut(whole_lines(texts)) if entries is None else entries
-        entries = written(cut(entries.join(_small(large), "key", "left_semi")), "line-entries")
-        met = _met(entries.select("key", "id", "own"))
+        whole = cut(whole_lines(texts)) if whole is None else whole
+        whole = written(cut(whole.join(_small(large), "key", "left_semi")), "line-entries")
+        met = _met(whole.select("key", "id", "own"))
 
 
 def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, copy and gone, the places of its lines that an earlier line stands for."""
-    places = written(lines(df, id_col, text_col).select("id", "more", "doc_id", "copy", "place"), "line-places")
-    roots = written(connected(links(df, id_col, text_col)).withColumnRenamed("node", "id"), "line-roots")
+    entries = written(entries_of(df, id_col, text_col), "line-entries")
+    places = places_of(entries)
+    roots = written(connected(links(df, entries, id_col, text_col)).withColumnRenamed("node", "id"), "line-roots")
     # Only lines that occur twice or are linked can go.
     twice = places.groupBy("id", "more").agg(F.count("*").alias("n")).filter("n > 1").select("id")
     asked = written(twice.unionByName(roots.select("id")).distinct(), "asked-lines")
@@ -240,18 +267,12 @@ def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return gone.select("at.*").groupBy("doc_id", "copy").agg(F.collect_set("place").alias("gone"))
 
 
-def _few_places(gone: DataFrame) -> DataFrame:
-    """``removals``, broadcast if it holds few places, else joined by a shuffle."""
-    total = gone.agg(F.coalesce(F.sum(F.size("gone") + 1), F.lit(0))).first()[0]
-    return F.broadcast(gone) if total <= BROADCAST_PLACES else gone
-
-
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``df``: row (a struct of its columns), text without the
     removed lines, n_lines (with a word, before) and n_removed."""
     gone = written(removals(df, id_col, text_col), "removed-lines").withColumnsRenamed({"doc_id": "gone_id", "copy": "gone_copy"})
     row = df.select(F.struct(*df.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    both = row.join(_few_places(gone), (F.col("id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_copy")), "left").withColumn("parts", F.split("text", "\n"))
+    both = row.join(gone, (F.col("id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_copy")), "left").withColumn("parts", F.split("text", "\n"))
     parts = F.col("parts")
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "gone")
     rebuilt = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
