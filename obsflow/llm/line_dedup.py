@@ -62,7 +62,9 @@ def lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     for c in others:
         rare |= F.contains(F.col(text_col), F.lit(c))
     text = F.when(rare, F.translate(F.col(text_col), others, " " * len(others))).otherwise(F.col(text_col))
-    split = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("copy"), F.posexplode(F.split(text, "\n")).alias("place", "line"))
+    # The hash in a select of its own, else it would be taken once a line.
+    rows = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("copy"), text.alias("text"))
+    split = rows.select("doc_id", "copy", F.posexplode(F.split("text", "\n")).alias("place", "line"))
     worded = split.withColumn("words", F.array_remove(F.split("line", " "), "")).filter(F.size("words") > 0).drop("line")
     return worded.withColumns({"id": F.xxhash64("words"), "more": F.hash("words")})
 
@@ -181,6 +183,18 @@ def within_edits(a: Column, b: Column, edits: Column) -> Column:
     return F.when(F.abs(F.size(a) - F.size(b)) <= edits, last).otherwise(False)
 
 
+def signature(words: Column) -> Column:
+    """One bit for each word hash modulo 64: whether an odd number of words have
+    it.  An edit changes at most two bits."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(w).bitwiseAND(63))))
+
+
+def _may_be_near(a: str, b: str) -> Column:
+    """By numbers of words and signatures (n and bits, with a suffix)."""
+    edits = tolerance(F.least(f"n{a}", f"n{b}"))
+    return (F.abs(F.col(f"n{a}") - F.col(f"n{b}")) <= edits) & (F.bit_count(F.col(f"bits{a}").bitwiseXOR(F.col(f"bits{b}"))) <= 2 * edits)
+
+
 def _small(df: DataFrame) -> DataFrame:
     """``df`` of keys or ids, broadcast if it is small, else joined by a shuffle."""
     return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
@@ -197,23 +211,23 @@ def _met(keyed: DataFrame) -> DataFrame:
 
 
 def _texts(df: DataFrame, met: DataFrame, places: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id and words of the lines that meet others, read from one document each."""
+    """id, words, n and bits (signature) of the lines that meet others, read from
+    one document each."""
     wanted = written(met.select("id").distinct(), "line-ids")
     of_doc = written(places.join(_small(wanted), "id", "left_semi").groupBy("id").agg(F.min(F.struct("doc_id", "copy")).alias("_d")).select("id", "_d.*"), "line-documents")
     docs = of_doc.select(F.col("doc_id").alias("_id"), F.col("copy").alias("_copy")).distinct()
     some = df.join(_small(docs), (df[id_col] == F.col("_id")) & (F.xxhash64(df[text_col]) == F.col("_copy")), "left_semi")
     found = lines(some, id_col, text_col).select("id", "words").join(_small(wanted), "id", "left_semi")
-    return written(found.groupBy("id").agg(F.first("words").alias("words")), "line-texts")
+    one = found.groupBy("id").agg(F.first("words").alias("words"))
+    return written(one.withColumns({"n": F.size("words"), "bits": signature(F.col("words"))}), "line-texts")
 
 
 def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs a, b of lines that are near-duplicates.  Few words may stand in
-    one line only, which is cheaper to see than the distance."""
-    both = pairs.join(texts.toDF("a", "words_a"), "a").join(texts.toDF("b", "words_b"), "b")
+    """The pairs a, b of lines that are near-duplicates."""
+    words = texts.select("id", "words")
+    both = pairs.join(words.toDF("a", "words_a"), "a").join(words.toDF("b", "words_b"), "b")
     a, b = F.col("words_a"), F.col("words_b")
-    edits = tolerance(F.least(F.size(a), F.size(b)))
-    alike = (F.size(F.array_except(a, b)) <= edits) & (F.size(F.array_except(b, a)) <= edits)
-    return written(both.filter(F.when(alike, within_edits(a, b, edits)).otherwise(False)).select("a", "b"), "line-links")
+    return written(both.filter(within_edits(a, b, tolerance(F.least(F.size(a), F.size(b))))).select("a", "b"), "line-links")
 
 
 def _labels(found: DataFrame) -> DataFrame:
@@ -225,28 +239,35 @@ def _labels(found: DataFrame) -> DataFrame:
     return written(near.join(further, "root", "left").select("id", F.coalesce("_r", "root").alias("root")), "line-labels")
 
 
-def links(df: DataFrame, entries: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def links(df: DataFrame, entries: DataFrame | None = None, places: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pairs a, b of ids of near-duplicate lines, enough to connect all that are.
-    entries: ``entries_of`` of df, where they are written already."""
+    entries and places: those of df, where they are written already."""
     entries = written(entries_of(df, id_col, text_col), "line-entries") if entries is None else entries
+    places = places_of(entries) if places is None else places
     met = _met(keys_of(entries))
-    texts = _texts(df, met, places_of(entries), id_col, text_col)
+    texts = _texts(df, met, places, id_col, text_col)
+    marks = texts.select("id", "n", "bits")
     whole, found, cuts = None, None, 0
     while True:
-        new = _near(met.filter("id != first").select(F.col("first").alias("a"), F.col("id").alias("b")).distinct(), texts)
+        marked = written(met.join(marks, "id"), "marked-lines")
+        hubs = marked.filter("id = first").select("key", *[F.col(c).alias(f"{c}_a") for c in ("n", "bits")], F.col("id").alias("a"))
+        others = marked.filter("id != first").select("key", *[F.col(c).alias(f"{c}_b") for c in ("n", "bits")], F.col("id").alias("b"))
+        new = _near(others.join(hubs, "key").filter(_may_be_near("_a", "_b")).select("a", "b").distinct(), texts)
         found = new if found is None else found.unionByName(new)
-        classed = written(met.select("key", "id").join(_labels(found), "id", "left").select("key", "id", F.coalesce("root", "id").alias("root")), "line-classes")
+        classed = written(marked.join(_labels(found), "id", "left").select("key", "id", "n", "bits", F.coalesce("root", "id").alias("root")), "line-classes")
         sizes = classed.groupBy("key", "root").agg(F.count("*").cast("double").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("classes"))
         mixed = written(sizes.filter("classes > 1").select("key", ((F.col("n") * F.col("n") - F.col("same")) / 2 > F.col("n") * (PAIRS if cuts < CUTS else float("inf"))).alias("large")), "mixed-keys")
         small = classed.join(_small(mixed.filter("not large").select("key")), "key", "left_semi")
-        a, b = small.toDF("key", "a", "root_a"), small.toDF("key", "b", "root_b")
-        across = a.join(b, "key").filter("a < b and root_a != root_b").select("a", "b").distinct()
+        a, b = small.toDF("key", "a", "n_a", "bits_a", "root_a"), small.toDF("key", "b", "n_b", "bits_b", "root_b")
+        across = a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _may_be_near("_a", "_b")).select("a", "b").distinct()
         found = found.unionByName(_near(across, texts))
         large = mixed.filter("large").select("key")
         if large.isEmpty():
             return found
         cuts += 1
-        whole = cut(whole_lines(texts)) if whole is None else whole
+        if whole is None:
+            there = classed.join(_small(large), "key", "left_semi").select("id").distinct()
+            whole = cut(whole_lines(texts.join(_small(there), "id", "left_semi")))
         whole = written(cut(whole.join(_small(large), "key", "left_semi")), "line-entries")
         met = _met(whole.select("key", "id", "own"))
 
@@ -254,8 +275,8 @@ def links(df: DataFrame, entries: DataFrame | None = None, id_col: str = "doc_id
 def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, copy and gone, the places of its lines that an earlier line stands for."""
     entries = written(entries_of(df, id_col, text_col), "line-entries")
-    places = places_of(entries)
-    roots = written(connected(links(df, entries, id_col, text_col)).withColumnRenamed("node", "id"), "line-roots")
+    places = written(places_of(entries), "line-places")
+    roots = written(connected(links(df, entries, places, id_col, text_col)).withColumnRenamed("node", "id"), "line-roots")
     # Only lines that occur twice or are linked can go.
     twice = places.groupBy("id", "more").agg(F.count("*").alias("n")).filter("n > 1").select("id")
     asked = written(twice.unionByName(roots.select("id")).distinct(), "asked-lines")
