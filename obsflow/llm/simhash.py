@@ -13,6 +13,15 @@ exactly by counting the differing bits.
 Equal fingerprints are grouped before anything is joined, so a group of exact
 copies costs one row.  Links become classes by ``components.connected``.
 
+``near_classes`` takes documents whose sets of five-word shingles have a Jaccard
+similarity of 0.8 or more.  Their fingerprints differ in some 10 bits of 64, up
+to 16, which no affordable number of Golay keys covers; so beside the links of
+the fingerprints it takes as candidates the documents that share one of their
+``SMALLEST`` smallest shingle hashes.  Two documents of similarity J miss each
+other there with a chance of (1 - J) ** SMALLEST at most.  Nobody pairs a group:
+each document is a candidate with the first of each of its keys, and every
+candidate is verified by the exact similarity.
+
 Defined results: a null or empty text has fingerprint zero and is linked like
 any other; rows with equal ids are fingerprinted one by one; other columns
 aren't read.
@@ -36,25 +45,37 @@ from .components import connected
 GENERATOR = 0b110001110101
 #: Lengths of the segments, from the low end of the fingerprint.
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
+#: Smallest shingle hashes by which documents of similar shingles meet.
+SMALLEST = 6
 #: Shingles whose bits are counted at a time.
 CHUNK = 1 << 15
 
 
-def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
-    """The unsigned 64-bit fingerprint of one whole text."""
+def shingle_hashes(text: str | None, shingle: int, seed: int = 42) -> tuple[bytes, np.ndarray]:
+    """The words of a whole text, joined, and the hashes of its shingles, repeats
+    included; none for a text without words."""
     import xxhash
 
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    whole = b" ".join(words)
     if not words:
-        return 0
+        return whole, np.zeros(0, np.uint64)
     n = max(1, len(words) - shingle + 1)
-    parts = map(b" ".join, zip(*[words[k:] for k in range(shingle)], strict=False)) if len(words) >= shingle else [b" ".join(words)]
-    h = np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=seed), parts), np.uint64, n)
+    parts = map(b" ".join, zip(*[words[k:] for k in range(shingle)], strict=False)) if len(words) >= shingle else [whole]
+    return whole, np.fromiter(map(partial(xxhash.xxh64_intdigest, seed=seed), parts), np.uint64, n)
+
+
+def fingerprint_of(h: np.ndarray) -> int:
+    """The unsigned 64-bit fingerprint: the bits set in over half the hashes."""
     ones = np.zeros(64, np.int64)
-    for k in range(0, n, CHUNK):
+    for k in range(0, len(h), CHUNK):
         bits = np.unpackbits(h[k : k + CHUNK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
+    return int.from_bytes(np.packbits(2 * ones > len(h), bitorder="little").tobytes(), "little")
+
+
+def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
+    return fingerprint_of(shingle_hashes(text, shingle, seed)[1])
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
@@ -163,11 +184,74 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def filter_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """The rows of ``df`` whose id is the smallest of their class, one row an
-    id, with all their columns; rows with a null id stay."""
-    kept = classes(df, id_col, text_col, shingle).filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    first = df.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col])
+def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """doc_id, node (hash of the words, equal for exact copies), fp and keys (the
+    smallest distinct shingle hashes) of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for b in batches:
+            node, fp, keys = [], [], []
+            for text in b.column(1):
+                whole, h = shingle_hashes(text.as_py(), shingle)
+                node.append(xxhash.xxh64_intdigest(whole))
+                fp.append(fingerprint_of(h))
+                keys.append(np.unique(h)[:SMALLEST].view(np.int64))
+            signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), signed(node), signed(fp), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "node", "fp", "keys"])
+
+    rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, node long, fp long, keys array<long>")
+
+
+def shingle_sets(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """node and its distinct shingle hashes, of every row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, 64):  # bounds the lists held at a time
+                b = whole.slice(at, 64)
+                got = [shingle_hashes(t.as_py(), shingle) for t in b.column(0)]
+                node = np.array([xxhash.xxh64_intdigest(w) for w, _ in got], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array([np.unique(h).view(np.int64) for _, h in got], pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    return df.select(F.col(text_col).alias("text")).mapInArrow(run, "node long, shingles array<long>")
+
+
+def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """Every row's id, node and component_id, the smallest id of its class."""
+    rows = written(sketches(df, id_col, text_col, shingle), "sketches")
+    nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "sketch-nodes")
+    hubs = nodes.groupBy("fp").agg(F.min("node").alias("hub"))
+    equal = nodes.join(hubs, "fp").select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    met = links(hubs.select("fp"))
+    close = met.join(hubs.toDF("a", "hub_a"), "a").join(hubs.toDF("b", "hub_b"), "b").select(F.col("hub_a").alias("a"), F.col("hub_b").alias("b"))
+    keyed = nodes.select("node", F.explode("keys").alias("key"))
+    least = keyed.groupBy("key").agg(F.min("node").alias("a"))
+    shared = keyed.join(least, "key").select("a", F.col("node").alias("b"))
+    pairs = written(equal.unionByName(close).unionByName(shared).filter("a != b").distinct(), "candidates")
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "first"), "node"), "candidate-nodes")
+    texts = df.join(wanted.select(F.col("first").alias("_first")).distinct(), df[id_col] == F.col("_first"), "left_semi")
+    sets = written(shingle_sets(texts, id_col, text_col, shingle).dropDuplicates(["node"]), "shingle-sets")
+    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    near = common >= F.lit(similarity) * (F.size("set_a") + F.size("set_b") - common)
+    roots = connected(both.filter(near).select("a", "b"))
+    rooted = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rows.join(rooted.join(least, "root").select("node", "component_id"), "node").select("doc_id", "node", "component_id")
+
+
+def filter_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The rows of ``df`` whose id is the smallest of their near class, with all
+    their columns.  Rows equal in id and text are one row; of rows with equal ids
+    and different texts each that is the smallest stays; rows with a null id stay."""
+    of_row = near_classes(df.filter(F.col(id_col).isNotNull()), id_col, text_col, shingle, similarity)
+    kept = written(of_row.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct(), "kept-ids")
+    first = df.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col])
     stay = first.join(kept, first[id_col] == kept["_kept_id"], "left_semi")
     return stay.unionByName(df.filter(F.col(id_col).isNull()))
 

@@ -480,6 +480,43 @@ def test_simhash_classes(spark, docs):
         comp = {i: min(comp[j] for j in fp if bin(fp[i] ^ fp[j]).count("1") <= 3) for i in fp}
     got = simhash.classes(df.withColumn("first", F.lit("x"))).collect()
     assert len(got) == df.count() and {r["doc_id"]: (r["fp"] & (1 << 64) - 1, r["component_id"]) for r in got} == {i: (fp[i], comp[i]) for i in fp}
-    kept = simhash.filter_documents(docs)
-    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted({comp[i] for i in range(len(TEXTS))})
     assert simhash.classes(df.limit(0)).count() == 0
+
+
+def brute_near(rows):
+    """The smallest id of each id's class by Jaccard >= 0.8 of five-word shingles."""
+    def shingles(text):
+        w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        return frozenset(" ".join(w[i : i + 5]) for i in range(len(w) - 4)) or frozenset([" ".join(w)])
+
+    sets = {i: shingles(t) for i, t in rows}
+    by_word = defaultdict(set)
+    for i, s in sets.items():
+        for x in s:
+            by_word[x].add(i)
+    near = {i: {j for j in set().union(*(by_word[x] for x in s)) if 5 * len(s & sets[j]) >= 4 * len(s | sets[j])} for i, s in sets.items()}
+    comp = {i: i for i in sets}
+    while True:
+        new = {i: min(comp[j] for j in near[i]) for i in comp}
+        if new == comp:
+            return comp
+        comp = new
+
+
+def test_near_classes_of_the_given_documents(spark):
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = brute_near([(r["doc_id"], r["text"]) for r in df.collect()])
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_classes(df).collect()}
+    linked = [i for i in want if want[i] != i]
+    assert len(linked) > 20 and sum(got[i] == want[i] for i in linked) >= 0.99 * len(linked)
+    assert all(want[i] == want[c] for i, c in got.items())  # nothing unlike is linked
+
+
+def test_near_dedup_of_odd_rows(spark, docs):
+    kept = simhash.filter_documents(docs)
+    comp = brute_near(list(enumerate(TEXTS)))
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(comp.values()))
+    rows = [(None, "a b"), (None, "a b"), (3, "other words"), (3, "other words"), (2, "Other  WORDS")]
+    got = simhash.filter_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got.collect()) == [(0, "a b"), (0, "a b"), (2, "Other  WORDS")]
+    assert simhash.filter_documents(docs.limit(0)).count() == 0
