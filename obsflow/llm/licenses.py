@@ -4,7 +4,8 @@ A text is cut into sentences; sentences that speak of licences are normalised
 and mapped to the identifiers of all known licence sentences in them, by their
 position (the standard GPL notice is one sentence).  The identifiers, in order of appearance, form a sequence; the ordered
 licence rules are matched against it one after the other, and each takes the
-identifiers it matches away from those that follow.
+identifiers it matches away from those that follow, wherever they stand; what
+stood on both sides of them doesn't become neighbours by that.
 
 Every row depends on itself only.
 
@@ -14,6 +15,8 @@ repeated rows are scanned one by one; other columns aren't read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,6 +103,17 @@ SEQUENCES = tuple((name, _GPL[name]) for name in ("LGPL", "AGPL")) + tuple((name
 UNKNOWN = "Unknown"
 
 
+#: Stands where a rule has taken identifiers, so that those on both sides of it
+#: don't become neighbours.
+TAKEN = "|"
+
+
+def _wrapped(pattern: str) -> str:
+    """A pattern over "Id;Id;..." as one over "<Id><Id>...", where every
+    identifier bears its own bounds."""
+    return re.sub(r"([A-Za-z0-9\[\]]+);", r"<\1>", pattern)
+
+
 def sentences(text: Column) -> Column:
     """Normalised sentences that hold one of KEYWORDS: a sentence ends after a stop
     and white space, or with an empty line; comment marks are no words."""
@@ -122,15 +136,15 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     unknown, the identifiers that no licence rule took (array, in order)."""
     rows = df.select(F.col(id_col).alias("doc_id"), F.transform(sentences(F.col(text_col)), _identify).alias("_ids"))
     rows = rows.select("doc_id", F.size("_ids").cast("long").alias("n_sentences"), F.flatten("_ids").alias("sentence_ids"))
-    rows = rows.withColumn("_left", F.concat(F.array_join("sentence_ids", ";"), F.when(F.size("sentence_ids") > 0, ";").otherwise("")))
+    rows = rows.withColumn("_left", F.array_join(F.transform("sentence_ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), ""))
     found = []
     for k, (name, pattern) in enumerate(SEQUENCES):
-        whole = f"(^|;)({pattern})"
+        whole = _wrapped(pattern)
         rows = rows.withColumn(f"_found{k}", F.when(F.col("_left").rlike(whole), name))
-        rows = rows.withColumn("_left", F.when(F.col(f"_found{k}").isNotNull(), F.regexp_replace("_left", whole, "$1")).otherwise(F.col("_left")))
+        rows = rows.withColumn("_left", F.when(F.col(f"_found{k}").isNotNull(), F.regexp_replace("_left", whole, TAKEN)).otherwise(F.col("_left")))
         found.append(F.col(f"_found{k}"))
     licenses = F.array_sort(F.array_distinct(F.array_compact(F.array(*found))))
-    return rows.select("doc_id", "n_sentences", "sentence_ids", licenses.alias("licenses"), F.filter(F.split("_left", ";"), lambda s: s != "").alias("unknown"))
+    return rows.select("doc_id", "n_sentences", "sentence_ids", licenses.alias("licenses"), F.regexp_extract_all("_left", F.lit("<([^>]+)>"), F.lit(1)).alias("unknown"))
 
 
 def op7_license_scan(spark, sf_dir: str) -> DataFrame:
@@ -144,17 +158,17 @@ def oracle() -> str:
     case = " ".join(f"WHEN regexp_matches(s, {quote(p)}) THEN {quote(n)}" for n, p in SENTENCES)
     steps, last = [], "c0"
     for k, (name, pattern) in enumerate(LICENSES):
-        whole = quote(f"(^|;)({pattern})")
-        steps.append(f"c{k + 1} AS MATERIALIZED (SELECT doc_id, ids, CASE WHEN regexp_matches(rest, {whole}) THEN list_append(found, {quote(name)}) ELSE found END AS found, regexp_replace(rest, {whole}, '\\1', 'g') AS rest FROM c{k})")
+        whole = quote(_wrapped(pattern))
+        steps.append(f"c{k + 1} AS MATERIALIZED (SELECT doc_id, ids, CASE WHEN regexp_matches(rest, {whole}) THEN list_append(found, {quote(name)}) ELSE found END AS found, regexp_replace(rest, {whole}, '{TAKEN}', 'g') AS rest FROM c{k})")
         last = f"c{k + 1}"
     return f"""
 WITH low AS (SELECT doc_id, replace(lower(coalesce(text, '')), chr(13), '') AS t FROM documents),
 cut AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(t, '([.!?])[ \\t\\n]+|\\n[ \\t]*\\n', '\\1' || chr(30), 'g'), chr(30)),
         lambda s: trim(regexp_replace(s, '[^a-z0-9.+]+', ' ', 'g'))), lambda s: regexp_matches(s, {quote(KEYWORD)})) AS ss FROM low),
 named AS (SELECT doc_id, list_transform(ss, lambda s: CASE {case} ELSE {quote(UNKNOWN)} END) AS ids FROM cut),
-c0 AS (SELECT doc_id, ids, []::VARCHAR[] AS found, CASE WHEN len(ids) > 0 THEN array_to_string(ids, ';') || ';' ELSE '' END AS rest FROM named),
+c0 AS (SELECT doc_id, ids, []::VARCHAR[] AS found, array_to_string(list_transform(ids, lambda i: '<' || i || '>'), '') AS rest FROM named),
 {", ".join(steps)}
 SELECT doc_id, len(ids)::BIGINT AS n_sentences, array_to_string(ids, ';') AS sentence_ids,
        array_to_string(list_sort(list_distinct(found)), ' AND ') AS licenses,
-       len(list_filter(string_split(rest, ';'), lambda s: s <> ''))::BIGINT AS n_unknown
+       (length(rest) - length(replace(rest, '<', '')))::BIGINT AS n_unknown
 FROM {last}"""
