@@ -14,7 +14,7 @@ Defined results: of several responses at one time the one with the largest id
 counts; a response at the very time of the revisit isn't earlier.  A null URL or
 time resolves to nothing (``no_earlier_response``); null headers are none.
 Equal revisit rows are resolved one by one; equal response rows, and responses
-with equal ids, count as one (any of them).  Other columns aren't read.
+with equal ids, count as one, that of the smallest (headers, body).  Other columns aren't read.
 """
 
 from __future__ import annotations
@@ -81,8 +81,13 @@ def resolve(records: DataFrame) -> DataFrame:
     points = narrow.groupBy("url", "at").agg(F.max("response").alias("response"))
     as_of = written(latest_earlier(points).filter("response is not null"), "as-of")
     revisits = keyed.filter("kind = 'revisit'").select("record_id", "url", "at", F.col("headers").alias("new")).join(as_of, ["url", "at"], "left")
-    old = keyed.filter(full).select(F.col("record_id").alias("response"), F.col("headers").alias("old"), F.col("body").alias("old_body")).dropDuplicates(["response"])
-    both = revisits.join(old, "response", "left")
+    # Only responses that some revisit goes back to move with their bodies.
+    asked = written(as_of.select("response").distinct(), "asked-responses")
+    old = keyed.filter(full).select(F.col("record_id").alias("response"), F.struct("headers", "body").alias("o")).join(asked, "response", "left_semi")
+    old = old.groupBy("response").agg(F.min("o").alias("o")).select("response", F.col("o.headers").alias("old"), F.col("o.body").alias("old_body"))
+    # Revisits without a response would all have one key.
+    none = revisits.filter("response is null").select("*", F.lit(None).cast(HEADERS).alias("old"), F.lit(None).cast("string").alias("old_body"))
+    both = revisits.filter("response is not null").join(old, "response").select(*none.columns).unionByName(none)
     tag, modified = header(F.col("new"), "etag"), header(F.col("new"), "last-modified")
     agrees = F.when(tag.isNotNull(), F.coalesce(_strong(tag) == _strong(header(F.col("old"), "etag")), F.lit(False))).otherwise(F.coalesce(modified == header(F.col("old"), "last-modified"), F.lit(False)))
     outcome = F.when(F.col("response").isNull(), "no_earlier_response").when(tag.isNull() & modified.isNull(), "no_validator").when(agrees, "resolved").otherwise("validator_mismatch")
