@@ -45,6 +45,8 @@ from .components import connected
 GENERATOR = 0b110001110101
 #: Lengths of the segments, from the low end of the fingerprint.
 SEGMENTS = ((0, 23), (23, 23), (46, 18))
+#: Ids up to this number are broadcast (8 bytes each), more are shuffled.
+BROADCAST_IDS = 1_000_000
 #: Smallest shingle hashes by which documents of similar shingles meet.
 SMALLEST = 6
 #: Shingles whose bits are counted at a time.
@@ -184,6 +186,11 @@ def classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shing
     return fps.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def _small(ids: DataFrame) -> DataFrame:
+    """A table of ids, broadcast if it is small, else joined by a shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
     """doc_id, node (hash of the words, equal for exact copies), fp and keys (the
     smallest distinct shingle hashes) of every row."""
@@ -234,7 +241,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = keyed.join(least, "key").select("a", F.col("node").alias("b"))
     pairs = written(equal.unionByName(close).unionByName(shared).filter("a != b").distinct(), "candidates")
     wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "first"), "node"), "candidate-nodes")
-    texts = df.join(wanted.select(F.col("first").alias("_first")).distinct(), df[id_col] == F.col("_first"), "left_semi")
+    texts = df.join(_small(wanted.select(F.col("first").alias("_first")).distinct()), df[id_col] == F.col("_first"), "left_semi")
     sets = written(shingle_sets(texts, id_col, text_col, shingle).dropDuplicates(["node"]), "shingle-sets")
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -249,11 +256,15 @@ def filter_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """The rows of ``df`` whose id is the smallest of their near class, with all
     their columns.  Rows equal in id and text are one row; of rows with equal ids
     and different texts each that is the smallest stays; rows with a null id stay."""
-    of_row = near_classes(df.filter(F.col(id_col).isNotNull()), id_col, text_col, shingle, similarity)
-    kept = written(of_row.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct(), "kept-ids")
-    first = df.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col, text_col])
-    stay = first.join(kept, first[id_col] == kept["_kept_id"], "left_semi")
-    return stay.unionByName(df.filter(F.col(id_col).isNull()))
+    known = df.filter(F.col(id_col).isNotNull())
+    of_row = near_classes(known, id_col, text_col, shingle, similarity)
+    by_id = written(of_row.groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n")), "kept-ids")
+    # Few ids go or are repeated, so these are what the texts are joined with.
+    gone, again = (_small(by_id.filter(c).select(F.col("doc_id").alias("_id"))) for c in ("not stays", "stays and n > 1"))
+    mine = lambda ids: df[id_col] == ids["_id"]
+    once = known.join(gone, mine(gone), "left_anti").join(again, mine(again), "left_anti")
+    repeated = known.join(again, mine(again), "left_semi").dropDuplicates([id_col, text_col])
+    return once.unionByName(repeated).unionByName(df.filter(F.col(id_col).isNull()))
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
