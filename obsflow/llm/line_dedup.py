@@ -47,6 +47,9 @@ LEAST, STEP, MOST = 8, 48, 2
 PAIRS, CUTS = 16, 4
 #: Keys or line ids up to this number are broadcast (16 bytes each), more are shuffled.
 BROADCAST_IDS = 500_000
+#: Removed lines, and eight for each of their documents, up to this number are
+#: broadcast (4 bytes each), more are shuffled.
+BROADCAST_PLACES = 2_000_000
 WIDTH = 2 * MOST + 1
 
 
@@ -183,16 +186,23 @@ def within_edits(a: Column, b: Column, edits: Column) -> Column:
     return F.when(F.abs(F.size(a) - F.size(b)) <= edits, last).otherwise(False)
 
 
-def signature(words: Column) -> Column:
-    """One bit for each word hash modulo 64: whether an odd number of words have
-    it.  An edit changes at most two bits."""
-    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.hash(w).bitwiseAND(63))))
+def signature(hashed, words: Column) -> Column:
+    """One bit for each value of a hash modulo 64: whether an odd number of words
+    have it.  An edit changes at most two bits."""
+    return F.aggregate(words, F.lit(0).cast("long"), lambda bits, w: bits.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), hashed(w).bitwiseAND(63).cast("int"))))
+
+
+#: Columns by which lines are told apart before their words are fetched.
+MARKS = ("n", "bits", "more_bits")
 
 
 def _may_be_near(a: str, b: str) -> Column:
-    """By numbers of words and signatures (n and bits, with a suffix)."""
+    """By numbers of words and signatures (``MARKS`` with a suffix)."""
     edits = tolerance(F.least(f"n{a}", f"n{b}"))
-    return (F.abs(F.col(f"n{a}") - F.col(f"n{b}")) <= edits) & (F.bit_count(F.col(f"bits{a}").bitwiseXOR(F.col(f"bits{b}"))) <= 2 * edits)
+    alike = F.abs(F.col(f"n{a}") - F.col(f"n{b}")) <= edits
+    for bits in MARKS[1:]:
+        alike &= F.bit_count(F.col(f"{bits}{a}").bitwiseXOR(F.col(f"{bits}{b}"))) <= 2 * edits
+    return alike
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -211,7 +221,7 @@ def _met(keyed: DataFrame) -> DataFrame:
 
 
 def _texts(df: DataFrame, met: DataFrame, places: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, words, n and bits (signature) of the lines that meet others, read from
+    """id, words, n, bits and more_bits (signatures) of the lines that meet others, read from
     one document each."""
     wanted = written(met.select("id").distinct(), "line-ids")
     of_doc = written(places.join(_small(wanted), "id", "left_semi").groupBy("id").agg(F.min(F.struct("doc_id", "copy")).alias("_d")).select("id", "_d.*"), "line-documents")
@@ -219,7 +229,7 @@ def _texts(df: DataFrame, met: DataFrame, places: DataFrame, id_col: str, text_c
     some = df.join(_small(docs), (df[id_col] == F.col("_id")) & (F.xxhash64(df[text_col]) == F.col("_copy")), "left_semi")
     found = lines(some, id_col, text_col).select("id", "words").join(_small(wanted), "id", "left_semi")
     one = found.groupBy("id").agg(F.first("words").alias("words"))
-    return written(one.withColumns({"n": F.size("words"), "bits": signature(F.col("words"))}), "line-texts")
+    return written(one.withColumns({"n": F.size("words"), "bits": signature(F.hash, F.col("words")), "more_bits": signature(F.xxhash64, F.col("words"))}), "line-texts")
 
 
 def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -246,19 +256,19 @@ def links(df: DataFrame, entries: DataFrame | None = None, places: DataFrame | N
     places = places_of(entries) if places is None else places
     met = _met(keys_of(entries))
     texts = _texts(df, met, places, id_col, text_col)
-    marks = texts.select("id", "n", "bits")
+    marks = texts.select("id", *MARKS)
     whole, found, cuts = None, None, 0
     while True:
         marked = written(met.join(marks, "id"), "marked-lines")
-        hubs = marked.filter("id = first").select("key", *[F.col(c).alias(f"{c}_a") for c in ("n", "bits")], F.col("id").alias("a"))
-        others = marked.filter("id != first").select("key", *[F.col(c).alias(f"{c}_b") for c in ("n", "bits")], F.col("id").alias("b"))
+        hubs = marked.filter("id = first").select("key", *[F.col(c).alias(f"{c}_a") for c in MARKS], F.col("id").alias("a"))
+        others = marked.filter("id != first").select("key", *[F.col(c).alias(f"{c}_b") for c in MARKS], F.col("id").alias("b"))
         new = _near(others.join(hubs, "key").filter(_may_be_near("_a", "_b")).select("a", "b").distinct(), texts)
         found = new if found is None else found.unionByName(new)
-        classed = written(marked.join(_labels(found), "id", "left").select("key", "id", "n", "bits", F.coalesce("root", "id").alias("root")), "line-classes")
+        classed = written(marked.join(_labels(found), "id", "left").select("key", "id", *MARKS, F.coalesce("root", "id").alias("root")), "line-classes")
         sizes = classed.groupBy("key", "root").agg(F.count("*").cast("double").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("classes"))
         mixed = written(sizes.filter("classes > 1").select("key", ((F.col("n") * F.col("n") - F.col("same")) / 2 > F.col("n") * (PAIRS if cuts < CUTS else float("inf"))).alias("large")), "mixed-keys")
         small = classed.join(_small(mixed.filter("not large").select("key")), "key", "left_semi")
-        a, b = small.toDF("key", "a", "n_a", "bits_a", "root_a"), small.toDF("key", "b", "n_b", "bits_b", "root_b")
+        a, b = (small.toDF("key", x, *[f"{c}_{x}" for c in MARKS], f"root_{x}") for x in ("a", "b"))
         across = a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _may_be_near("_a", "_b")).select("a", "b").distinct()
         found = found.unionByName(_near(across, texts))
         large = mixed.filter("large").select("key")
@@ -288,12 +298,18 @@ def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     return gone.select("at.*").groupBy("doc_id", "copy").agg(F.collect_set("place").alias("gone"))
 
 
+def _few_places(gone: DataFrame) -> DataFrame:
+    """``removals``, broadcast if it holds few places, else joined by a shuffle."""
+    total = gone.agg(F.coalesce(F.sum(F.size("gone") + 8), F.lit(0))).first()[0]
+    return F.broadcast(gone) if total <= BROADCAST_PLACES else gone
+
+
 def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``df``: row (a struct of its columns), text without the
     removed lines, n_lines (with a word, before) and n_removed."""
     gone = written(removals(df, id_col, text_col), "removed-lines").withColumnsRenamed({"doc_id": "gone_id", "copy": "gone_copy"})
     row = df.select(F.struct(*df.columns).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    both = row.join(gone, (F.col("id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_copy")), "left").withColumn("parts", F.split("text", "\n"))
+    both = row.join(_few_places(gone), (F.col("id") == F.col("gone_id")) & (F.xxhash64("text") == F.col("gone_copy")), "left").withColumn("parts", F.split("text", "\n"))
     parts = F.col("parts")
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "gone")
     rebuilt = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")

@@ -291,6 +291,19 @@ def test_licenses(spark):
     assert got == [(0, ["MIT"], []), (1, ["MIT"], []), (2, ["Apache-2.0"], []), (3, ["GPL-3.0-only"], []), (4, [], ["Unknown"]), (5, [], []), (6, [], []), (6, [], [])]
 
 
+def test_licenses_apart_and_repeated(spark):
+    gpl2, later = "Under the GNU General Public License version 2.", "Either version 2 of the License, or any later version."
+    asked = [
+        ("Released under the MIT License. Available under the MIT License.", ["MIT"], []),
+        (f"{gpl2} Released under the MIT License. {later}", ["GPL-2.0-only", "MIT"], ["Gpl2Later"]),
+        (f"{gpl2} {later}", ["GPL-2.0-or-later"], []),
+        ("x " * 20000 + "\n\nReleased under the MIT License.", ["MIT"], []),
+    ]
+    df = spark.createDataFrame([(k, a[0]) for k, a in enumerate(asked)], "doc_id long, text string").withColumn("licenses", F.lit("clash"))
+    assert [(r["licenses"], r["unknown"]) for r in licenses.scan(df).collect()] == [a[1:] for a in asked]
+    assert licenses.scan(df.limit(0)).count() == 0
+
+
 def test_licenses_in_one_sentence(spark):
     gpl = "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU {}General Public License as published by\nthe Free Software Foundation, either version {} of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
     apache = 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.'
@@ -324,7 +337,9 @@ def test_revisits(spark):
     ]
     df = spark.createDataFrame(rows, f"record_id long, url string, at long, kind string, status int, headers {warc.HEADERS}, body string").withColumn("outcome", F.lit(1)).withColumn("response", F.lit(2))
     got = {r["record_id"]: r for r in warc.resolve(df).collect()}
-    assert warc.resolve(df).count() == 9
+    assert warc.resolve(df).count() == 9 and warc.resolve(df.limit(0)).count() == 0
+    tied = df.unionByName(df.filter("record_id = 1").withColumn("body", F.lit("a smaller body")))
+    assert {r["body"] for r in warc.resolve(tied).filter("response_id = 1 and outcome = 'resolved'").collect()} == {"a smaller body"}
     assert {k: (r["outcome"], r["response_id"], r["body"]) for k, r in got.items()} == {
         10: ("resolved", 1, "body one"), 11: ("resolved", 1, "body one"), 12: ("resolved", 2, "body two"), 13: ("no_validator", 2, None), 14: ("validator_mismatch", 2, None),
         15: ("no_earlier_response", None, None), 16: ("no_earlier_response", None, None), 17: ("no_earlier_response", None, None),
