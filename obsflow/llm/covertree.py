@@ -7,9 +7,10 @@ is split among up to ``FAN`` of its own vectors, each row going to the nearest;
 a node keeps its centre and covering radius.  Pairs of nodes whose centres are
 further apart than both radii and the threshold distance are pruned.  Each
 remaining pair of nodes is one bounded task, in which both sides become a local
-cover tree of nested levels with halving radii; the dual traversal prunes pairs
-of local nodes, takes those that must be linked whole, and multiplies out the
-rest in double precision.
+cover tree of nested levels with halving radii, whatever the number of children; the
+dual traversal goes down both trees, prunes pairs of nodes by their covering
+radii, takes those that must be linked whole, and settles single rows by their
+product in double precision.
 
 A task returns link counts and a spanning forest, never all pairs, so a dense
 cluster of n vectors costs O(n) rows a task.
@@ -17,7 +18,8 @@ cluster of n vectors costs O(n) rows a task.
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components, and rows with a null label, link with nothing and are components of
 their own; vectors of different lengths don't link; rows with equal ids count
-as vectors of their own; other columns aren't read.
+as vectors of their own, and a row with a null id too: it has the smallest id of
+its component, or null if it is alone there; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -38,29 +40,32 @@ CELL = 4096
 FAN = 64
 #: Spark levels at most; nodes that are still larger are cut by hash.
 LEVELS = 6
-#: Rows of a local node that isn't split further.
-LEAF = 64
-#: Bounds are widened by this, far above rounding errors of doubles.
-SLACK = 1e-9
+#: Bounds are widened by this, far above the rounding errors of distances that
+#: are taken from products.
+SLACK = 1e-6
 
 
 class Node:
+    """A node of a local cover tree: its children are at least half its radius
+    apart, and each row is within that of its child's centre; the first child has
+    the node's own centre.  Levels at which nothing is split are left out."""
+
     __slots__ = ("center", "radius", "rows", "children")
 
-    def __init__(self, x: np.ndarray, rows: np.ndarray, center: int, stop: float):
+    def __init__(self, x: np.ndarray, rows: np.ndarray, center: int):
         apart = np.linalg.norm(x[rows] - x[center], axis=1)
-        self.center, self.rows, self.radius, self.children = center, rows, float(apart.max()) + SLACK, []
-        if self.radius <= stop or len(rows) <= LEAF:
+        self.center, self.rows, self.radius, self.children = center, rows, float(apart.max()), []
+        if len(rows) == 1 or self.radius == 0:
             return
-        # Children cover half the radius.  Where that takes too many of them the
-        # data have too many dimensions for a deeper tree to prune anything.
-        left, found, most = rows, [], max(8, len(rows) // 16)
-        while len(left) and len(found) <= most:
-            inside = np.linalg.norm(x[left] - x[left[0]], axis=1) <= self.radius / 2
-            found.append((left[inside], int(left[0])))
+        # The centre, then whichever row is first among those not yet covered.
+        left, half = np.concatenate([[center], rows[rows != center]]), self.radius / 2
+        while len(left):
+            inside = np.linalg.norm(x[left] - x[left[0]], axis=1) <= half
+            self.children.append(Node(x, left[inside], int(left[0])))
             left = left[~inside]
-        if not len(left):
-            self.children = [Node(x, r, c, stop) for r, c in found]
+
+    def depth(self) -> int:
+        return 1 + max((c.depth() for c in self.children), default=0)
 
 
 def stars(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -79,50 +84,70 @@ def stars(a: np.ndarray, b: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]
     return out, label[out]
 
 
-def dual(x: np.ndarray, weight: np.ndarray, cos: float, left: Node, right: Node | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(weight linked to each row, spanning forest a, b).  right None: within left."""
+def dual(x: np.ndarray, weight: np.ndarray, cos: float, left: Node, right: Node | None, seen: dict | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(weight linked to each row, spanning forest a, b).  right None: within left.
+    seen: gets how many pairs of nodes were visited, pruned and linked whole."""
     reach = math.sqrt(max(0.0, 2 - 2 * cos))
     total = np.zeros(len(x), np.int64)
     a: list[np.ndarray] = []
     b: list[np.ndarray] = []
+    seen = {} if seen is None else seen
 
-    def link(i, j):
-        a.append(i)
-        b.append(j)
-
-    todo = [(left, left if right is None else right)]
+    def whole(p: Node, q: Node) -> None:
+        total[p.rows] += weight[q.rows].sum()
+        if p is q:
+            total[p.rows] -= weight[p.rows]
+        else:
+            total[q.rows] += weight[p.rows].sum()
+            a.append(q.rows)
+            b.append(np.full(len(q.rows), p.rows[0]))
+        a.append(p.rows)
+        b.append(np.full(len(p.rows), q.rows[0]))
+
+    def pairs(ps: list[Node], qs: list[Node], own: bool) -> list[tuple[Node, Node]]:
+        """Which pairs of nodes are left to descend: all distances of centres at
+        once, then the bounds; single rows are settled here."""
+        c, d = (np.array([n.center for n in ns]) for ns in (ps, qs))
+        r, s = (np.array([n.radius for n in ns]) for ns in (ps, qs))
+        one, two = (np.array([len(n.rows) == 1 for n in ns]) for ns in (ps, qs))
+        out = []
+        for at in range(0, len(ps), 512):
+            k = slice(at, at + 512)
+            dots = x[c[k]] @ x[d].T
+            apart, wide = np.sqrt(np.maximum(0.0, 2 - 2 * dots)), r[k][:, None] + s
+            asked = np.arange(len(qs)) > np.arange(len(ps))[k][:, None] if own else np.ones(dots.shape, bool)
+            far, near = asked & (apart - wide > reach + SLACK), asked & (apart + wide < reach - SLACK)
+            single = asked & one[k][:, None] & two
+            for name, what in (("visited", asked), ("pruned", far), ("whole", near & ~single)):
+                seen[name] = seen.get(name, 0) + int(what.sum())
+            i, j = np.nonzero(single & (dots >= cos))
+            i, j = c[k][i], d[j]
+            np.add.at(total, i, weight[j])
+            np.add.at(total, j, weight[i])
+            if len(i):
+                a.append(i)
+                b.append(j)
+            for i, j in zip(*np.nonzero(near & ~single), strict=True):
+                whole(ps[at + i], qs[j])
+            out += [(ps[at + i], qs[j]) for i, j in zip(*np.nonzero(asked & ~far & ~near & ~single), strict=True)]
+        return out
+
+    todo = [(left, left)] if right is None else pairs([left], [right], False)
     while todo:
         p, q = todo.pop()
-        own = p is q
-        apart = 0.0 if own else float(np.linalg.norm(x[p.center] - x[q.center]))
-        if apart - p.radius - q.radius > reach + SLACK:
-            continue
-        if apart + p.radius + q.radius < reach - SLACK:
-            total[p.rows] += weight[q.rows].sum()
-            if own:
-                total[p.rows] -= weight[p.rows]
-            else:
-                total[q.rows] += weight[p.rows].sum()
-                link(q.rows, np.full(len(q.rows), p.rows[0]))
-            link(p.rows, np.full(len(p.rows), q.rows[0]))
-        elif own and p.children:
-            todo += [(c, d) for k, c in enumerate(p.children) for d in p.children[k:]]
+        if p is q:
+            if 2 * p.radius < reach - SLACK:
+                whole(p, p)
+            elif p.children:
+                todo += pairs(p.children, p.children, True) + [(c, c) for c in p.children if len(c.rows) > 1]
+            else:  # equal rows, but for rounding
+                whole(p, p)
         elif p.children and (not q.children or p.radius >= q.radius):
-            todo += [(c, q) for c in p.children]
+            todo += pairs(p.children, [q], False)
         elif q.children:
-            todo += [(p, d) for d in q.children]
-        else:
-            for k in range(0, len(p.rows), 512):
-                rows = p.rows[k : k + 512]
-                near = x[rows] @ x[q.rows].T >= cos
-                if own:
-                    near[np.arange(len(rows)), k + np.arange(len(rows))] = False
-                total[rows] += near @ weight[q.rows]
-                if not own:
-                    total[q.rows] += weight[rows] @ near
-                i, j = np.nonzero(near)
-                if len(i):
-                    link(*stars(rows[i], q.rows[j], len(x)))
+            todo += pairs([p], q.children, False)
+        elif x[p.center] @ x[q.center] >= cos:
+            whole(p, q)
     if not a:
         return total, np.array([], np.int64), np.array([], np.int64)
     return (total, *stars(np.concatenate(a), np.concatenate(b), len(x)))
@@ -133,8 +158,7 @@ def _task(cos: float):
         pdf = pdf.sort_values(["side", "rep"], kind="stable")
         x, weight = np.stack(pdf["unit"].to_numpy()), pdf["mult"].to_numpy()
         sides = [np.nonzero(pdf["side"].to_numpy() == s)[0] for s in (0, 1)]
-        stop = math.sqrt(max(0.0, 2 - 2 * cos)) / 2
-        trees = [Node(x, rows, int(rows[0]), stop) if len(rows) else None for rows in sides]
+        trees = [Node(x, rows, int(rows[0])) if len(rows) else None for rows in sides]
         if trees[0] is None or (trees[1] is None and int(pdf["b"].iloc[0]) != int(pdf["a"].iloc[0])):
             return pd.DataFrame({"rep": [], "other": [], "n": []}).astype({"rep": "int64", "other": "Int64", "n": "int64"})
         total, i, j = dual(x, weight, cos, trees[0], trees[1])
@@ -160,12 +184,14 @@ def units(df: DataFrame, id_col: str, vec_col: str, label_col: str) -> DataFrame
     """vec_id, label, vec and unit (null where the row can link with nothing)."""
     v = F.col("vec")
     finite = F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
-    scaled = F.transform(v, lambda e: e.cast("double") / F.array_max(F.transform(v, lambda o: F.abs(o.cast("double")))))
+    scaled = F.transform(v, lambda e: e.cast("double") / F.col("_most"))
     norm = F.sqrt(F.aggregate("_scaled", F.lit(0.0), lambda s, e: s + e * e))
     good = F.col("label").isNotNull() & (F.size(v) > 0) & finite & F.exists(v, lambda e: e != 0)
     return (
         df.select(F.col(id_col).alias("vec_id"), F.col(label_col).alias("label"), F.col(vec_col).alias("vec"))
         .withColumn("_good", F.coalesce(good, F.lit(False)))
+        # In a column of its own, else it would be taken for each component.
+        .withColumn("_most", F.when(F.col("_good"), F.array_max(F.transform(v, lambda o: F.abs(o.cast("double"))))))
         .withColumn("_scaled", F.when(F.col("_good"), scaled))
         .withColumn("_norm", norm)
         .select("vec_id", "label", "vec", F.transform("_scaled", lambda e: e / F.col("_norm")).alias("unit"))

@@ -361,6 +361,33 @@ def test_components(spark):
     assert components.connected(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_cover_tree_prunes_clustered_rows():
+    rng = np.random.default_rng(6)
+    centers = rng.normal(size=(12, 16))
+    x = np.concatenate([c + rng.normal(size=(40, 16)) * 0.05 * (1 + k % 3) for k, c in enumerate(centers)])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    weight, seen = rng.integers(1, 4, len(x)), {}
+    tree = covertree.Node(x, np.arange(len(x)), 0)
+    stack = [tree]
+    while stack:
+        n = stack.pop()
+        assert (np.linalg.norm(x[n.rows] - x[n.center], axis=1) <= n.radius + 1e-12).all()
+        if n.children:
+            assert n.children[0].center == n.center and sorted(np.concatenate([c.rows for c in n.children])) == sorted(n.rows)
+            assert all(c.radius <= n.radius / 2 for c in n.children)
+            stack += n.children
+    total, i, j = covertree.dual(x, weight, 0.93, tree, None, seen)
+    near = x @ x.T >= 0.93
+    np.fill_diagonal(near, False)
+    assert (total == near @ weight).all() and tree.depth() > 3
+    everything = len(x) * (len(x) - 1) // 2
+    assert seen["pruned"] > 0 and seen["whole"] > 0 and seen["visited"] < everything / 2
+    half = np.arange(len(x)) % 2 == 0
+    sides = [covertree.Node(x, np.nonzero(s)[0], int(np.nonzero(s)[0][0])) for s in (half, ~half)]
+    total, i, j = covertree.dual(x, weight, 0.93, *sides)
+    assert (total == (near & (half[:, None] ^ half)) @ weight).all()
+
+
 @pytest.mark.parametrize("cell", [4096, 7])
 def test_embeddings(spark, monkeypatch, cell):
     monkeypatch.setattr(covertree, "CELL", cell)
