@@ -1,8 +1,11 @@
 """Six tables committed together by one small pointer file.
 
 Every changed table is written to a new version folder; then a pointer naming
-the versions of all tables is written and renamed into place.  Until then
-readers see the old versions, so a failed load changes nothing.
+the versions of all tables is written beside the older ones, under the next
+number.  The highest number counts, and no pointer is ever deleted or changed:
+at any moment readers see either the old versions or the new ones, and a failed
+load changes nothing.  A number is claimed first, so that of two loads that
+began at one state the second fails instead of undoing the first.
 """
 
 from __future__ import annotations
@@ -34,12 +37,17 @@ class Warehouse:
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def versions(self) -> dict[str, str]:
+    def _last(self) -> int:
+        """The highest pointer's number; 0 before the first commit."""
+        found = self._fs.globStatus(self._path(f"{self.root}/pointer-*.json")) or []
+        return max((int(f.getPath().getName()[len("pointer-") : -len(".json")]) for f in found), default=0)
+
+    def versions(self, number: int | None = None) -> dict[str, str]:
         """The committed version of each table; empty before the first commit."""
-        pointer = f"{self.root}/current.json"
-        if not self._fs.exists(self._path(pointer)):
+        number = self._last() if number is None else number
+        if not number:
             return {}
-        return json.loads("".join(r["value"] for r in self.spark.read.text(pointer).collect()))
+        return json.loads("".join(r["value"] for r in self.spark.read.text(f"{self.root}/pointer-{number}.json").collect()))
 
     def read(self, name: str, versions: dict[str, str] | None = None) -> DataFrame:
         """A table at the committed version, or at one pinned before."""
@@ -58,20 +66,28 @@ class Warehouse:
 
         before_publish: called in between (tests inject failures there).
         """
-        versions = dict(self.versions())
+        began = self._last()
+        versions = dict(self.versions(began))
         for name, df in tables.items():
             version = uuid.uuid4().hex
             df.select(*[f.name for f in self.read(name, {}).schema]).write.partitionBy(*PARTITIONED.get(name, [])).parquet(f"{self.root}/{name}/{version}")
             versions[name] = version
         if before_publish is not None:
             before_publish()
-        staged = self._path(f"{self.root}/current.json.{uuid.uuid4().hex}")
-        out = self._fs.create(staged, True)
-        out.write(bytearray(json.dumps(versions).encode()))
-        out.close()
-        target = self._path(f"{self.root}/current.json")
-        if self._fs.exists(target):
-            self._fs.delete(target, False)
-        if not self._fs.rename(staged, target):
-            raise OSError("could not publish the new versions")
+        claim = self._path(f"{self.root}/claim-{began + 1}")
+        try:
+            self._fs.create(claim, False).close()
+        except Exception as e:
+            raise OSError("another load was published meanwhile") from e
+        try:
+            if self._last() != began:
+                raise OSError("another load was published meanwhile")
+            staged = self._path(f"{self.root}/staged-{uuid.uuid4().hex}")
+            out = self._fs.create(staged, True)
+            out.write(bytearray(json.dumps(versions).encode()))
+            out.close()
+            if not self._fs.rename(staged, self._path(f"{self.root}/pointer-{began + 1}.json")):
+                raise OSError("could not publish the new versions")
+        finally:
+            self._fs.delete(claim, False)
         return versions
