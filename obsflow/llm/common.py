@@ -42,6 +42,8 @@ def shared_dir(spark: SparkSession) -> str:
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
         return conf.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     own = getattr(shared_dir, "own", None)
     if own is None:
         own = shared_dir.own = "file://" + tempfile.mkdtemp(prefix="obsflow-shared-")
