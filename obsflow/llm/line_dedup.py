@@ -51,6 +51,8 @@ BROADCAST_IDS = 500_000
 #: broadcast (4 bytes each), more are shuffled.
 BROADCAST_PLACES = 2_000_000
 WIDTH = 2 * MOST + 1
+#: From the first word of a line to the line's end.
+WORDED = "[^ \\t\\n\\x0B\\f\\r][^\\n]*"
 
 
 def tolerance(n: Column) -> Column:
@@ -68,7 +70,8 @@ def lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     # The hash in a select of its own, else it would be taken once a line.
     rows = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("copy"), text.alias("text"))
     split = rows.select("doc_id", "copy", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    worded = split.withColumn("words", F.array_remove(F.split("line", " "), "")).filter(F.size("words") > 0).drop("line")
+    # Filtered by the line, not by its words: Spark would move that filter below and split twice.
+    worded = split.filter(F.ltrim("line") != "").withColumn("words", F.array_remove(F.split("line", " "), "")).drop("line")
     return worded.withColumns({"id": F.xxhash64("words"), "more": F.hash("words")})
 
 
@@ -313,7 +316,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     parts = F.col("parts")
     left = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), "gone")
     rebuilt = F.array_join(F.transform(left, lambda i: F.get(parts, i)), "\n")
-    n_lines = F.size(F.filter(parts, lambda line: F.btrim(line, F.lit(WS_CHARS)) != "")).cast("long")
+    n_lines = F.regexp_count("text", F.lit(WORDED)).cast("long")
     return both.select(
         "row",
         F.when(F.col("gone").isNull(), F.col("text")).otherwise(rebuilt).alias("text"),
