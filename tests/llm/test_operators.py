@@ -229,7 +229,7 @@ def test_line_dedup_equals_brute_force(spark):
     import random
 
     rng = random.Random(9)
-    pool = [" ".join(x) for x in near_lines(8, [f"w{k}" for k in range(30)], 3)] + ["", " ", "short line", "short\tline"]
+    pool = [" ".join(x) for x in near_lines(8, [f"w{k}" for k in range(30)], 3)] + ["", " ", "\r\x0b", "\x0cshort\rline", "short line", "short\tline"]
     rows = [(k, "\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 7)))) for k in range(60)] + [(100, None), (101, "")]
     got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_removed"]) for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).select("row.doc_id", "text", "n_lines", "n_removed").collect()}
     assert got == brute_line_dedup(rows)
