@@ -14,7 +14,8 @@ few runs of its words that can match a segment of each admissible length.
 Nobody pairs the lines of a key with each other at once.  First all are compared
 with the most frequent line that has the segment as its own, by a banded
 bit-parallel edit distance: the states of the (2 * MOST + 1)-wide band are bits,
-one mask for each number of edits.  Links become classes.  A key whose lines now belong to
+one mask for each number of edits.  Links become classes by ``components.connected``,
+so that what one class holds is never compared again.  A key whose lines now belong to
 one class is done.  Of the others, those in which lines of different classes
 make at most ``PAIRS`` pairs a line compare just these pairs.  The rest (a
 phrase that very many lines share) are cut further: the words beside the matched
@@ -243,15 +244,6 @@ def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(both.filter(within_edits(a, b, tolerance(F.least(F.size(a), F.size(b))))).select("a", "b"), "line-links")
 
 
-def _labels(found: DataFrame) -> DataFrame:
-    """id and root of linked lines.  Lines of one root are connected; not all that
-    are connected have one root, which costs pairs, but no links."""
-    both = found.unionByName(found.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("root"))
-    further = near.select(F.col("id").alias("root"), F.col("root").alias("_r"))
-    return written(near.join(further, "root", "left").select("id", F.coalesce("_r", "root").alias("root")), "line-labels")
-
-
 def links(df: DataFrame, entries: DataFrame | None = None, places: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pairs a, b of ids of near-duplicate lines, enough to connect all that are.
     entries and places: those of df, where they are written already."""
@@ -267,7 +259,7 @@ def links(df: DataFrame, entries: DataFrame | None = None, places: DataFrame | N
         others = marked.filter("id != first").select("key", *[F.col(c).alias(f"{c}_b") for c in MARKS], F.col("id").alias("b"))
         new = _near(others.join(hubs, "key").filter(_may_be_near("_a", "_b")).select("a", "b").distinct(), texts)
         found = new if found is None else found.unionByName(new)
-        classed = written(marked.join(_labels(found), "id", "left").select("key", "id", *MARKS, F.coalesce("root", "id").alias("root")), "line-classes")
+        classed = written(marked.join(connected(found).withColumnRenamed("node", "id"), "id", "left").select("key", "id", *MARKS, F.coalesce("root", "id").alias("root")), "line-classes")
         sizes = classed.groupBy("key", "root").agg(F.count("*").cast("double").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("classes"))
         mixed = written(sizes.filter("classes > 1").select("key", ((F.col("n") * F.col("n") - F.col("same")) / 2 > F.col("n") * (PAIRS if cuts < CUTS else float("inf"))).alias("large")), "mixed-keys")
         small = classed.join(_small(mixed.filter("not large").select("key")), "key", "left_semi")
