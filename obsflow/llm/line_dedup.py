@@ -44,8 +44,9 @@ from .components import connected
 #: Lines under LEAST words match equal lines only; STEP words allow one more edit.
 LEAST, STEP, MOST = 8, 48, 2
 #: Pairs of lines of different classes that a key may have for each of its lines
-#: before it is cut further, and cuts at most.
-PAIRS, CUTS = 16, 4
+#: before it is cut further, and cuts at most.  A pair costs two counts of bits,
+#: a cut some four entries of hashed words a line, written and grouped.
+PAIRS, CUTS = 256, 4
 #: Keys or line ids up to this number are broadcast (16 bytes each), more are shuffled.
 BROADCAST_IDS = 500_000
 #: Removed lines, and eight for each of their documents, up to this number are
