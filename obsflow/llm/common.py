@@ -50,8 +50,9 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, dictionary: bool = True) -> DataFrame:
     """``df`` written once as Parquet in the shared folder, and read again.
+    dictionary: False for columns of hashes, which no dictionary makes smaller.
 
     This cuts the lineage: what is read later doesn't hang on shuffle files of
     executors that may be lost.
@@ -62,7 +63,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("parquet.enable.dictionary", dictionary).parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)

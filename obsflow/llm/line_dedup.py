@@ -248,7 +248,7 @@ def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def links(df: DataFrame, entries: DataFrame | None = None, places: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pairs a, b of ids of near-duplicate lines, enough to connect all that are.
     entries and places: those of df, where they are written already."""
-    entries = written(entries_of(df, id_col, text_col), "line-entries") if entries is None else entries
+    entries = written(entries_of(df, id_col, text_col), "line-entries", dictionary=False) if entries is None else entries
     places = places_of(entries) if places is None else places
     met = _met(keys_of(entries))
     texts = _texts(df, met, places, id_col, text_col)
@@ -280,8 +280,8 @@ def links(df: DataFrame, entries: DataFrame | None = None, places: DataFrame | N
 
 def removals(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, copy and gone, the places of its lines that an earlier line stands for."""
-    entries = written(entries_of(df, id_col, text_col), "line-entries")
-    places = written(places_of(entries), "line-places")
+    entries = written(entries_of(df, id_col, text_col), "line-entries", dictionary=False)
+    places = written(places_of(entries), "line-places", dictionary=False)
     roots = written(connected(links(df, entries, places, id_col, text_col)).withColumnRenamed("node", "id"), "line-roots")
     # Only lines that occur twice or are linked can go.
     twice = places.groupBy("id", "more").agg(F.count("*").alias("n")).filter("n > 1").select("id")
