@@ -57,6 +57,11 @@ def upsert_checkpoints(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     return winners(both, ["station_id"], [F.desc("watermark"), F.asc("_new")]).drop("_new")
 
 
+def ordered_checkpoints(checkpoints: DataFrame) -> DataFrame:
+    """station_id and watermark of every checkpoint, by station: Spark sorts by ranges."""
+    return checkpoints.select("station_id", "watermark").orderBy("station_id")
+
+
 def checkpoints_of(windows: DataFrame, batch_id: Column, updated_at: Column) -> DataFrame:
     """A checkpoint a station: the end of its latest window."""
     ends = windows.groupBy("station_id").agg(F.max("end").alias("watermark"))

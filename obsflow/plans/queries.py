@@ -190,6 +190,11 @@ def checkpoint_upsert(spark, sf_dir):
     return merge.upsert_checkpoints(M.checkpoints(spark, sf_dir), merge.checkpoints_of(w, F.lit("next"), M.now()))
 
 
+@query(f"WITH {M.CHECKPOINTS} SELECT station_id, watermark FROM ckpt ORDER BY station_id")
+def ordered_checkpoints(spark, sf_dir):
+    return merge.ordered_checkpoints(M.checkpoints(spark, sf_dir))
+
+
 @query("SELECT 'b' || o_orderkey AS batch_id, CASE WHEN o_orderkey % 3 = 0 THEN 'new' WHEN o_orderkey % 3 = 1 THEN 'already_loaded' ELSE 'collision' END AS status FROM orders")
 def batch_status(spark, sf_dir):
     o = M.table(spark, sf_dir, "orders")
