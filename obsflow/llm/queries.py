@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, covertree, langid, licenses, line_dedup, lm, packing, quality, simhash, warc
+from . import bpe, covertree, langid, licenses, line_dedup, lm, packing, quality, simhash, suffix_dedup, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_embedding_near_dedup": covertree.op8_embedding_near_dedup,
     "op9_lm_scoring": lm.op9_lm_scoring,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
+    "op11_suffix_array_dedup": suffix_dedup.op11_suffix_array_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -22,4 +23,5 @@ ORACLE: dict[str, str] = {
     "op4_warc_revisits": warc.ORACLE,
     "op7_license_scan": licenses.oracle(),
     "op8_embedding_near_dedup": covertree.ORACLE,
+    "op11_suffix_array_dedup": suffix_dedup.ORACLE,
 }
