@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, covertree, langid, licenses, line_dedup, lm, packing, quality, simhash, suffix_dedup, warc
+from . import bpe, covertree, langid, licenses, line_dedup, lm, packing, quality, repair, setm, simhash, suffix_dedup, warc
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_lm_scoring": lm.op9_lm_scoring,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
     "op11_suffix_array_dedup": suffix_dedup.op11_suffix_array_dedup,
+    "op12_phrase_mining": setm.op12_phrase_mining,
+    "op13_conversation_repair": repair.op13_conversation_repair,
 }
 
 ORACLE: dict[str, str] = {
@@ -24,4 +26,6 @@ ORACLE: dict[str, str] = {
     "op7_license_scan": licenses.oracle(),
     "op8_embedding_near_dedup": covertree.ORACLE,
     "op11_suffix_array_dedup": suffix_dedup.ORACLE,
+    "op12_phrase_mining": setm.oracle(),
+    "op13_conversation_repair": repair.oracle(),
 }
