@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.digests import table_digest
 from ..functions.spec import KEYS
 from ..functions.values import blank, missing_count
 
@@ -13,11 +14,7 @@ COUNTS = ("input_count", "accepted_count", "rejected_count", "duplicate_count",
 
 def fingerprint(df: DataFrame, *by: str) -> DataFrame:
     """n_rows and an order-free digest of all columns, in one distributed pass."""
-    columns = [c for c in df.columns if c not in by]
-    h = F.xxhash64(*columns)
-    sums = df.groupBy(*by).agg(F.count("*").alias("n_rows"), F.sum(h.cast("decimal(38,0)")).alias("_s"), F.bit_xor(h).alias("_x"))
-    text = F.concat_ws("|", F.col("n_rows").cast("string"), F.coalesce(F.col("_s").cast("string"), F.lit("")), F.coalesce(F.col("_x").cast("string"), F.lit("")))
-    return sums.select(*by, "n_rows", F.sha2(text, 256).alias("digest"))
+    return table_digest(df, *by)
 
 
 def table_set_fingerprint(tables: dict[str, DataFrame]) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.spec import FEED, Feed
-from ..sources.tables import Warehouse
+from ..sources.tables import Warehouse, days_of
 from . import contract, coverage, dedup, marts, merge, validate
 
 
@@ -57,13 +57,16 @@ def load(warehouse: Warehouse, batch: Batch, loaded_at: Column | None = None, be
     """Loads a batch once: status, and inserted, updated and unchanged counts.
 
     A batch id that is there with the same fingerprint changes nothing; with
-    another one it is an error, and so is a batch that breaks its contract.
+    another one it is an error, and so is a batch that breaks its contract.  Of
+    facts and versions the days of the batch alone are read and rewritten.  A load
+    that was published since this one began makes it fail, not lose its changes.
     """
     if not batch.batch_id.strip() or "/" in batch.batch_id or batch.batch_id in (".", ".."):
         raise ValueError("a batch id must be a plain path component")
     spark = warehouse.spark
     now = F.lit(dt.datetime.now(dt.UTC).replace(tzinfo=None)).cast("timestamp_ntz") if loaded_at is None else loaded_at
-    old = warehouse.snapshot()
+    state, days = warehouse.state(), days_of(batch.curated)
+    old = warehouse.snapshot(state, days)
     digest = batch.fingerprint()
     mine = spark.createDataFrame([(batch.batch_id, digest)], "batch_id string, input_fingerprint string")
     status = contract.batch_status(mine, old["etl_runs"]).first()["status"]
@@ -91,5 +94,5 @@ def load(warehouse: Warehouse, batch: Batch, loaded_at: Column | None = None, be
         fresh = merge.checkpoints_of(batch.windows, F.lit(batch.batch_id), now)
         tables["source_checkpoints"] = merge.upsert_checkpoints(old["source_checkpoints"], fresh)
     n = counts.first()
-    warehouse.commit(tables, before_publish)
+    warehouse.commit(tables, before_publish, state, days)
     return {"status": "loaded", **n.asDict()}

@@ -1,19 +1,28 @@
-"""Six tables committed together by one small pointer file.
-
-Every changed table is written to a new version folder; then a pointer naming
-the versions of all tables is written beside the older ones, under the next
-number.  The highest number counts, and no pointer is ever deleted or changed:
-at any moment readers see either the old versions or the new ones, and a failed
-load changes nothing.  A number is claimed first, so that of two loads that
-began at one state the second fails instead of undoing the first.
+"""Six tables published together by one small pointer file.
+
+A load writes what it changes to new folders; then one pointer that names the
+folders of all tables is put beside the older ones, under the next number.  The
+highest number counts, and no pointer is ever deleted or changed: readers see
+either the old folders or the new ones, and a failed load changes nothing.
+
+Facts and their versions are kept a day at a time: a pointer names a folder for
+each day, so a load reads and rewrites the days of its batch alone.
+
+A pointer is written under another name first and moved to its number by a rename
+that never replaces a file.  So of two loads that began at one state the second
+fails, and what a stopped load left behind is in nobody's way.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import json
 import uuid
+from collections.abc import Iterable
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.spec import CURATED_SCHEMA
 
@@ -27,7 +36,23 @@ SCHEMAS = {
         raw_path string""",
     "source_checkpoints": "station_id string, watermark timestamp_ntz, batch_id string, updated_at timestamp_ntz",
 }
-PARTITIONED = {"fact_observation": ["observation_date"]}
+#: Tables kept by the day of ``observed_at``.
+DAILY = ("fact_observation", "observation_versions")
+DAY = "observation_date"
+
+
+def days_of(rows: DataFrame) -> list[dt.date]:
+    """The days of a batch's rows; a driver-side list as long as the batch has days."""
+    return sorted(r["day"] for r in rows.select(F.to_date("observed_at").alias("day")).filter("day is not null").distinct().collect())
+
+
+@dataclass(frozen=True)
+class State:
+    """What one pointer names: a folder a table, or a folder a day."""
+
+    number: int = 0
+    whole: dict[str, str] = field(default_factory=dict)
+    daily: dict[str, dict[str, str]] = field(default_factory=dict)
 
 
 class Warehouse:
@@ -35,59 +60,80 @@ class Warehouse:
         self.spark, self.root = spark, root.rstrip("/")
         jvm = spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        conf = spark._jsc.hadoopConfiguration()
+        self._fs = self._path(self.root).getFileSystem(conf)
+        self._files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path(self.root).toUri(), conf)
+        self._keep = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)  # replaces nothing
 
-    def _last(self) -> int:
-        """The highest pointer's number; 0 before the first commit."""
+    def state(self) -> State:
+        """The state that counts now; an empty one before the first commit."""
         found = self._fs.globStatus(self._path(f"{self.root}/pointer-*.json")) or []
-        return max((int(f.getPath().getName()[len("pointer-") : -len(".json")]) for f in found), default=0)
-
-    def versions(self, number: int | None = None) -> dict[str, str]:
-        """The committed version of each table; empty before the first commit."""
-        number = self._last() if number is None else number
+        number = max((int(f.getPath().getName()[len("pointer-") : -len(".json")]) for f in found), default=0)
         if not number:
-            return {}
-        return json.loads("".join(r["value"] for r in self.spark.read.text(f"{self.root}/pointer-{number}.json").collect()))
-
-    def read(self, name: str, versions: dict[str, str] | None = None) -> DataFrame:
-        """A table at the committed version, or at one pinned before."""
-        version = (self.versions() if versions is None else versions).get(name)
-        if version is None:
-            return self.spark.createDataFrame([], SCHEMAS[name])
-        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.root}/{name}/{version}")
-
-    def snapshot(self) -> dict[str, DataFrame]:
-        """All six tables at one version."""
-        v = self.versions()
-        return {name: self.read(name, v) for name in SCHEMAS}
-
-    def commit(self, tables: dict[str, DataFrame], before_publish=None) -> dict[str, str]:
+            return State()
+        named = json.loads("".join(r["value"] for r in self.spark.read.text(f"{self.root}/pointer-{number}.json").collect()))
+        return State(number, named["whole"], named["daily"])
+
+    def versions(self) -> dict:
+        """Each table's folder, or its folders by day."""
+        s = self.state()
+        return s.whole | s.daily
+
+    def read(self, name: str, state: State | None = None, days: Iterable[dt.date] | None = None) -> DataFrame:
+        """A table at the state that counts now, or at one taken before; of tables
+        kept by day only ``days``, if given."""
+        state = self.state() if state is None else state
+        schema = SCHEMAS[name]
+        if name not in DAILY:
+            path = state.whole.get(name)
+            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}/{path}") if path else self.spark.createDataFrame([], schema)
+        folders = state.daily.get(name, {})
+        wanted = folders if days is None else [d for d in map(str, days) if d in folders]
+        if not wanted:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.root}/{name}/{folders[d]}/{DAY}={d}" for d in wanted]
+        columns = [f.name for f in self.spark.createDataFrame([], schema).schema]
+        stored = schema if DAY in columns else f"{schema}, {DAY} date"
+        return self.spark.read.schema(stored).option("basePath", f"{self.root}/{name}").parquet(*paths).select(*columns)
+
+    def snapshot(self, state: State | None = None, days: Iterable[dt.date] | None = None) -> dict[str, DataFrame]:
+        """All six tables at one state."""
+        state = self.state() if state is None else state
+        return {name: self.read(name, state, days) for name in SCHEMAS}
+
+    def commit(self, tables: dict[str, DataFrame], before_publish=None, since: State | None = None, days: Iterable[dt.date] | None = None) -> State:
         """Writes the tables, then publishes all of them at once.
 
+        since: the state that the tables were made from; it must still count.
+        days: the days that the tables kept by day hold; all others stay as they
+        are.  None: the tables are whole, and no other day stays.
         before_publish: called in between (tests inject failures there).
         """
-        began = self._last()
-        versions = dict(self.versions(began))
+        since = self.state() if since is None else since
+        whole, daily = dict(since.whole), {n: dict(d) for n, d in since.daily.items()}
         for name, df in tables.items():
-            version = uuid.uuid4().hex
-            df.select(*[f.name for f in self.read(name, {}).schema]).write.partitionBy(*PARTITIONED.get(name, [])).parquet(f"{self.root}/{name}/{version}")
-            versions[name] = version
+            version = f"v={uuid.uuid4().hex}"
+            path = f"{self.root}/{name}/{version}"
+            if name not in DAILY:
+                df.select(*[f.name for f in self.read(name, State()).schema]).write.parquet(path)
+                whole[name] = version
+                continue
+            rows = df.withColumn(DAY, F.to_date("observed_at"))
+            # One task a day and as many as Spark wants for large days.
+            rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(path)
+            written = [f.getPath().getName()[len(DAY) + 1 :] for f in self._fs.globStatus(self._path(f"{path}/{DAY}=*")) or []]
+            daily[name] = (daily.get(name, {}) if days is not None else {}) | dict.fromkeys(written, version)
         if before_publish is not None:
             before_publish()
-        claim = self._path(f"{self.root}/claim-{began + 1}")
+        staged = self._path(f"{self.root}/staged-{uuid.uuid4().hex}")
+        out = self._fs.create(staged, True)
+        out.write(bytearray(json.dumps({"whole": whole, "daily": daily}).encode()))
+        out.close()
         try:
-            self._fs.create(claim, False).close()
+            self._files.rename(staged, self._path(f"{self.root}/pointer-{since.number + 1}.json"), self._keep)
         except Exception as e:
-            raise OSError("another load was published meanwhile") from e
-        try:
-            if self._last() != began:
-                raise OSError("another load was published meanwhile")
-            staged = self._path(f"{self.root}/staged-{uuid.uuid4().hex}")
-            out = self._fs.create(staged, True)
-            out.write(bytearray(json.dumps(versions).encode()))
-            out.close()
-            if not self._fs.rename(staged, self._path(f"{self.root}/pointer-{began + 1}.json")):
-                raise OSError("could not publish the new versions")
-        finally:
-            self._fs.delete(claim, False)
-        return versions
+            self._fs.delete(staged, False)
+            if "FileAlreadyExists" in str(e):
+                raise OSError("another load was published meanwhile") from e
+            raise
+        return State(since.number + 1, whole, daily)

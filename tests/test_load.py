@@ -102,11 +102,11 @@ def test_contract_failures(spark, tmp_path):
 def test_extracts_publish_together(spark, tmp_path):
     a = spark.createDataFrame([(2, None), (1, "")], "k int, s string")
     readers.publish_extracts({"one": (a, ["k"]), "none": (a.limit(0), ["k"])}, f"file://{tmp_path}/out")
-    back = readers.read_extract(spark, f"file://{tmp_path}/out/one", "k int, s string")
+    back = readers.read_extract(spark, readers.published(spark, f"file://{tmp_path}/out") + "/one", "k int, s string")
     assert [tuple(r) for r in back.collect()] == [(1, ""), (2, None)]
-    assert readers.read_extract(spark, f"file://{tmp_path}/out/none", "k int, s string").count() == 0
+    assert readers.read_extract(spark, readers.published(spark, f"file://{tmp_path}/out") + "/none", "k int, s string").count() == 0
     with pytest.raises(Exception):  # noqa: B017
-        readers.read_extract(spark, f"file://{tmp_path}/out/one", "k int, other string").collect()
+        readers.read_extract(spark, readers.published(spark, f"file://{tmp_path}/out") + "/one", "k int, other string").collect()
 
 
 def test_landing_is_write_once(spark, tmp_path):
