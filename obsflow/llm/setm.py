@@ -13,9 +13,11 @@ follows from the one before:
    persisted as the next relation.
 
 Ids number the frequent phrases of a level, so a longer phrase is a pair of 32-bit
-ids, its first and its last words; nothing is told apart by hashes.  A block asks
-for each of its groups once, so a frequent group is as many rows as there are
-blocks.
+ids, its first and its last words; nothing is told apart by hashes.  A block
+counts its own groups, so a frequent group is as many rows as there are blocks.
+The frequent groups go to every task for the semi-join if they are counted and
+found to be ``NEAR`` at most; otherwise each block's groups are joined with them,
+and the answers with the blocks.
 
 Every language is a corpus of its own; a null language is ``und``.
 
@@ -30,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,7 +42,9 @@ LEAST, LONGEST, TOP = 100, 5, 2000
 PIECE_ENDS, SPACES = b".,;:!?\n\x0b\x0c\r", b" \t"
 UNKNOWN = "und"
 #: Bytes of text of a block (one longer text is a block); bounds a worker's memory.
-BLOCK = 24 << 20
+BLOCK = 16 << 20
+#: Frequent groups up to this number, and bytes of their words, go to every task.
+NEAR, NEAR_BYTES = 1 << 21, 32 << 20
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _KIND = np.zeros(256, np.uint8)
@@ -67,7 +72,7 @@ def words_of(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     offsets = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int32)
     letters = kind_of[inside[:-1]]
     coded = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
-    piece = np.cumsum(_KIND[kind_of] == 2)[begin]
+    piece = np.cumsum(_KIND[kind_of] == 2, dtype=np.int32)[begin]
     code = coded.indices.to_numpy().astype(np.uint32) + np.uint32(1)
     return coded.dictionary, np.insert(code, np.nonzero(np.diff(piece))[0] + 1, np.uint32(0))
 
@@ -110,8 +115,37 @@ def numbered(groups: DataFrame, label: str) -> DataFrame:
     return raw.join(F.broadcast(base), "_part").withColumn("id", F.col("_base") + F.col("_nth") + 1).drop("_part", "_nth", "_base")
 
 
-def kept(relation: DataFrame, asked: DataFrame, frequent: DataFrame, on: list[str], paired: bool) -> DataFrame:
+def kept_near(relation: DataFrame, frequent: DataFrame, words: bool) -> DataFrame:
     """The relation with the positions of the frequent groups alone, as their ids.
+    frequent: lang and word, or local; and id; few enough for every task."""
+    shared = relation.sparkSession.sparkContext.broadcast(frequent.toArrow().combine_chunks())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = shared.value
+        if words:
+            by_lang = {lang: got.filter(pc.equal(got["lang"], lang)) for lang in pc.unique(got["lang"]).to_pylist()}
+        else:
+            sort = np.argsort(got["local"].to_numpy())
+            local, ids = got["local"].to_numpy()[sort], got["id"].to_numpy()[sort]
+        for b in batches:
+            for k in range(b.num_rows):
+                code = _unpack(b.column("codes")[k].as_py(), b.column("n")[k].as_py())
+                if words:
+                    own, part = b.column("words")[k].values, by_lang.get(b.column("lang")[k].as_py(), got.slice(0, 0))
+                    at = pc.fill_null(pc.index_in(own.field("word"), value_set=part["word"]), -1).to_numpy()
+                    id_of = np.append(0, np.where(at >= 0, np.append(part["id"].to_numpy(), 0)[at], 0))
+                    new = id_of[code]  # codes number the words from 1
+                else:
+                    new = _looked_up(_pairs(code), local, ids)
+                yield pa.RecordBatch.from_arrays([b.column("block").slice(k, 1), b.column("n").slice(k, 1), pa.array([_pack(new)])], names=["block", "n", "codes"])
+                pa.default_memory_pool().release_unused()
+
+    columns = ["block", "n", "codes", *(["lang", "words"] if words else [])]
+    return relation.select(*columns).mapInArrow(run, "block long, n long, codes binary")
+
+
+def kept_far(relation: DataFrame, asked: DataFrame, frequent: DataFrame, on: list[str], paired: bool) -> DataFrame:
+    """The same for any number of frequent groups.
 
     asked: block, ``on`` and ``local`` (what the block's positions hold, or a pair
     of ids) of each group of each block.
@@ -121,20 +155,24 @@ def kept(relation: DataFrame, asked: DataFrame, frequent: DataFrame, on: list[st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for k in range(b.num_rows):
-                n = b.column(1)[k].as_py()
-                code, got = _unpack(b.column(2)[k].as_py(), n), b.column(3)[k].values
+                code, got = _unpack(b.column(2)[k].as_py(), b.column(1)[k].as_py()), b.column(3)[k].values
                 local, ids = got.field("local").to_numpy(), got.field("id").to_numpy()
                 sort = np.argsort(local)
-                local, ids = local[sort], ids[sort]
-                held = _pairs(code) if paired else code.astype(np.int64)
-                at = np.minimum(np.searchsorted(local, held), len(local) - 1)
-                new = np.where((local[at] == held) & (held > 0), ids[at], 0).astype(np.uint32)
+                new = _looked_up(_pairs(code) if paired else code.astype(np.int64), local[sort], ids[sort])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(k, 1), b.column(1).slice(k, 1), pa.array([_pack(new)])], names=["block", "n", "codes"])
                 pa.default_memory_pool().release_unused()
 
     return relation.select("block", "n", "codes").join(answers, "block").mapInArrow(run, "block long, n long, codes binary")
 
 
+def _looked_up(held: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The id of each number that is a key, else 0; keys ascend."""
+    if not len(keys):
+        return np.zeros(len(held), np.uint32)
+    at = np.minimum(np.searchsorted(keys, held), len(keys) - 1)
+    return np.where((keys[at] == held) & (held > 0), ids[at], 0)
+
+
 def _pairs(code: np.ndarray) -> np.ndarray:
     """For each position its id and the next one's as one number; 0 without either."""
     both = np.zeros(len(code), np.int64)
@@ -157,7 +195,7 @@ def joined(relation: DataFrame) -> DataFrame:
     return relation.select("block", "n", "codes").mapInArrow(run, "block long, local long, n long")
 
 
-def mine(df: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, longest: int = LONGEST, block: int = BLOCK) -> tuple[list[DataFrame], DataFrame]:
+def mine(df: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, longest: int = LONGEST, block: int = BLOCK, near: int = NEAR) -> tuple[list[DataFrame], DataFrame]:
     """(levels, totals): for each length the frequent phrases, lang, id, a, words, and
     the counts of their first (``first_n``) and last words (``last_n``) by length,
     with the ids of the phrases one word shorter; and lang and n of all words."""
@@ -169,19 +207,20 @@ def mine(df: DataFrame, lang_col: str = "lang", text_col: str = "text", least: i
     frequent = numbered(counts.filter(F.col("a") >= least), "frequent-words")
     one = F.array("a")
     levels = [written(frequent.select("lang", "id", "a", F.array("word").alias("words"), one.alias("first_n"), one.alias("last_n")), "phrases")]
-    now = written(kept(relation, asked, frequent, ["lang", "word"], False), "occurrences")
+    size = frequent.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("bytes")).first()
+    few = size["n"] <= near and size["bytes"] <= NEAR_BYTES
+    now = written(kept_near(relation, frequent.select("lang", "word", "id"), True) if few else kept_far(relation, asked, frequent, ["lang", "word"], False), "occurrences")
     dropped(relation)
     for k in range(2, longest + 1):
-        asked = written(joined(now), "groups", dictionary=False)
         # Blocks have counted their own; no group has more rows than there are blocks.
-        summed = asked.repartition("local").groupBy("local").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
+        summed = joined(now).repartition("local").groupBy("local").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
         frequent = numbered(summed, "frequent-groups")
         levels.append(written(_described(frequent, levels[-1]), "phrases"))
         if k < longest:
-            after = written(kept(now, asked, frequent, ["local"], True), "occurrences")
+            few = frequent.count() <= near
+            after = written(kept_near(now, frequent.select("local", "id"), False) if few else kept_far(now, joined(now), frequent, ["local"], True), "occurrences")
             dropped(now)
             now = after
-        dropped(asked)
     dropped(now)
     return levels, totals
 
@@ -209,14 +248,14 @@ def scored(level: DataFrame, length: int, totals: DataFrame) -> DataFrame:
     return phrases.select("lang", "id", F.array_join("words", " ").alias("phrase"), "a", F.col("_cut.l").alias("l"), F.col("_cut.r").alias("r"), "n", F.col("_cut.score").alias("score"))
 
 
-def collocations(df: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, longest: int = LONGEST, top: int = TOP, block: int = BLOCK) -> DataFrame:
+def collocations(df: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = LEAST, longest: int = LONGEST, top: int = TOP, block: int = BLOCK, near: int = NEAR) -> DataFrame:
     """lang, rank, phrase, a, l, r, n and score of each language's ``top`` phrases that
     no longer frequent phrase of equal count holds.
 
     A phrase in a longer one of its count is in one a word longer of its count,
     so the next level alone is asked.
     """
-    levels, totals = mine(df, lang_col, text_col, least, longest, block)
+    levels, totals = mine(df, lang_col, text_col, least, longest, block, near)
     parts = []
     for k in range(2, longest + 1):
         part = scored(levels[k - 1], k, totals)
