@@ -6,16 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.spec import MEASURE_COLUMNS
-from ..functions.values import missing_count, percentage
-
-#: Rows of a dimension up to which it is broadcast; see ``small``.
-BROADCAST_ROWS = 200_000
-
-
-def small(dim: DataFrame, rows: int) -> DataFrame:
-    """A broadcast hint for a dimension of a known number of rows, if few."""
-    return F.broadcast(dim) if rows <= BROADCAST_ROWS else dim
-
+from ..functions.values import iso_text, missing_count, percentage
 
 def dim_date(dates: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Rows for the distinct ``observation_date`` not in the dimension yet."""
@@ -66,17 +57,23 @@ def run_quality(runs: DataFrame) -> DataFrame:
     return runs.withColumn("rejection_pct", percentage(F.col("rejected_count"), F.col("input_count")))
 
 
-def summary(fact: DataFrame, stations: DataFrame, runs: DataFrame) -> DataFrame:
-    """One row: counts of the tables, first and last observation, last load."""
+def summary(fact: DataFrame, stations: DataFrame, runs: DataFrame, checkpoints: DataFrame) -> DataFrame:
+    """One row: counts of the tables, first and last observation, last load, and the
+    checkpoints as a map from station to UTC text, an entry a station."""
     f = fact.agg(F.count("*").alias("observation_count"), F.min("observed_at").alias("earliest_observed_at"), F.max("observed_at").alias("latest_observed_at"))
     s = stations.agg(F.count("*").alias("station_count"))
     r = runs.agg(F.count("*").alias("completed_batch_count"), F.max("completed_at").alias("last_completed_at"))
+    c = checkpoints.agg(F.map_from_entries(F.collect_list(F.struct("station_id", iso_text(F.col("watermark")).alias("watermark")))).alias("checkpoints"))
     one = F.lit(1)
-    return f.withColumn("_k", one).join(s.withColumn("_k", one), "_k").join(r.withColumn("_k", one), "_k").drop("_k")
+    out = f.withColumn("_k", one)
+    for part in (s, r, c):
+        out = out.join(part.withColumn("_k", one), "_k")
+    return out.drop("_k")
 
 
-def extract_summary(obs: DataFrame) -> DataFrame:
-    """One row: rows, stations, latest observation, and a header text."""
-    one = obs.agg(F.count("*").alias("row_count"), F.countDistinct("station_id").alias("station_count"), F.max("observed_at").alias("latest_observed_at"))
+def extract_summary(obs: DataFrame, loaded: str = "loaded_at") -> DataFrame:
+    """One row: rows, stations, latest observation and load (null if there is none),
+    and a header text."""
+    one = obs.agg(F.count("*").alias("row_count"), F.countDistinct("station_id").alias("station_count"), F.max("observed_at").alias("latest_observed_at"), F.max(loaded).alias("latest_loaded_at"))
     text = F.concat(F.format_number("row_count", 0), F.lit(" observations from "), F.col("station_count"), F.lit(" stations, latest "), F.coalesce(F.date_format("latest_observed_at", "yyyy-MM-dd HH:mm"), F.lit("none")))
     return one.withColumn("header", text)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import digests
-from ..functions.spec import CURATED, FEED, MEASURE_COLUMNS, Feed
+from ..functions.spec import CURATED, CURATED_SCHEMA, FEED, MEASURE_COLUMNS, Feed
 from ..functions.values import missing_count, station_name, zoned_time
 from ..sources import readers
 from ..sources.tables import Warehouse
@@ -107,15 +107,25 @@ def checked(manifests: DataFrame) -> DataFrame:
     return manifests.withColumns(times).withColumn("issues", F.array_compact(F.array(*issues)))
 
 
+def counts_of(spark: SparkSession, attempt: Attempt) -> DataFrame:
+    """An attempt's counts as the one row that a load takes."""
+    return spark.createDataFrame([tuple(attempt.counts[c] for c in contract.COUNTS)], ", ".join(f"{c} bigint" for c in contract.COUNTS))
+
+
+def curated_of(spark: SparkSession, attempt: Attempt) -> DataFrame:
+    """An attempt's curated rows; none where nothing was accepted."""
+    if not attempt.counts["accepted_count"]:
+        return spark.createDataFrame([], CURATED_SCHEMA)
+    return readers.read_curated(spark, attempt.curated)
+
+
 def batch_of(manifest: Row, manifests: DataFrame, attempt: Attempt) -> load.Batch:
     """An attempt as what ``load.load`` takes."""
     spark = manifests.sparkSession
     own = manifests.filter(F.col("batch_id") == manifest["batch_id"])
     stations = readers.manifest_stations(own).select("station_id", station_name(F.col("name"), F.col("station_id")).alias("station_name"), "latitude", "longitude", zoned_time(F.col("ingested_at")).alias("metadata_ingested_at"))
     windows = readers.manifest_windows(own).select("station_id", zoned_time(F.col("start")).alias("start"), zoned_time(F.col("end")).alias("end"))
-    counts = spark.createDataFrame([tuple(attempt.counts[c] for c in contract.COUNTS)], ", ".join(f"{c} bigint" for c in contract.COUNTS))
-    curated = readers.read_curated(spark, attempt.curated)
-    return load.Batch(manifest["batch_id"], manifest["source"], curated, stations, windows, counts, manifest["raw_path"] or "", bool(manifest["advance_checkpoint"]))
+    return load.Batch(manifest["batch_id"], manifest["source"], curated_of(spark, attempt), stations, windows, counts_of(spark, attempt), manifest["raw_path"] or "", bool(manifest["advance_checkpoint"]))
 
 
 def process(warehouse: Warehouse, root: str, out: str, batch_id: str, loaded_at: Column | None = None, feed: Feed = FEED, before_publish=None) -> dict:

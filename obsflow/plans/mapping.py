@@ -13,6 +13,16 @@ from pyspark.sql import functions as F
 from ..functions.spec import KEYS
 from ..operators.dedup import winners
 
+#: The columns of the given tables: l long, i int, s text, d double, t time, f array of floats.
+COLUMNS = {
+    "region": "r_regionkey:i r_name:s", "nation": "n_nationkey:i n_name:s n_regionkey:i", "customer": "c_custkey:l c_name:s c_nationkey:i c_acctbal:d c_mktsegment:s",
+    "supplier": "s_suppkey:l s_name:s s_nationkey:i s_acctbal:d", "part": "p_partkey:l p_name:s p_brand:s p_type:s p_size:i p_retailprice:d",
+    "orders": "o_orderkey:l o_custkey:l o_orderstatus:s o_totalprice:d o_orderdate:t o_orderpriority:s",
+    "lineitem": "l_orderkey:l l_partkey:l l_suppkey:l l_linenumber:i l_quantity:d l_extendedprice:d l_discount:d l_tax:d l_returnflag:s l_linestatus:s l_shipdate:t",
+    "events": "event_id:l ts:t user_id:l event_type:s value:d props:s", "documents": "doc_id:l text:s lang:s source:s n_chars:l", "embeddings": "vec_id:l embedding:f label:i",
+    "pages": "page_id:l url:s html:s", "benchmark": "item_id:l text:s", "labels": "doc_id:l quality:i toxic:i", "conversations": "conv_id:l turn:l role:s text:s",
+}
+
 NOW = "2024-01-31 00:00:00"
 REFERENCE = dt.datetime(2030, 1, 1, tzinfo=dt.UTC)
 STATIONS = [f"S{k}" for k in range(10)]
@@ -121,9 +131,10 @@ REASONS = """raw AS (SELECT event_id, event_id % 20 AS k, CASE event_id % 20 WHE
   event_id % 20 = 16 AS twice, (event_id % 7 = 0)::INT AS missing FROM events)"""
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     """A raw line an event, with a defect by event_id % 20; lines of remainder 16
-    are delivered twice, and each seventh temperature is null."""
+    are delivered twice, and each seventh temperature is null.  more: columns of
+    events to carry along."""
     i = F.col("event_id")
     k = i % 20
     s = lambda x: F.lit(x).cast("string")
@@ -145,4 +156,4 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingested = F.when(k == 11, "2024-02-30T00:00:00Z").otherwise("2029-12-31T00:00:00Z")
     line = F.to_json(F.struct(F.concat(F.lit("b"), (i % 3).cast("string")).alias("batch_id"), ingested.alias("ingested_at"), told.alias("station_id"), raw.alias("raw_json")))
     line = F.when(k == 6, "not an envelope").when(k == 12, F.regexp_replace(line, '"batch_id":"b[0-9]"', '"batch_id":12')).otherwise(line)
-    return table(spark, sf_dir, "events").select(F.explode(F.array_repeat(line, F.when(k == 16, 2).otherwise(1))).alias("value"))
+    return table(spark, sf_dir, "events").select(*more, F.explode(F.array_repeat(line, F.when(k == 16, 2).otherwise(1))).alias("value"))

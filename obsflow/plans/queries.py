@@ -5,8 +5,6 @@ Averages and sums are rounded to 6 places where rows meet in no fixed order.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,20 +14,7 @@ from ..sources import readers
 from ..sources.scratch import scratch
 from ..streaming import streams
 from . import mapping as M
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
-
-    return add
-
+from .registry import ORACLE, QUERIES, query  # noqa: F401
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
@@ -224,16 +209,19 @@ def run_quality(spark, sf_dir):
     return marts.run_quality(M.runs(spark, sf_dir))
 
 
-@query(f"""WITH {M.RUNS} SELECT (SELECT count(*) FROM events) AS observation_count, (SELECT min(ts) FROM events) AS earliest_observed_at, (SELECT max(ts) FROM events) AS latest_observed_at,
-  (SELECT count(*) FROM customer) AS station_count, (SELECT count(*) FROM runs) AS completed_batch_count, (SELECT max(completed_at) FROM runs) AS last_completed_at""")
+@query(f"""WITH {M.RUNS}, {M.CHECKPOINTS} SELECT (SELECT count(*) FROM events) AS observation_count, (SELECT min(ts) FROM events) AS earliest_observed_at, (SELECT max(ts) FROM events) AS latest_observed_at,
+  (SELECT count(*) FROM customer) AS station_count, (SELECT count(*) FROM runs) AS completed_batch_count, (SELECT max(completed_at) FROM runs) AS last_completed_at,
+  (SELECT string_agg(station_id || '=' || strftime(watermark, '%Y-%m-%dT%H:%M:%S.%fZ'), ',' ORDER BY station_id) FROM ckpt) AS checkpoints""")
 def warehouse_summary(spark, sf_dir):
-    return marts.summary(M.obs(spark, sf_dir), M.stations(spark, sf_dir), M.runs(spark, sf_dir))
+    out = marts.summary(M.obs(spark, sf_dir), M.stations(spark, sf_dir), M.runs(spark, sf_dir), M.checkpoints(spark, sf_dir))
+    entries = F.transform(F.array_sort(F.map_entries("checkpoints")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return out.withColumn("checkpoints", F.array_join(entries, ","))
 
 
-@query(f"""WITH {M.OBS} SELECT count(*) AS row_count, count(DISTINCT station_id) AS station_count, max(observed_at) AS latest_observed_at,
+@query(f"""WITH {M.OBS} SELECT count(*) AS row_count, count(DISTINCT station_id) AS station_count, max(observed_at) AS latest_observed_at, max(source_ingested_at) AS latest_loaded_at,
   format('{{:,}}', count(*)) || ' observations from ' || count(DISTINCT station_id) || ' stations, latest ' || strftime(max(observed_at), '%Y-%m-%d %H:%M') AS header FROM obs""")
 def extract_summary(spark, sf_dir):
-    return marts.extract_summary(M.obs(spark, sf_dir))
+    return marts.extract_summary(M.obs(spark, sf_dir), "source_ingested_at")
 
 
 PROFILE = """SELECT 'row_count' AS metric, count(*)::DOUBLE AS value FROM {t} UNION ALL SELECT 'distinct_keys', count(DISTINCT o_orderkey)::DOUBLE FROM {t} UNION ALL SELECT 'null_keys', count(*) FILTER (o_orderkey IS NULL)::DOUBLE FROM {t}
@@ -273,11 +261,6 @@ def reconcile_evidence(spark, sf_dir):
     return reconcile.overall(reconcile.reconcile(o, _changed(o), ["o_orderkey"]))
 
 
-@query()
-def table_fingerprints(spark, sf_dir):
-    return contract.table_set_fingerprint({t: M.table(spark, sf_dir, t) for t in ("events", "orders", "lineitem", "customer")})
-
-
 def _keys(spark, sf_dir, batch):
     return M.obs(spark, sf_dir).filter(F.col("batch") == batch).select("station_id", F.to_date("observed_at").alias("day"))
 
@@ -338,11 +321,11 @@ def quality_health(spark, sf_dir):
     return health.quality_health(M.runs(spark, sf_dir), M.checkpoints(spark, sf_dir), M.stations(spark, sf_dir))
 
 
-FAILURE = f"""{M.EVENT}, tail AS (SELECT * FROM ev ORDER BY line_no DESC LIMIT 2000), valid AS (SELECT * FROM tail WHERE "at" <= {TIMES} + INTERVAL 5 MINUTE),
+FAILURE = f"""{M.EVENT}, tail AS (SELECT * FROM ev ORDER BY line_no DESC LIMIT 2000), valid AS (SELECT * FROM ev WHERE "at" <= {TIMES} + INTERVAL 5 MINUTE AND "at" >= {TIMES} - INTERVAL 24 HOUR),
 won AS (SELECT batch_id, max("at") AS s FROM valid WHERE status = 'succeeded' GROUP BY 1), live AS (SELECT max(updated_at) AS l FROM ckpt WHERE station_id IN (SELECT station_id FROM station) AND updated_at <= {TIMES} + INTERVAL 5 MINUTE),
 open_failures AS (SELECT f.* FROM valid f LEFT JOIN won USING (batch_id), live WHERE status IN ('failed', 'ingestion_failed') AND "at" >= {TIMES} - INTERVAL 24 HOUR AND NOT (coalesce(l > "at", false) OR (status = 'failed' AND coalesce(s > "at", false)))),
 failure_check AS (SELECT 'recent_failures' AS check_name, CASE WHEN count(*) > 0 THEN 'critical' ELSE 'healthy' END AS status, count(*) AS unresolved, max("at") AS latest_at, arg_max(status, "at") AS latest_status, arg_max(batch_id, "at") AS latest_batch_id, arg_max(error, "at") AS latest_error FROM open_failures),
-log_check AS (SELECT 'event_log' AS check_name, CASE WHEN count(*) FILTER ("at" IS NULL) + count(*) FILTER ("at" > {TIMES} + INTERVAL 5 MINUTE) > 0 THEN 'warning' ELSE 'healthy' END AS status, count(*) AS n_events, count(*) FILTER ("at" IS NULL) AS invalid_events, count(*) FILTER ("at" > {TIMES} + INTERVAL 5 MINUTE) AS future_events FROM tail)"""
+log_check AS (SELECT 'event_log' AS check_name, CASE WHEN count(*) FILTER ("at" IS NULL) + count(*) FILTER ("at" > {TIMES} + INTERVAL 5 MINUTE) > 0 THEN 'warning' ELSE 'healthy' END AS status, count(*) AS n_events, count(*) FILTER ("at" IS NULL) AS invalid_events, count(*) FILTER ("at" > {TIMES} + INTERVAL 5 MINUTE) AS future_events, (SELECT count(*) FROM ev) AS n_lines, (SELECT count(*) FROM ev) > count(*) AS truncated FROM tail)"""
 
 
 def _old_checkpoints(spark, sf_dir):
@@ -359,7 +342,7 @@ def failure_health(spark, sf_dir):
 
 @query(f"WITH {M.STATION}, {OLD}, {FAILURE} SELECT * FROM log_check")
 def event_log_integrity(spark, sf_dir):
-    return health.log_health(M.event_lines(spark, sf_dir), M.now()).drop("n_lines", "truncated")  # not in its SQL
+    return health.log_health(M.event_lines(spark, sf_dir), M.now())
 
 
 @query(f"""WITH {HEALTH}, {QUALITY}, {FAILURE}, everything AS (SELECT check_name, status FROM station_checks UNION ALL SELECT check_name, status FROM quality_check UNION ALL SELECT check_name, status FROM failure_check
@@ -493,7 +476,7 @@ def station_metadata(spark, sf_dir):
 
 @query()
 def file_inventory(spark, sf_dir):
-    return inventory.inventory(spark, f"{sf_dir}/orders.parquet", exclude=r"\.crc$")
+    return inventory.inventory(spark, sf_dir, exclude=r"\.crc$")
 
 
 @query("""SELECT c_custkey::VARCHAR AS path, CASE c_custkey % 5 WHEN 0 THEN 'missing' WHEN 1 THEN 'extra' WHEN 2 THEN 'size_mismatch' WHEN 3 THEN 'checksum_mismatch' ELSE 'ok' END AS status FROM customer""")
