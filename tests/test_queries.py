@@ -2,7 +2,7 @@ import pytest
 from compare import both
 from conftest import SMALL
 
-from obsflow.plans import landed, queries  # noqa: F401
+from obsflow.plans import defects, landed, queries  # noqa: F401
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
