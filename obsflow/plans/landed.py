@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import digests, values
-from ..operators import contract, health, incremental, marts, process, validate
+from ..operators import contract, health, incremental, inventory, marts, process, validate
 from ..sources import readers
 from ..sources.scratch import scratch
 from ..sources.tables import Warehouse
@@ -212,3 +212,20 @@ def window_filter(spark, sf_dir):
     day = lambda d: F.lit(f"{d} 00:00:00").cast("timestamp_ntz")
     kept = incremental.in_window(e, day(FROM), day(TO))
     return kept.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n_rows"))
+
+
+@query("""WITH f AS (SELECT event_id % 8 AS k, count(*) AS n FROM events GROUP BY 1)
+SELECT 'b' || k AS batch_id, 'day=' || (k % 4) || '/lines-' || (k // 4) || '.txt' AS raw_path, CASE WHEN k % 8 = 3 THEN 'missing' WHEN k % 8 = 5 THEN 'digest_mismatch' WHEN k % 8 = 6 THEN 'count_mismatch' ELSE 'ok' END AS status FROM f""")
+def landed_files(spark, sf_dir):
+    """Landed files, of one name in several folders, against their manifests."""
+    root = scratch(spark, "files")
+    e = M.table(spark, sf_dir, "events").select((F.col("event_id") % 8).alias("k"), F.to_json(F.struct("event_id", "props")).alias("value"))
+    place = lambda k: f"day={k % 4}/lines-{k // 4}.txt"
+    for k in range(8):
+        if k != 3:
+            readers.write_file(e.filter(F.col("k") == k).select("value"), f"{root}/{place(k)}")
+    name = F.concat(F.lit("day="), F.col("k") % 4, F.lit("/lines-"), F.floor(F.col("k") / 4), F.lit(".txt"))
+    counts = e.groupBy("k").agg(F.count("*").alias("n")).select(F.concat(F.lit("b"), F.col("k")).alias("batch_id"), name.alias("raw_path"), "k", (F.col("n") + (F.col("k") == 6).cast("long")).alias("record_count"))
+    found = inventory.inventory(spark, root).select(F.col("path").alias("raw_path"), "sha256")
+    manifests = counts.join(found, "raw_path", "left").select("batch_id", "raw_path", "record_count", F.when(F.col("k") == 5, "0").otherwise(F.col("sha256")).alias("raw_sha256"))
+    return inventory.verify_raw(spark, manifests, root)

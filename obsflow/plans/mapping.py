@@ -39,7 +39,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 OBS = """raw_obs AS (SELECT cast(user_id AS VARCHAR) AS station_id, ts AS observed_at,
   CASE WHEN event_id % 7 <> 0 THEN value END AS temperature_c, CASE WHEN event_id % 11 <> 0 THEN value / 3 END AS humidity_pct,
   CASE WHEN event_id % 13 <> 0 THEN value / 2 END AS wind_kph, sha256(concat(cast(event_id AS VARCHAR), '|', props)) AS payload_hash,
-  date_trunc('day', ts) + INTERVAL 1 DAY AS source_ingested_at, event_id % 3 AS batch, event_id FROM events),
+  date_trunc('day', ts) + INTERVAL 1 DAY AS source_ingested_at, event_id % 2 AS batch, event_id FROM events),
 obs AS (SELECT *, (temperature_c IS NULL)::INT + (humidity_pct IS NULL)::INT + (wind_kph IS NULL)::INT AS missing FROM raw_obs)"""
 
 
@@ -50,7 +50,7 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").cast("string").alias("station_id"), F.col("ts").cast("timestamp_ntz").alias("observed_at"),
         F.when(i % 7 != 0, v).alias("temperature_c"), F.when(i % 11 != 0, v / 3).alias("humidity_pct"), F.when(i % 13 != 0, v / 2).alias("wind_kph"),
         F.sha2(F.concat(i.cast("string"), F.lit("|"), F.col("props")), 256).alias("payload_hash"),
-        (F.date_trunc("day", "ts").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")).alias("source_ingested_at"), (i % 3).alias("batch"), i.alias("event_id"),
+        (F.date_trunc("day", "ts").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")).alias("source_ingested_at"), (i % 2).alias("batch"), i.alias("event_id"),
     )
 
 
@@ -98,13 +98,14 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-CHECKPOINTS = """ckpt AS (SELECT cast(user_id AS VARCHAR) AS station_id, max(ts) AS watermark, 'b' || cast(max(event_id) AS VARCHAR) AS batch_id,
-  max(ts) + INTERVAL 1 HOUR AS updated_at FROM events WHERE event_type = 'view' GROUP BY user_id)"""
+_CKPT = """ckpt AS (SELECT cast(user_id AS VARCHAR) AS station_id, max(ts) AS watermark, 'b' || cast(max(event_id) AS VARCHAR) AS batch_id,
+  max(ts) + INTERVAL 1 HOUR AS updated_at FROM events WHERE {where} GROUP BY user_id)"""
+CHECKPOINTS, EARLIER = _CKPT.format(where="true"), _CKPT.format(where="event_type <> 'click'")
 
 
-def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A checkpoint a user, at the last event of one type."""
-    e = table(spark, sf_dir, "events").filter("event_type = 'view'").groupBy("user_id").agg(F.max("ts").cast("timestamp_ntz").alias("watermark"), F.max("event_id").alias("k"))
+def checkpoints(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    """A checkpoint a user, at the last event."""
+    e = table(spark, sf_dir, "events").filter(where).groupBy("user_id").agg(F.max("ts").cast("timestamp_ntz").alias("watermark"), F.max("event_id").alias("k"))
     return e.select(F.col("user_id").cast("string").alias("station_id"), "watermark", F.concat(F.lit("b"), F.col("k").cast("string")).alias("batch_id"), (F.col("watermark") + F.expr("INTERVAL 1 HOUR")).alias("updated_at"))
 
 

@@ -89,6 +89,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def write_file(lines: DataFrame, path: str) -> None:
+    """Lines as one file of this very name; one task writes it."""
+    spark, folder = lines.sparkSession, f"{path}.part-{uuid.uuid4().hex}"
+    lines.coalesce(1).write.text(folder)
+    part, fs = _hadoop(spark, f"{folder}/part-*")
+    target, _ = _hadoop(spark, path)
+    fs.mkdirs(target.getParent())
+    moved = fs.rename(fs.globStatus(part)[0].getPath(), target)
+    fs.delete(part.getParent(), True)
+    if not moved:
+        raise OSError(f"could not write {path}")
+
+
 def write_once(spark: SparkSession, path: str, text: str) -> None:
     """A small file that appears whole or not at all, and is never replaced."""
     target, fs = _hadoop(spark, path)
