@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.values import ISO, age_minutes, bounded, percentage
+from ..functions.values import age_minutes, bounded, percentage, zoned_time
 
 SEVERITY = ("healthy", "warning", "critical")
 
@@ -66,20 +66,31 @@ NEWEST = 2000
 
 def parse_events(lines: DataFrame, newest: int | None = NEWEST) -> DataFrame:
     """The ``newest`` lines (None: all) of an event log (columns line_no, value)
-    with at (null: no object, or no zoned time), status, batch_id and error."""
+    with at (null: no object, or no zoned time), status, batch_id and error.
+
+    A line is parsed once; what isn't an object gives nulls, and no JSON value but
+    a text reads like a time with a zone.
+    """
     tail = lines if newest is None else lines.orderBy(F.desc("line_no")).limit(newest)
-    v = F.try_parse_json("value")
-    get = lambda p: F.try_variant_get(F.col("_v"), p, "string")
-    is_text = F.schema_of_variant(F.try_variant_get(F.col("_v"), "$.at", "variant")) == "STRING"
-    rows = tail.withColumn("_v", v)
-    stamp = F.when(F.schema_of_variant("_v").startswith("OBJECT<") & is_text & get("$.at").rlike(ISO), F.try_to_timestamp(get("$.at"))).cast("timestamp_ntz")
-    return rows.select("line_no", stamp.alias("at"), get("$.status").alias("status"), get("$.batch_id").alias("batch_id"), get("$.error").alias("error"))
+    rows = tail.select("line_no", F.from_json("value", "at string, status string, batch_id string, error string").alias("_e"))
+    return rows.select("line_no", zoned_time(F.col("_e.at")).alias("at"), "_e.status", "_e.batch_id", "_e.error")
+
+
+def recent_lines(lines: DataFrame, now: Column, t: Thresholds = Thresholds()) -> DataFrame:
+    """The lines in which a date of the last ``failure_hours`` stands, as far as the
+    widest offsets of zones reach; a test of text that comes before the parse."""
+    back = -(-(t.failure_hours + 18) // 24)
+    dates = [F.date_format(now + F.expr(f"INTERVAL {d} DAYS"), "yyyy-MM-dd") for d in range(-back, 2)]
+    here = F.lit(False)
+    for d in dates:
+        here = here | F.col("value").contains(d)
+    return lines.filter(here)
 
 
 def failure_health(events: DataFrame, checkpoints: DataFrame, stations: DataFrame, now: Column, t: Thresholds = Thresholds()) -> DataFrame:
     """One row: failures of the last day that neither a later success of the
     batch nor later live progress resolves, and the latest of them.  events: of
-    all lines, since a tail may be shorter than the day."""
+    all lines or ``recent_lines``, since a tail may be shorter than the day."""
     limit = _skewed(now, t)
     # What resolves a failure of the last day lies in the last day too.
     valid = events.filter((F.col("at") <= limit) & (F.col("at") >= now - F.expr(f"INTERVAL {t.failure_hours} HOURS")))

@@ -343,7 +343,7 @@ OLD = M.CHECKPOINTS.replace("INTERVAL 1 HOUR AS updated_at", "INTERVAL 1 HOUR -
 
 @query(f"WITH {M.STATION}, {OLD}, {FAILURE} SELECT * FROM failure_check")
 def failure_health(spark, sf_dir):
-    return health.failure_health(health.parse_events(M.event_lines(spark, sf_dir), None), _old_checkpoints(spark, sf_dir), M.stations(spark, sf_dir), M.now())
+    return health.failure_health(health.parse_events(health.recent_lines(M.event_lines(spark, sf_dir), M.now()), None), _old_checkpoints(spark, sf_dir), M.stations(spark, sf_dir), M.now())
 
 
 @query(f"WITH {M.STATION}, {OLD}, {FAILURE} SELECT * FROM log_check")
@@ -357,7 +357,7 @@ def event_log_integrity(spark, sf_dir):
 def health_overall(spark, sf_dir):
     c, s, e = M.checkpoints(spark, sf_dir), M.stations(spark, sf_dir), M.event_lines(spark, sf_dir)
     fact = M.obs(spark, sf_dir)
-    return health.overall(health.station_health(fact, c, s, M.now()), health.quality_health(M.runs(spark, sf_dir), c, s), health.failure_health(health.parse_events(e, None), c, s, M.now()), health.log_health(e, M.now()), health.records_health(fact))
+    return health.overall(health.station_health(fact, c, s, M.now()), health.quality_health(M.runs(spark, sf_dir), c, s), health.failure_health(health.parse_events(health.recent_lines(e, M.now()), None), c, s, M.now()), health.log_health(e, M.now()), health.records_health(fact))
 
 
 PLAN = f"""{M.STATION}, {M.CHECKPOINTS}, planned AS (SELECT station_id, coalesce(watermark - INTERVAL 2 HOUR, {TIMES} - INTERVAL 24 HOUR) AS start, {TIMES} AS "end" FROM station LEFT JOIN ckpt USING (station_id))"""

@@ -165,3 +165,20 @@ def test_extract_is_written_in_ordered_parts(spark, tmp_path):
     assert readers.read_extract(spark, f"file://{tmp_path}/parts", "k bigint, s string").count() == 5000
     readers.write_extract(rows.limit(0), f"file://{tmp_path}/none", ["k"])
     assert [p.read_text() for p in (tmp_path / "none").glob("*.csv")] == ["k,s\n"]
+
+
+def test_odd_log_lines_are_invalid_not_lost(spark):
+    odd = ["", "[]", '[{"at": "2024-01-01T00:00:00Z"}]', "7", "null", "{", '{"at": 20240101}', '{"at": {"at": "2024-01-01T00:00:00Z"}}', '{"at": null}', '{"at": "2024-01-01T00:00:00"}', '{"status": "failed"}', '{"at": "2024-02-30T00:00:00Z"}']
+    good = ['{"at": "2024-01-01T02:00:00+02:00", "status": 5}', ' {"other": [1], "at": "2024-01-01T00:00:00.25Z"}']
+    lines = spark.createDataFrame(list(enumerate(odd + good)), "line_no long, value string")
+    got = {r["line_no"]: r for r in health.parse_events(lines, None).collect()}
+    assert [got[k]["at"] for k in range(len(odd))] == [None] * len(odd)
+    assert got[len(odd)]["at"] == T("2024-01-01 00:00") and got[len(odd)]["status"] == "5" and got[len(odd) + 1]["at"] == T("2024-01-01 00:00:00.25")
+
+
+def test_recent_lines_reach_over_zones(spark):
+    now = F.lit("2024-03-01 01:00:00").cast("timestamp_ntz")
+    near = ["2024-03-01T18:59:00+18:00", "2024-02-28T07:30:00-17:30", "2024-02-29T12:00:00Z"]
+    far = ["2024-02-27T23:00:00Z", "2024-03-03T00:00:00Z"]
+    lines = spark.createDataFrame([(k, f'{{"at": "{x}"}}') for k, x in enumerate(near + far)], "line_no long, value string")
+    assert {r["line_no"] for r in health.recent_lines(lines, now).collect()} == {0, 1, 2}
