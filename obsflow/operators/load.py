@@ -80,9 +80,9 @@ def load(warehouse: Warehouse, batch: Batch, loaded_at: Column | None = None, be
     elig = merge.eligible(batch.curated, old["observation_versions"])
     fact = merge.stamped(elig, F.lit(batch.batch_id), now)
     counts = merge.load_counts(batch.curated, elig, old["fact_observation"])
-    run = counts.withColumn("_k", F.lit(1)).join(batch.report.withColumn("_k", F.lit(1)), "_k").withColumns({
-        "batch_id": F.lit(batch.batch_id), "input_fingerprint": F.lit(digest), "source": F.lit(batch.source), "completed_at": now, "raw_path": F.lit(batch.raw_path),
-    })
+    n = counts.first()
+    stamps = {"batch_id": batch.batch_id, "input_fingerprint": digest, "source": batch.source, "raw_path": batch.raw_path, **n.asDict()}
+    run = batch.report.withColumns({c: F.lit(v) for c, v in stamps.items()} | {"completed_at": now})
     tables = {
         "fact_observation": merge.merge_fact(old["fact_observation"], fact),
         "observation_versions": merge.merge_ledger(old["observation_versions"], elig),
@@ -93,6 +93,5 @@ def load(warehouse: Warehouse, batch: Batch, loaded_at: Column | None = None, be
     if batch.advance_checkpoint:
         fresh = merge.checkpoints_of(batch.windows, F.lit(batch.batch_id), now)
         tables["source_checkpoints"] = merge.upsert_checkpoints(old["source_checkpoints"], fresh)
-    n = counts.first()
     warehouse.commit(tables, before_publish, state, days)
     return {"status": "loaded", **n.asDict()}

@@ -33,16 +33,16 @@ def _lines(spark, sf_dir) -> DataFrame:
 
 
 def _landed(spark, sf_dir, root: str) -> None:
-    """Three batches, by event_id, each with its manifest."""
+    """Two batches, by event_id, each with its manifest."""
     stations = [{"station_id": s, "name": "" if s == "S0" else f"Station {s}", "latitude": 1.0, "longitude": 2.0} for s in M.STATIONS]
     windows = [{"station_id": s, "start": f"{FROM}T02:00:00+02:00", "end": "2030-01-01T00:00:00Z"} for s in M.STATIONS]
     times = spark.createDataFrame([(w["station_id"], w["start"], w["end"]) for w in windows], "station_id string, start string, end string")
     most = incremental.bounds(times.select("station_id", *[values.zoned_time(F.col(c)).alias(c) for c in ("start", "end")])).first()
     zoned = lambda t: t.isoformat() + "Z"
     lines = _lines(spark, sf_dir)
-    for k in range(3):
+    for k in range(2):
         manifest = process.manifest_of(f"b{k}", "events", stations, windows, zoned(most["start"]), zoned(most["end"]), "2029-12-31T01:00:00+01:00")
-        readers.land_batch(lines.filter(F.col("event_id") % 3 == k).select("value"), root, manifest)
+        readers.land_batch(lines.filter(F.col("event_id") % 2 == k).select("value"), root, manifest)
 
 
 def _items(df: DataFrame, batch_id, item: str, name, value) -> DataFrame:
@@ -52,7 +52,7 @@ def _items(df: DataFrame, batch_id, item: str, name, value) -> DataFrame:
 RUN = [*contract.COUNTS, "inserted_count", "updated_count", "unchanged_count"]
 
 
-@query(f"""WITH {M.REASONS}, l AS (SELECT r.*, 'b' || (r.event_id % 3) AS b, ts + to_microseconds(r.event_id % 1000000) AS seen_at FROM raw r JOIN events USING (event_id) WHERE {WINDOW.replace("event_id", "r.event_id")}),
+@query(f"""WITH {M.REASONS}, l AS (SELECT r.*, 'b' || (r.event_id % 2) AS b, ts + to_microseconds(r.event_id % 1000000) AS seen_at FROM raw r JOIN events USING (event_id) WHERE {WINDOW.replace("event_id", "r.event_id")}),
 n AS (SELECT b, count(*) + count(*) FILTER (twice) AS i, count(*) FILTER (reasons = '') AS a, count(*) FILTER (reasons <> '') AS r, count(*) FILTER (twice) AS d, coalesce(sum(missing) FILTER (reasons = ''), 0) AS m FROM l GROUP BY b)
 SELECT b AS batch_id, item, name, value::BIGINT AS value FROM (
   SELECT b, 'run' AS item, unnest(string_split('{" ".join(RUN)}', ' ')) AS name, unnest([i, a, r, d, m, a, 0, 0]) AS value FROM n
@@ -62,7 +62,7 @@ SELECT b AS batch_id, item, name, value::BIGINT AS value FROM (
   UNION ALL SELECT b, 'report', unnest(['accepted', 'stale']), unnest([a, 10]) FROM n
   UNION ALL SELECT b, 'event', 'succeeded', 1 FROM n UNION ALL SELECT 'all', 'facts', 'rows', sum(a) FROM n UNION ALL SELECT 'all', 'unnamed_stations', 'S0', 1)""")
 def landed_batches(spark, sf_dir):
-    """Ledger, quarantine, curated rows, reports and events of three landed batches."""
+    """Ledger, quarantine, curated rows, reports and events of two landed batches."""
     root, out = scratch(spark, "landed"), scratch(spark, "processed")
     _landed(spark, sf_dir, root)
     w = Warehouse(spark, f"{out}/warehouse")

@@ -19,6 +19,7 @@ import datetime as dt
 import json
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,7 +72,11 @@ class Warehouse:
         number = max((int(f.getPath().getName()[len("pointer-") : -len(".json")]) for f in found), default=0)
         if not number:
             return State()
-        named = json.loads("".join(r["value"] for r in self.spark.read.text(f"{self.root}/pointer-{number}.json").collect()))
+        stream = self._fs.open(self._path(f"{self.root}/pointer-{number}.json"))
+        try:
+            named = json.loads(bytes(self.spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)))
+        finally:
+            stream.close()
         return State(number, named["whole"], named["daily"])
 
     def versions(self) -> dict:
@@ -111,17 +116,25 @@ class Warehouse:
         """
         since = self.state() if since is None else since
         whole, daily = dict(since.whole), {n: dict(d) for n, d in since.daily.items()}
-        for name, df in tables.items():
+
+        def write(name: str, df: DataFrame) -> tuple[str, str]:
             version = f"v={uuid.uuid4().hex}"
             path = f"{self.root}/{name}/{version}"
-            if name not in DAILY:
+            if name in DAILY:
+                # One task a day, and as many as Spark wants for large days.
+                df.withColumn(DAY, F.to_date("observed_at")).hint("rebalance", DAY).write.partitionBy(DAY).parquet(path)
+            else:
                 df.select(*[f.name for f in self.read(name, State()).schema]).write.parquet(path)
+            return name, version
+
+        # Small tables wait for the large ones in no order.
+        with ThreadPoolExecutor(max(1, len(tables))) as pool:
+            versions = dict(pool.map(write, tables, tables.values()))
+        for name, version in versions.items():
+            if name not in DAILY:
                 whole[name] = version
                 continue
-            rows = df.withColumn(DAY, F.to_date("observed_at"))
-            # One task a day and as many as Spark wants for large days.
-            rows.hint("rebalance", DAY).write.partitionBy(DAY).parquet(path)
-            written = [f.getPath().getName()[len(DAY) + 1 :] for f in self._fs.globStatus(self._path(f"{path}/{DAY}=*")) or []]
+            written = [f.getPath().getName()[len(DAY) + 1 :] for f in self._fs.globStatus(self._path(f"{self.root}/{name}/{version}/{DAY}=*")) or []]
             daily[name] = (daily.get(name, {}) if days is not None else {}) | dict.fromkeys(written, version)
         if before_publish is not None:
             before_publish()
