@@ -1,14 +1,16 @@
 """SimHash near-duplicates found by Golay-code fuzzy hashing.
 
 A fingerprint of 64 bits is read as segments of 23, 23 and 18 bits.  If two
-fingerprints differ in at most 3 bits, at least two of the three segments
-differ in at most one bit each (pigeonhole on the segment errors).  Every
-23-bit word decodes to one codeword of the perfect binary Golay code; a word y
-with d(x, y) <= 1 decodes to a codeword within distance 4 of x, and x has at
-most six of these.  So each fingerprint is indexed under all pairs of nearby
-codewords of two segments (at most 36 keys a pair of segments), and probes with
-the one pair it decodes to: every pair within 3 bits meets, and is verified
-exactly by counting the differing bits.
+fingerprints differ in at most 3 bits, then either one segment is equal and
+another differs in at most one bit, or each of the three differs in one bit
+(pigeonhole on the segment errors).  Every 23-bit word decodes to one codeword
+of the perfect binary Golay code; a word y with d(x, y) <= 1 decodes to a
+codeword within distance 4 of x, and x has at most six of these.  So each
+fingerprint is indexed under a whole segment with every nearby codeword of
+another (at most 36 keys of 30 to 35 bits) and under every nearby codeword of
+all three (at most 216 keys of 36 bits), and probes with the seven keys it
+decodes to: every pair within 3 bits meets, and is verified exactly by counting
+the differing bits.
 
 Equal fingerprints are grouped before anything is joined, so a group of exact
 copies costs one row.  Links become classes by ``components.connected``.
@@ -31,7 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import cache, partial
-from itertools import combinations
+from itertools import combinations, permutations
 
 import numpy as np
 import pyarrow as pa
@@ -139,14 +141,20 @@ def _nearby(words: np.ndarray) -> np.ndarray:
 def golay_keys(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(probe keys of each fingerprint, index keys, row of each index key)."""
     u = fp.view(np.uint64)
-    near = [_nearby(((u >> np.uint64(at)) & np.uint64((1 << n) - 1)).astype(np.int64)) for at, n in SEGMENTS]
+    words = [((u >> np.uint64(at)) & np.uint64((1 << n) - 1)).astype(np.int64) for at, n in SEGMENTS]
+    near = [_nearby(w) for w in words]
     probes, keys, rows = [], [], []
-    for pair, (i, j) in enumerate(combinations(range(3), 2)):
-        all_keys = (near[i][:, :, None] << 12 | near[j][:, None, :]) | pair << 24
-        there = ((near[i] >= 0)[:, :, None] & (near[j] >= 0)[:, None, :]).reshape(len(fp), -1)
-        probes.append(all_keys[:, 0, 0])
-        keys.append(all_keys.reshape(len(fp), -1)[there])
+
+    def add(kind: int, all_keys: np.ndarray, there: np.ndarray) -> None:
+        all_keys, there = (all_keys | kind << 36).reshape(len(fp), -1), there.reshape(len(fp), -1)
+        probes.append(all_keys[:, 0])
+        keys.append(all_keys[there])
         rows.append(np.nonzero(there)[0])
+
+    for kind, (i, j) in enumerate(permutations(range(3), 2)):
+        add(kind, words[i][:, None] << 12 | near[j], near[j] >= 0)
+    a, b, c = near[0][:, :, None, None], near[1][:, None, :, None], near[2][:, None, None, :]
+    add(6, a << 24 | b << 12 | c, (a >= 0) & (b >= 0) & (c >= 0))
     return np.stack(probes, 1), np.concatenate(keys), np.concatenate(rows)
 
 
@@ -156,14 +164,14 @@ def _keyed(fps: DataFrame, index: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             all_fp = b.column(0).to_numpy(zero_copy_only=False)
-            for k in range(0, len(all_fp), 4096):
-                fp = np.ascontiguousarray(all_fp[k : k + 4096])
+            for k in range(0, len(all_fp), 1024):
+                fp = np.ascontiguousarray(all_fp[k : k + 1024])
                 probes, keys, rows = golay_keys(fp)
                 if not index:
                     keys, rows = probes.ravel(), np.repeat(np.arange(len(fp)), probes.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(fp[rows])], names=["key", name])
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(fp[rows])], names=["key", name])
 
-    return fps.select("fp").mapInArrow(run, f"key int, {name} long")
+    return fps.select("fp").mapInArrow(run, f"key long, {name} long")
 
 
 def links(fps: DataFrame, radius: int = 3) -> DataFrame:
@@ -171,7 +179,7 @@ def links(fps: DataFrame, radius: int = 3) -> DataFrame:
     if not 0 <= radius <= 3:
         raise ValueError("three segments prove a radius of 3 at most")
     near = (F.col("x") < F.col("y")) & (F.bit_count(F.col("x").bitwiseXOR(F.col("y"))) <= radius)
-    met = _keyed(fps, True).join(_keyed(fps, False).hint("shuffle_hash"), "key").filter(near)
+    met = _keyed(fps, True).join(_keyed(fps, False).hint("merge"), "key").filter(near)
     return met.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 
 

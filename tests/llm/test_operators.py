@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers as P
@@ -502,6 +503,24 @@ def test_golay_keys_meet_within_three_bits():
     assert (simhash._errors() >= 0).sum(1).max() == 6
 
 
+def test_golay_keys_for_every_place_of_three_errors():
+    x = np.array([0x9E3779B97F4A7C15], np.uint64)
+    _, keys, _ = simhash.golay_keys(x.view(np.int64))
+    flips = [sum(1 << p for p in places) for n in range(4) for places in combinations(range(64), n)]
+    probes, _, _ = simhash.golay_keys((x ^ np.array(flips, np.uint64)).view(np.int64))
+    assert np.isin(probes, keys).any(1).all()
+
+
+def test_golay_keys_of_unlike_fingerprints_rarely_meet():
+    fp = np.random.default_rng(2).integers(-(1 << 63), (1 << 63) - 1, 20_000)
+    probes, keys, rows = simhash.golay_keys(fp)
+    order = np.argsort(keys)
+    flat = probes.ravel()
+    met = np.searchsorted(keys[order], flat, side="right") - np.searchsorted(keys[order], flat, side="left")
+    own = probes.shape[1] * len(fp)  # each meets itself under every key
+    assert own <= met.sum() <= own + 100
+
+
 def test_simhash_classes(spark, docs):
     import xxhash
 
