@@ -22,11 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-# KEYWORD, SENTENCES and LICENSES are those of ``oracle``, which takes the first
-# rule that matches a sentence; ``scan`` goes by the tables below them.
-
 #: Fixed value: what a sentence must hold, in lower case, to be looked at.
-KEYWORD = "licen[cs]e|copyright|warrant|permission|spdx|redistribut|public domain"
+KEYWORDS = "licen[cs]e|copyright|warrant|permission|spdx|redistribut|public domain|creative commons|cc by|cc0|\\bgnu\\b|endorse or promote|software is provided by"
 
 #: Sentence identifiers and the patterns of normalised sentences.
 SENTENCES = (
@@ -48,7 +45,8 @@ SENTENCES = (
     ("BsdAsIs", "this software is provided by .* as is"),
     ("LgplName", "gnu (lesser|library) general public licen[cs]e"),
     ("AgplName", "gnu affero general public licen[cs]e"),
-    ("GplLater", "either version [23] of the license or .*any later version"),
+    ("Gpl2Later", "version 2( of the license)? or .*any later version"),
+    ("Gpl3Later", "version 3( of the license)? or .*any later version"),
     ("Gpl3Name", "gnu general public licen[cs]e (version|v) ?3"),
     ("Gpl2Name", "gnu general public licen[cs]e (version|v) ?2"),
     ("GplRedistribute", "redistribute it and or modify it under the terms of the gnu general public license"),
@@ -63,19 +61,20 @@ SENTENCES = (
 )
 
 #: Licences and the identifier sequences that stand for them, the
-#: most specific first.  A sequence is a pattern over "Id;Id;...".
+#: most specific first.  A sequence is a pattern over "Id;Id;...".  LGPL and AGPL
+#: take their later versions before the GPL does; GPL is a notice without a version.
 LICENSES = (
+    ("LGPL", "LgplName;(Gpl[23]Later;)?(GplNoWarranty;)?"),
+    ("AGPL", "AgplName;(Gpl[23]Later;)?(GplNoWarranty;)?"),
     ("BSD-3-Clause", "BsdGrant;BsdSource;BsdBinary;BsdEndorse;(BsdAsIs;)?"),
     ("BSD-2-Clause", "BsdGrant;BsdSource;BsdBinary;(BsdAsIs;)?"),
     ("MIT", "MitGrant;(MitNotice;)?(MitAsIs;)?"),
     ("MIT", "MitName;|SpdxMit;"),
     ("Apache-2.0", "(ApacheGrant;|SpdxApache2;)(ApacheUse;)?(ApacheCopy;)?(ApacheAsIs;)?"),
-    ("GPL-2.0-or-later", "Gpl2Name;GplLater;(GplNoWarranty;)?"),
-    ("GPL-3.0-or-later", "(Gpl3Name;|GplRedistribute;)GplLater;(GplNoWarranty;)?"),
-    ("GPL-2.0-only", "Gpl2Name;(GplNoWarranty;)?"),
-    ("GPL-3.0-only", "(Gpl3Name;|SpdxGpl3;)(GplNoWarranty;)?"),
-    ("LGPL", "LgplName;(GplLater;)?"),
-    ("AGPL", "AgplName;(GplLater;)?"),
+    ("GPL-2.0-or-later", "(GplRedistribute;Gpl2Name;|GplRedistribute;|Gpl2Name;)Gpl2Later;(GplNoWarranty;)?"),
+    ("GPL-3.0-or-later", "(GplRedistribute;Gpl3Name;|GplRedistribute;|Gpl3Name;)Gpl3Later;(GplNoWarranty;)?"),
+    ("GPL-2.0-only", "(GplRedistribute;)?Gpl2Name;(GplNoWarranty;)?"),
+    ("GPL-3.0-only", "((GplRedistribute;)?Gpl3Name;|SpdxGpl3;)(GplNoWarranty;)?"),
     ("MPL-2.0", "MplName;"),
     ("CC-BY-NC-SA-4.0", "CcByNcSa;"),
     ("CC-BY-NC-4.0", "CcByNc;"),
@@ -83,22 +82,8 @@ LICENSES = (
     ("CC-BY-4.0", "CcBy;"),
     ("CC0-1.0", "CcZero;"),
     ("Public-Domain", "PublicDomain;"),
+    ("GPL", "GplRedistribute;(GplNoWarranty;)?"),
 )
-#: Keywords of the patterns that hold no KEYWORD.
-KEYWORDS = KEYWORD + "|creative commons|cc by|cc0|\\bgnu\\b|endorse or promote|software is provided by"
-#: SENTENCES, with the version of GplLater in its name.
-PATTERNS = tuple(x for name, pattern in SENTENCES for x in ([(f"Gpl{v}Later", f"version {v}( of the license)? or .*any later version") for v in (2, 3)] if name == "GplLater" else [(name, pattern)]))
-#: LICENSES over PATTERNS.  LGPL and AGPL take their later versions
-#: before the GPL does; GPL is a notice without a version.
-_GPL = {
-    "GPL-2.0-or-later": "(GplRedistribute;Gpl2Name;|GplRedistribute;|Gpl2Name;)Gpl2Later;(GplNoWarranty;)?",
-    "GPL-3.0-or-later": "(GplRedistribute;Gpl3Name;|GplRedistribute;|Gpl3Name;)Gpl3Later;(GplNoWarranty;)?",
-    "GPL-2.0-only": "(GplRedistribute;)?Gpl2Name;(GplNoWarranty;)?",
-    "GPL-3.0-only": "((GplRedistribute;)?Gpl3Name;|SpdxGpl3;)(GplNoWarranty;)?",
-    "LGPL": "LgplName;(Gpl[23]Later;)?(GplNoWarranty;)?",
-    "AGPL": "AgplName;(Gpl[23]Later;)?(GplNoWarranty;)?",
-}
-SEQUENCES = tuple((name, _GPL[name]) for name in ("LGPL", "AGPL")) + tuple((name, _GPL.get(name, pattern)) for name, pattern in LICENSES if name not in ("LGPL", "AGPL")) + (("GPL", "GplRedistribute;(GplNoWarranty;)?"),)
 #: The identifier of a sentence of licences that no rule knows.
 UNKNOWN = "Unknown"
 
@@ -120,13 +105,13 @@ def sentences(text: Column) -> Column:
     low = F.lower(F.coalesce(text, F.lit("")))
     ended = F.regexp_replace(F.regexp_replace(low, "\\r", ""), "([.!?])[ \\t\\n]+|\\n[ \\t]*\\n", "$1\u001e")
     plain = F.transform(F.split(ended, "\u001e"), lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9.+]+", " ")))
-    raw = KEYWORDS.replace(" ", "[^a-z0-9.+]+")
+    raw = KEYWORDS.replace("\\b", "").replace(" ", "[^a-z0-9.+]+")  # whole texts are told first, by no less
     return F.filter(F.when(low.rlike(raw), plain).otherwise(F.array().cast("array<string>")), lambda s: s.rlike(KEYWORDS))
 
 
 def _identify(sentence: Column) -> Column:
     """The identifiers of all patterns in a sentence, by position."""
-    at = F.array(*[F.struct(F.regexp_instr(sentence, F.lit(pattern)).alias("at"), F.lit(k).alias("k"), F.lit(name).alias("name")) for k, (name, pattern) in enumerate(PATTERNS)])
+    at = F.array(*[F.struct(F.regexp_instr(sentence, F.lit(pattern)).alias("at"), F.lit(k).alias("k"), F.lit(name).alias("name")) for k, (name, pattern) in enumerate(SENTENCES)])
     found = F.transform(F.array_sort(F.filter(at, lambda x: x["at"] > 0)), lambda x: x["name"])
     return F.transform(F.array(found), lambda x: F.when(F.size(x) > 0, x).otherwise(F.array(F.lit(UNKNOWN))))[0]
 
@@ -138,7 +123,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
     rows = rows.select("doc_id", F.size("_ids").cast("long").alias("n_sentences"), F.flatten("_ids").alias("sentence_ids"))
     rows = rows.withColumn("_left", F.array_join(F.transform("sentence_ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), ""))
     found = []
-    for k, (name, pattern) in enumerate(SEQUENCES):
+    for k, (name, pattern) in enumerate(LICENSES):
         whole = _wrapped(pattern)
         rows = rows.withColumn(f"_found{k}", F.when(F.col("_left").rlike(whole), name))
         rows = rows.withColumn("_left", F.when(F.col(f"_found{k}").isNotNull(), F.regexp_replace("_left", whole, TAKEN)).otherwise(F.col("_left")))
@@ -153,22 +138,26 @@ def op7_license_scan(spark, sf_dir: str) -> DataFrame:
 
 
 def oracle() -> str:
-    """The same as DuckDB SQL, from the same tables of rules."""
+    """The same as DuckDB SQL, from the same tables of rules.  A pattern's first match
+    stands where its text is first found, since an earlier place would match too."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
-    case = " ".join(f"WHEN regexp_matches(s, {quote(p)}) THEN {quote(n)}" for n, p in SENTENCES)
+    names = ", ".join(quote(n) for n, _ in SENTENCES)
+    places = ", ".join(f"CASE WHEN regexp_matches(s, {quote(p)}) THEN strpos(s, regexp_extract(s, {quote(p)})) ELSE 0 END" for _, p in SENTENCES)
     steps, last = [], "c0"
     for k, (name, pattern) in enumerate(LICENSES):
         whole = quote(_wrapped(pattern))
-        steps.append(f"c{k + 1} AS MATERIALIZED (SELECT doc_id, ids, CASE WHEN regexp_matches(rest, {whole}) THEN list_append(found, {quote(name)}) ELSE found END AS found, regexp_replace(rest, {whole}, '{TAKEN}', 'g') AS rest FROM c{k})")
+        steps.append(f"c{k + 1} AS MATERIALIZED (SELECT doc_id, n, ids, CASE WHEN regexp_matches(rest, {whole}) THEN list_append(found, {quote(name)}) ELSE found END AS found, regexp_replace(rest, {whole}, '{TAKEN}', 'g') AS rest FROM c{k})")
         last = f"c{k + 1}"
     return f"""
 WITH low AS (SELECT doc_id, replace(lower(coalesce(text, '')), chr(13), '') AS t FROM documents),
 cut AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(t, '([.!?])[ \\t\\n]+|\\n[ \\t]*\\n', '\\1' || chr(30), 'g'), chr(30)),
-        lambda s: trim(regexp_replace(s, '[^a-z0-9.+]+', ' ', 'g'))), lambda s: regexp_matches(s, {quote(KEYWORD)})) AS ss FROM low),
-named AS (SELECT doc_id, list_transform(ss, lambda s: CASE {case} ELSE {quote(UNKNOWN)} END) AS ids FROM cut),
-c0 AS (SELECT doc_id, ids, []::VARCHAR[] AS found, array_to_string(list_transform(ids, lambda i: '<' || i || '>'), '') AS rest FROM named),
+        lambda s: trim(regexp_replace(s, '[^a-z0-9.+]+', ' ', 'g'))), lambda s: regexp_matches(s, {quote(KEYWORDS)})) AS ss FROM low),
+placed AS (SELECT doc_id, list_transform(ss, lambda s: [{places}]) AS places FROM cut),
+ordered AS (SELECT doc_id, list_transform(places, lambda a: list_sort(list_filter(list_transform(range(1, len(a) + 1), lambda k: {{'place': a[k], 'k': k}}), lambda x: x['place'] > 0))) AS found FROM placed),
+named AS (SELECT doc_id, len(found) AS n, flatten(list_transform(found, lambda f: CASE WHEN len(f) = 0 THEN [{quote(UNKNOWN)}] ELSE list_transform(f, lambda x: ([{names}])[x['k']]) END)) AS ids FROM ordered),
+c0 AS (SELECT doc_id, n, ids, []::VARCHAR[] AS found, array_to_string(list_transform(ids, lambda i: '<' || i || '>'), '') AS rest FROM named),
 {", ".join(steps)}
-SELECT doc_id, len(ids)::BIGINT AS n_sentences, array_to_string(ids, ';') AS sentence_ids,
+SELECT doc_id, n::BIGINT AS n_sentences, array_to_string(ids, ';') AS sentence_ids,
        array_to_string(list_sort(list_distinct(found)), ' AND ') AS licenses,
        (length(rest) - length(replace(rest, '<', '')))::BIGINT AS n_unknown
 FROM {last}"""

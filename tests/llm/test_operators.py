@@ -319,6 +319,25 @@ def test_licenses_in_one_sentence(spark):
     assert [r["n_sentences"] for r in got] == [2] * 4 + [1] * 8
 
 
+def test_license_sql_on_notices(spark, tmp_path):
+    """Notices of several identifiers a sentence, rules beside each other, other keywords."""
+    import duckdb
+
+    later = ["either version {} of the License, or (at your option) any later version", "version {} or any later version", "version {}"]
+    gpl = ["redistribute it and/or modify it under the terms of the GNU General Public License", "the GNU Lesser General Public License", "the GNU Affero General Public Licence", "the GNU General Public License version 2", "GNU General Public License v3"]
+    other = ["CC BY-NC 4.0", "Creative Commons Zero", "éGNU d'é", "Released under the MIT License", "SPDX-License-Identifier: GPL-3.0", "A new licence of ours", "It is in the public\ndomain", "Neither the name of X nor of Y may be used to endorse or promote Z"]
+    texts = [f"{g}, {x.format(v)}. {o}.\r\n\r\n{o}! {g}." for g in gpl for x in later for v in (2, 3) for o in other]
+    texts += ["; ".join(other), ". ".join(other * 50), *TEXTS]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    cur = con.execute(licenses.oracle())
+    names = [d[0] for d in cur.description]
+    got = licenses.op7_license_scan(spark, str(tmp_path)).select(*names).collect()
+    assert sorted(map(tuple, got)) == sorted(cur.fetchall())
+    assert sum(r["licenses"] > "" for r in got) > 200 and max(r["n_sentences"] for r in got) > 50
+
+
 def test_revisits(spark):
     h = lambda **x: [(k.replace("_", "-"), v) for k, v in x.items()]
     url = "http://www.Example.org:80/a/?b=2&utm_source=x&a=1#f"
