@@ -20,8 +20,10 @@ one class is done.  Of the others, those in which lines of different classes
 make at most ``PAIRS`` pairs a line compare just these pairs.  The rest (a
 phrase that very many lines share) are cut further: the words beside the matched
 segment are again cut into tolerance + 1 segments, which gives longer keys that
-fewer lines share, each with a most frequent line of its own.  After ``CUTS`` cuts all
-pairs of different classes are compared that are left, so no link is lost.
+fewer lines share, each with a most frequent line of its own.  What is still left after
+``CUTS`` cuts gets keys of all its words that aren't matched yet, but for those that
+the tolerance lets differ (``variants``).  All lines of such a key are near its most
+frequent line, so they are linked with that one, however many they are.
 
 Of each class the first line, by (id, hash of the text, place), stays.
 
@@ -45,7 +47,8 @@ from .components import connected
 LEAST, STEP, MOST = 8, 48, 2
 #: Pairs of lines of different classes that a key may have for each of its lines
 #: before it is cut further, and cuts at most.  A pair costs two counts of bits,
-#: a cut some four entries of hashed words a line, written and grouped.
+#: a cut some four entries of hashed words a line, written and grouped; the keys
+#: after the last cut grow with the square of the few words that are left.
 PAIRS, CUTS = 256, 4
 #: Keys or line ids up to this number are broadcast (16 bytes each), more are shuffled.
 BROADCAST_IDS = 500_000
@@ -115,6 +118,36 @@ def cut(entries: DataFrame) -> DataFrame:
     return each.select("id", left.alias("rest"), "e.key", (F.col("m") - F.col("e.size")).alias("m"), "t", "e.own")
 
 
+def variants(entries: DataFrame) -> DataFrame:
+    """The last keys of each entry (key, id, own): the words not yet matched, after
+    the edits that may lie between the line and a nearby one.
+
+    If the other line has m words left and this one ``less`` more, x words of the other are
+    deleted and less + x of this, and as many others as the tolerance still
+    allows are replaced by a mark at their places.  Two lines that meet so are as near as the
+    tolerance, and every two lines that are so near meet.  A line that a segment of
+    its own led here stands for the other line, with every possible ``less``.
+    """
+    m, t, less, x = F.col("m"), F.col("t"), F.size("rest") - F.col("m"), F.col("form.x")
+    forms = [(k, x) for k in range(MOST + 1) for x in range((MOST - k) // 2 + 1)]
+    form = F.explode(F.array(*[F.struct(F.lit(k).alias("less"), F.lit(x).alias("x")) for k, x in forms]))
+    each = entries.withColumn("form", form).filter((F.col("form.less") + 2 * x <= t) & (x <= m) & (F.col("own") | (F.col("form.less") == less)))
+    marked = F.least(t - F.col("form.less") - 2 * x, m - x)
+    each = each.select("id", "own", "rest", F.xxhash64("key", "form").alias("key"), (less + x).alias("gone"), marked.alias("marked"), F.lit(0).alias("at"))
+    for _ in range(MOST):
+        places = F.when(F.col("gone") + F.col("marked") > 0, F.sequence(F.col("at"), F.size("rest") - 1)).otherwise(F.array(F.lit(-1)))
+        each = each.filter((F.col("gone") + F.col("marked") == 0) | (F.col("at") < F.size("rest")))
+        each = each.withColumn("p", F.explode(places)).withColumn("mark", F.explode(F.array(F.lit(False), F.lit(True))))
+        idle, mark, p = F.col("p") < 0, F.col("mark"), F.col("p")
+        # An entry without an edit left goes on once.
+        each = each.filter(F.when(mark, F.col("marked") > 0).otherwise(idle | (F.col("gone") > 0)))
+        before, after = F.slice("rest", F.lit(1), p), F.slice("rest", p + 2, F.size("rest"))
+        new = F.when(idle, F.col("rest")).when(mark, F.concat(before, F.array(F.lit("")), after)).otherwise(F.concat(before, after))
+        step = lambda name, on: (F.col(name) - on.cast("int")).alias(name)
+        each = each.select("id", "own", "key", new.alias("rest"), step("gone", ~mark & ~idle), step("marked", mark), F.when(idle, F.col("at")).otherwise(p + mark.cast("int")).alias("at"))
+    return each.filter("gone + marked = 0").select(F.xxhash64("key", F.size("rest"), "rest").alias("key"), "id", "own")
+
+
 def _windows() -> list[tuple[int, int, int, int, int]]:
     """(tolerance of the line, difference in length, tolerance of the other line,
     segment, shift) of every place where a segment may stand."""
@@ -245,6 +278,22 @@ def _near(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(both.filter(within_edits(a, b, tolerance(F.least(F.size(a), F.size(b))))).select("a", "b"), "line-links")
 
 
+def _stars(marked: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links of the lines of each key with its first one."""
+    hubs = marked.filter("id = first").select("key", *[F.col(c).alias(f"{c}_a") for c in MARKS], F.col("id").alias("a"))
+    others = marked.filter("id != first").select("key", *[F.col(c).alias(f"{c}_b") for c in MARKS], F.col("id").alias("b"))
+    return _near(others.join(hubs, "key").filter(_may_be_near("_a", "_b")).select("a", "b").distinct(), texts)
+
+
+def across(classed: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The two sides of a join by key that brings lines of different classes
+    together: those outside the key's largest class (keys: key and that class's
+    root, major) and all.  It compares at most twice as many rows as there are
+    pairs of different classes, however large a class is."""
+    lines_ = classed.join(_small(keys), "key")
+    return lines_.filter("root != major").toDF("key", "a", *[f"{c}_a" for c in MARKS], "root_a", "major"), lines_.drop("major").toDF("key", "b", *[f"{c}_b" for c in MARKS], "root_b")
+
+
 def links(df: DataFrame, entries: DataFrame | None = None, places: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pairs a, b of ids of near-duplicate lines, enough to connect all that are.
     entries and places: those of df, where they are written already."""
@@ -256,25 +305,29 @@ def links(df: DataFrame, entries: DataFrame | None = None, places: DataFrame | N
     whole, found, cuts = None, None, 0
     while True:
         marked = written(met.join(marks, "id"), "marked-lines")
-        hubs = marked.filter("id = first").select("key", *[F.col(c).alias(f"{c}_a") for c in MARKS], F.col("id").alias("a"))
-        others = marked.filter("id != first").select("key", *[F.col(c).alias(f"{c}_b") for c in MARKS], F.col("id").alias("b"))
-        new = _near(others.join(hubs, "key").filter(_may_be_near("_a", "_b")).select("a", "b").distinct(), texts)
+        new = _stars(marked, texts)
         found = new if found is None else found.unionByName(new)
         classed = written(marked.join(connected(found).withColumnRenamed("node", "id"), "id", "left").select("key", "id", *MARKS, F.coalesce("root", "id").alias("root")), "line-classes")
-        sizes = classed.groupBy("key", "root").agg(F.count("*").cast("double").alias("n")).groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("classes"))
-        mixed = written(sizes.filter("classes > 1").select("key", ((F.col("n") * F.col("n") - F.col("same")) / 2 > F.col("n") * (PAIRS if cuts < CUTS else float("inf"))).alias("large")), "mixed-keys")
-        small = classed.join(_small(mixed.filter("not large").select("key")), "key", "left_semi")
-        a, b = (small.toDF("key", x, *[f"{c}_{x}" for c in MARKS], f"root_{x}") for x in ("a", "b"))
-        across = a.join(b, "key").filter((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")) & _may_be_near("_a", "_b")).select("a", "b").distinct()
-        found = found.unionByName(_near(across, texts))
+        sizes = classed.groupBy("key", "root").agg(F.count("*").cast("double").alias("n"))
+        sizes = sizes.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"), F.count("*").alias("classes"), F.max(F.struct("n", "root")).alias("_m"))
+        mixed = written(sizes.filter("classes > 1").select("key", F.col("_m.root").alias("major"), ((F.col("n") * F.col("n") - F.col("same")) / 2 > F.col("n") * PAIRS).alias("large")), "mixed-keys")
+        a, b = across(classed, mixed.filter("not large").select("key", "major"))
+        # Of two lines outside the largest class, each is on both sides.
+        once = (F.col("root_b") == F.col("major")) | (F.col("a") < F.col("b"))
+        pairs = a.join(b, "key").filter(once & (F.col("root_a") != F.col("root_b")) & _may_be_near("_a", "_b"))
+        found = found.unionByName(_near(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), texts))
         large = mixed.filter("large").select("key")
         if large.isEmpty():
             return found
-        cuts += 1
         if whole is None:
             there = classed.join(_small(large), "key", "left_semi").select("id").distinct()
             whole = cut(whole_lines(texts.join(_small(there), "id", "left_semi")))
-        whole = written(cut(whole.join(_small(large), "key", "left_semi")), "line-entries")
+        whole = whole.join(_small(large), "key", "left_semi")
+        if cuts == CUTS:
+            met = _met(written(variants(whole), "line-entries", dictionary=False))
+            return found.unionByName(_stars(written(met.join(marks, "id"), "marked-lines"), texts))
+        cuts += 1
+        whole = written(cut(whole), "line-entries")
         met = _met(whole.select("key", "id", "own"))
 
 

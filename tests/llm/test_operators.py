@@ -192,6 +192,67 @@ def test_edit_join_finds_the_classes_of_all_pairs(spark, monkeypatch, case, pair
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+@pytest.mark.parametrize("cuts", [0, 1])
+def test_lines_left_after_the_last_cut_meet_by_all_their_words(spark, monkeypatch, cuts):
+    import random
+
+    monkeypatch.setattr(line_dedup, "PAIRS", 0)
+    monkeypatch.setattr(line_dedup, "CUTS", cuts)
+    rng = random.Random(cuts)
+    found = []
+    for n in (7, 8, 9, 10, 48, 49):  # a phrase that all share, and few other words
+        base = ["p"] * (n - 4) + ["a", "b", "a", "b"]
+        found.append(base)
+        for _ in range(12):
+            line = list(rng.choice(found[-3:]))
+            for _ in range(rng.randrange(4)):
+                k = rng.randrange(len(line) - 4, len(line))
+                line[k : k + rng.randrange(2)] = rng.choice([["new"], [], ["a"], ["b"], ["c"]])
+            found.append(line)
+    df = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(found)], "doc_id long, text string")
+    words_of = {r["id"]: tuple(r["words"]) for r in line_dedup.lines(df).collect()}
+    linked = line_dedup.links(df).collect()
+    roots = {r["node"]: r["root"] for r in components.connected(spark.createDataFrame(linked, "a long, b long")).collect()}
+    want = line_classes(words_of.values())
+    for i, w in words_of.items():
+        for j, v in words_of.items():
+            assert (roots.get(i, i) == roots.get(j, j)) == (want[w] == want[v]), (w, v)
+
+
+def brute_variants(rest, m, t, own):
+    """(less, x, words, marks included) of an entry."""
+    out = set()
+    for less in range(t + 1):
+        for x in range((t - less) // 2 + 1):
+            gone = len(rest) - m + x
+            if x <= m and (own or less == len(rest) - m):
+                for left in combinations(range(len(rest)), len(rest) - gone):
+                    for at in combinations(left, min(t - less - 2 * x, len(left))):
+                        out.add((less, x, tuple("" if k in at else rest[k] for k in left)))
+    return out
+
+
+def test_variants_equal_all_choices_of_edits(spark):
+    letters = "abcdefg"
+    cases = [(letters[:n], m, t, own) for n in range(8) for t in (1, 2) for m in range(max(0, n - t), n + 1) for own in {False, m == n}]
+    df = spark.createDataFrame([(k, list(r), 5, m, t, own) for k, (r, m, t, own) in enumerate(cases)], "id long, rest array<string>, key long, m int, t int, own boolean")
+    got = defaultdict(set)
+    for r in line_dedup.variants(df).collect():
+        got[r["id"]].add(r["key"])
+    # Equal keys of different entries are equal choices, and the other way round.
+    want = {k: brute_variants(*c) for k, c in enumerate(cases)}
+    assert {k: len(v) for k, v in want.items()} == {k: len(got[k]) for k in want}
+    for a, b in combinations(want, 2):
+        assert len(want[a] & want[b]) == len(got[a] & got[b])
+
+
+def test_a_large_class_of_a_key_is_not_compared_with_itself(spark):
+    for n in (100, 1000):  # one class of n lines and two others of a line each
+        classed = spark.range(n + 2).selectExpr("7L as key", "id", "9 as n", "0L as bits", "0L as more_bits", f"if(id < {n}, 0L, id) as root")
+        a, b = line_dedup.across(classed, spark.createDataFrame([(7, 0)], "key long, major long"))
+        assert (a.count(), b.count()) == (2, n + 2)
+
+
 def test_compiled_segments_equal_the_cut_ones(spark):
     df = spark.createDataFrame([(n, " ".join(f"w{k}" for k in range(n))) for n in [1, 7, 8, 9, 31, 46, 47, 48, 49, 50, 51, 96, 100, 148, 200]], "doc_id long, text string")
     distinct = line_dedup.lines(df).select("id", "words")
