@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import cuts
-from .common import id_mod, table
+from .common import id_mod, release, small_batches, table
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3, 4)
@@ -193,7 +193,8 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
 
     rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
     summed = rows.mapInArrow(run, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    got = summed.toPandas()  # at most languages x (BUCKETS + scripts) rows
+    with small_batches(df.sparkSession):
+        got = summed.toPandas()  # at most languages x (BUCKETS + scripts) rows
     languages = sorted(got["lang"].unique().tolist())
     count = np.zeros((len(languages), BUCKETS + len(NAMES)))
     count[np.searchsorted(languages, got["lang"].to_numpy().astype(str)) if len(got) else [], got["bucket"].to_numpy().astype(int)] = got["n"].to_numpy().astype(float)
@@ -261,6 +262,7 @@ def filter_documents(df: DataFrame, least_score: float = 0.3) -> DataFrame:
                 verdicts.append(pc.and_(pc.not_equal(lang, "und"), pc.greater_equal(score, least_score)))
             yield pa.concat_arrays(verdicts) if verdicts else pa.array([], pa.bool_())
             pa.default_memory_pool().release_unused()
+        release()
 
     return df.filter(keeps(F.col("text")))
 

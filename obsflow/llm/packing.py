@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import single_threaded, table, written
+from .common import release, single_threaded, small_batches, table, written
 from .cuts import CutEncoder
 
 LONGEST = 2048
@@ -35,7 +35,7 @@ END = 1
 #: Counts by (length, partition) up to this number are broadcast, 24 bytes each.
 BROADCAST_ROWS = 500_000
 #: Rows handled at a time; bounds a worker's memory.
-ROWS = 1024
+ROWS = 512
 #: Cuts that the library encodes in one call.
 JOINED = 1000
 
@@ -99,7 +99,7 @@ def pieces(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
                 packed = pa.Array.from_buffers(pa.binary(), len(size), [None, places, pa.py_buffer(np.ascontiguousarray(ids, "<u4"))])
                 columns = [few.column(0).take(pa.array(doc)), pa.array(ends - size - (np.cumsum(total) - total)[doc]), pa.array(size), packed, pa.array(total[doc]), pa.array(np.full(len(size), part, np.int32)), pa.array(nth)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "length", "ids", "doc_tokens", "part", "nth"])
-                pa.default_memory_pool().release_unused()
+                release()
 
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, start long, length long, ids binary, doc_tokens long, part int, nth long")
@@ -108,7 +108,8 @@ def pieces(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_
 def pack(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", longest: int = LONGEST, end: int = END) -> DataFrame:
     """doc_id, start, length, ids, doc_tokens, sequence_id and offset of every
     piece.  Ids of sequences run from 0 without a gap, short sequences first."""
-    cut = written(pieces(df, path, pattern, id_col, text_col, longest, end), "pieces")
+    with small_batches(df.sparkSession):
+        cut = written(pieces(df, path, pattern, id_col, text_col, longest, end), "pieces")
     counts = cut.groupBy("length", "part").agg((F.max("nth") + 1).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     by_part = counts.withColumn("before", before)

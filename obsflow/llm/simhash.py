@@ -19,10 +19,13 @@ copies costs one row.  Links become classes by ``components.connected``.
 similarity of 0.8 or more.  Their fingerprints differ in some 10 bits of 64, up
 to 16, which no affordable number of Golay keys covers; so beside the links of
 the fingerprints it takes as candidates the documents that share one of their
-``SMALLEST`` smallest shingle hashes.  Two documents of similarity J miss each
-other there with a chance of (1 - J) ** SMALLEST at most.  Nobody pairs a group:
-each document is a candidate with the first of each of its keys, and every
-candidate is verified by the exact similarity.
+``SMALLEST`` smallest shingle hashes, each with the first one of its keys.  These
+links make the first classes.  What they leave out is found exactly: in any
+order of shingles that all documents share, similar sets share one of their
+first ones, a fifth of the set (``prefix``).  Documents of different classes are
+paired there, by keys of few documents first; documents with a key of many have
+such keys put last in the order and meet again by what then stands in front.
+Every candidate is verified by the exact similarity.
 
 Defined results: a null or empty text has fingerprint zero and is linked like
 any other; rows with equal ids are fingerprinted one by one; other columns
@@ -31,8 +34,9 @@ aren't read.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from functools import cache, partial
+from functools import cache, partial, reduce
 from itertools import combinations, permutations
 
 import numpy as np
@@ -40,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import dropped, release, small_batches, table, written
 from .components import connected
 
 #: Generator polynomial of the binary Golay code (23, 12).
@@ -51,6 +55,10 @@ SEGMENTS = ((0, 23), (23, 23), (46, 18))
 BROADCAST_IDS = 1_000_000
 #: Smallest shingle hashes by which documents of similar shingles meet.
 SMALLEST = 6
+#: Documents of a key that are paired before the key is put last in the order.
+GROUP = 32
+#: Orders of shingles tried; in the last one keys of any size are paired.
+ORDERS = 4
 #: Shingles whose bits are counted at a time.
 CHUNK = 1 << 15
 
@@ -121,14 +129,14 @@ def _errors() -> np.ndarray:
 @cache
 def _syndromes() -> np.ndarray:
     """The syndrome of every 23-bit word."""
-    out = np.zeros(1, np.int64)
+    out = np.zeros(1, np.int16)
     for k in range(23):
         x = 1 << k
         for j in range(22, 10, -1):
             if x >> j & 1:
                 x ^= GENERATOR << (j - 11)
-        out = np.concatenate([out, out ^ x])
-    return out.astype(np.int16)
+        out = np.concatenate([out, out ^ np.int16(x)])
+    return out
 
 
 def _nearby(words: np.ndarray) -> np.ndarray:
@@ -199,25 +207,35 @@ def _small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """doc_id, node (hash of the words, equal for exact copies), fp and keys (the
-    smallest distinct shingle hashes) of every row."""
+def prefix(size: int, similarity: float) -> int:
+    """How many members of a set, first ones in an order that all sets share, hold
+    one of those of any other set of at least that similarity."""
+    return size - math.ceil(similarity * size - 1e-9) + 1 if size else 0
+
+
+def sketches(df: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """doc_id, node (hash of the words, equal for exact copies), fp, size (number of
+    distinct shingle hashes) and keys (the ``prefix`` of these, smallest first) of
+    every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         for b in batches:
-            node, fp, keys = [], [], []
+            node, fp, size, keys = [], [], [], []
             for text in b.column(1):
                 whole, h = shingle_hashes(text.as_py(), shingle)
                 node.append(xxhash.xxh64_intdigest(whole))
                 fp.append(fingerprint_of(h))
-                keys.append(np.unique(h)[:SMALLEST].view(np.int64))
+                own = np.unique(h)
+                size.append(len(own))
+                keys.append(own[: prefix(len(own), similarity)].view(np.int64))
             signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), signed(node), signed(fp), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "node", "fp", "keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), signed(node), signed(fp), pa.array(size, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "node", "fp", "size", "keys"])
+            release()
 
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, node long, fp long, keys array<long>")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, node long, fp long, size long, keys array<long>")
 
 
 def shingle_sets(df: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -232,30 +250,116 @@ def shingle_sets(df: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
                 got = [shingle_hashes(t.as_py(), shingle) for t in b.column(0)]
                 node = np.array([xxhash.xxh64_intdigest(w) for w, _ in got], np.uint64).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(node), pa.array([np.unique(h).view(np.int64) for _, h in got], pa.list_(pa.int64()))], names=["node", "shingles"])
+            release()
 
     return df.select(F.col(text_col).alias("text")).mapInArrow(run, "node long, shingles array<long>")
 
 
+def _sets(df: DataFrame, nodes: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """The shingle sets of the nodes in ``wanted``, from one document each."""
+    first = written(wanted.distinct().join(nodes.select("node", "first"), "node").select("node", F.col("first").alias("_first")), "first-documents")
+    texts = df.join(_small(first.select("_first").distinct()), df[id_col] == F.col("_first"), "left_semi")
+    with small_batches(df.sparkSession):
+        sets = written(shingle_sets(texts, id_col, text_col, shingle).join(_small(first.select("node")), "node", "left_semi"), "shingle-sets", dictionary=False)
+    if sets.count() == first.count():
+        return sets
+    once = written(sets.dropDuplicates(["node"]), "shingle-sets", dictionary=False)  # of repeated ids
+    dropped(sets)
+    return once
+
+
+def _similar(df: DataFrame, nodes: DataFrame, pairs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
+    """The pairs a, b of at least that Jaccard similarity."""
+    sets = _sets(df, nodes, pairs.select(F.explode(F.array("a", "b")).alias("node")), id_col, text_col, shingle)
+    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    # A quotient, since 0.8 times a number may be rounded up.
+    out = written(both.filter(common / (F.size("set_a") + F.size("set_b") - common) >= F.lit(similarity)).select("a", "b"), "similar", dictionary=False)
+    dropped(sets)
+    return out
+
+
+def _across(keyed: DataFrame, similarity: float) -> DataFrame:
+    """Pairs a < b of nodes of different classes that can be of that similarity by
+    their sizes and the keys they share.  A key's largest class is left out on one
+    side, so no class meets itself there."""
+    by_class = keyed.groupBy("key", "root").agg(F.count("*").alias("n"))
+    largest = by_class.groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("largest"))
+    x = keyed.join(largest, "key").filter("root != largest").toDF("key", "node_x", "root_x", "size_x", "front_x", "largest")
+    y = keyed.toDF("key", "node_y", "root_y", "size_y", "front_y")
+    met = x.join(y.hint("merge"), "key").filter("root_x != root_y and (root_y = largest or node_x < node_y)")
+    met = met.filter(F.least("size_x", "size_y") >= F.lit(similarity - 1e-9) * F.greatest("size_x", "size_y"))
+    # What is common but not in both prefixes stands behind that which ends first.
+    behind = F.greatest(F.col("size_x") - F.col("front_x"), F.col("size_y") - F.col("front_y"))
+    least = F.lit(similarity / (1 + similarity)) * (F.col("size_x") + F.col("size_y")) - behind
+    pairs = met.groupBy(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).agg(F.count("*").alias("n"), F.first(least).alias("least"))
+    return pairs.filter(F.col("n") >= F.col("least") - 1e-6).select("a", "b")
+
+
+def _left_out(df: DataFrame, rooted: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> list[DataFrame]:
+    """All pairs of at least that similarity between different classes.  rooted:
+    node, root, first, size and keys.  A pair that shares a frequent key meets in a
+    later order, so what others it shares needn't suffice in this one."""
+    found: list[DataFrame] = []
+    rest, hot, sets = rooted, None, None
+    for k in range(ORDERS):
+        keyed = rest.select(F.explode("keys").alias("key"), "node", "root", "size", F.size("keys").alias("front"))
+        several = written(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "repeated-keys", dictionary=False)
+        last = k == ORDERS - 1
+        few = several if last else several.filter(F.col("n") <= GROUP)
+        met = written(keyed.join(_small(few.select("key")), "key", "left_semi"), "shared-prefixes", dictionary=False)
+        pairs = written(_across(met, similarity), "candidates-across", dictionary=False)
+        dropped(met)
+        if not pairs.isEmpty():
+            found.append(_similar(df, rooted, pairs, id_col, text_col, shingle, similarity))
+        many = keyed.join(_small(several.filter(F.col("n") > GROUP).select("key")), "key", "left_semi")
+        many = many.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
+        many = written(many.select("key"), "frequent-keys", dictionary=False)
+        dropped(several)
+        if last or many.isEmpty():
+            break
+        hot = many if hot is None else hot.unionByName(many)
+        holders = written(keyed.join(_small(many), "key", "left_semi").select("node").distinct(), "holders-of-frequent-keys", dictionary=False)
+        if sets is None:
+            sets = _sets(df, rooted, holders, id_col, text_col, shingle)
+        put_last = sets.join(_small(holders), "node", "left_semi").select("node", F.explode("shingles").alias("key")).join(_small(hot), "key", "left_semi")
+        put_last = put_last.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("_last"))
+        order = F.concat(F.array_except("shingles", "_last"), "_last")
+        front = F.slice(order, F.lit(1), (F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-9) + 1).cast("int"))
+        before = rest
+        rest = written(rooted.select("node", "root", "size").join(put_last, "node").join(sets, "node").select("node", "root", "size", front.alias("keys")), "prefixes", dictionary=False)
+        if before is not rooted:
+            dropped(before)
+    if sets is not None:
+        dropped(sets)
+    return found
+
+
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """Every row's id, node and component_id, the smallest id of its class."""
-    rows = written(sketches(df, id_col, text_col, shingle), "sketches")
-    nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "sketch-nodes")
+    if not 0 < similarity <= 1:
+        raise ValueError("the similarity must be above 0 and at most 1")
+    with small_batches(df.sparkSession):
+        rows = written(sketches(df, id_col, text_col, shingle, similarity), "sketches", dictionary=False)
+    nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in ("fp", "size", "keys")]), "sketch-nodes", dictionary=False)
     hubs = nodes.groupBy("fp").agg(F.min("node").alias("hub"))
     equal = nodes.join(hubs, "fp").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     met = links(hubs.select("fp"))
     close = met.join(hubs.toDF("a", "hub_a"), "a").join(hubs.toDF("b", "hub_b"), "b").select(F.col("hub_a").alias("a"), F.col("hub_b").alias("b"))
-    keyed = nodes.select("node", F.explode("keys").alias("key"))
+    keyed = nodes.select("node", F.explode(F.slice("keys", 1, SMALLEST)).alias("key"))
     least = keyed.groupBy("key").agg(F.min("node").alias("a"))
     shared = keyed.join(least, "key").select("a", F.col("node").alias("b"))
     pairs = written(equal.unionByName(close).unionByName(shared).filter("a != b").distinct(), "candidates")
-    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "first"), "node"), "candidate-nodes")
-    texts = df.join(_small(wanted.select(F.col("first").alias("_first")).distinct()), df[id_col] == F.col("_first"), "left_semi")
-    sets = written(shingle_sets(texts, id_col, text_col, shingle).dropDuplicates(["node"]), "shingle-sets")
-    both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    common = F.size(F.array_intersect("set_a", "set_b"))
-    near = common >= F.lit(similarity) * (F.size("set_a") + F.size("set_b") - common)
-    roots = connected(both.filter(near).select("a", "b"))
-    rooted = nodes.join(roots, "node", "left").select("node", "first", F.coalesce("root", "node").alias("root"))
+
+    def classed(edges: DataFrame) -> DataFrame:
+        return nodes.join(connected(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    rooted = written(classed(_similar(df, nodes, pairs, id_col, text_col, shingle, similarity)), "first-classes", dictionary=False)
+    more = _left_out(df, rooted, id_col, text_col, shingle, similarity)
+    if more:
+        edges = rooted.select(F.col("root").alias("a"), F.col("node").alias("b"))
+        rooted = classed(reduce(DataFrame.unionByName, more, edges))
+    rooted = rooted.select("node", "first", "root")
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return rows.join(rooted.join(least, "root").select("node", "component_id"), "node").select("doc_id", "node", "component_id")
 

@@ -653,6 +653,55 @@ def test_near_classes_of_the_given_documents(spark):
     assert all(want[i] == want[c] for i, c in got.items())  # nothing unlike is linked
 
 
+def test_near_classes_leave_out_no_pair_that_meets_only_behind_others(spark):
+    """Each key of two similar texts has an unlike text of a smaller node in front."""
+    import xxhash
+
+    rng = np.random.default_rng(7)
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    node = lambda text: signed(xxhash.xxh64_intdigest(text.encode()))
+    while True:
+        w = [f"w{k}" for k in rng.integers(0, 10**6, 60)]
+        v = [*w[:30], "other", *w[31:]]
+        a, b = " ".join(w), " ".join(v)
+        if min(node(a), node(b)) > 0 and bin(simhash.fingerprint(a, 5) ^ simhash.fingerprint(b, 5)).count("1") > 3:
+            break
+    texts, in_front = [a, b], min(node(a), node(b))
+    for own in (w, v):
+        for k in range(len(own) - 4):
+            shingle = " ".join(own[k : k + 5])
+            texts.append(next(t for t in (f"{shingle} x{n}" for n in range(10**6)) if node(t) < in_front))
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got[0] == got[1] == 0 and got == brute_near(list(enumerate(texts)))
+
+
+@pytest.mark.parametrize("group, orders", [(32, 4), (1, 4), (2, 2)])
+def test_near_classes_equal_brute_force(spark, monkeypatch, group, orders):
+    """Texts of few different shingles, so that keys are frequent and put last."""
+    monkeypatch.setattr(simhash, "GROUP", group)
+    monkeypatch.setattr(simhash, "ORDERS", orders)
+    rng = np.random.default_rng(group)
+    blocks = [[f"b{k}w{n}" for n in range(int(rng.integers(3, 12)))] for k in range(25)]
+    texts = []
+    for _ in range(60):
+        own = [blocks[k] for k in rng.integers(0, len(blocks), int(rng.integers(2, 9)))]
+        for _ in range(3):
+            w = [x for block in own for x in block]
+            for _ in range(int(rng.integers(0, 3))):
+                w[int(rng.integers(0, len(w)))] = f"r{rng.integers(0, 1000)}"
+            texts.append(" ".join(w[: len(w) - int(rng.integers(0, 4))]))
+    want = brute_near(list(enumerate(texts)))
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == want and len(set(want.values())) < len(texts) - 10
+
+
+def test_prefixes_hold_a_member_of_every_similar_set():
+    for n in range(1, 400):
+        for m in range(n, 2 * n):
+            least = min(c for c in range(n + 1) if c * 1.0 / (n + m - c) >= 0.8) if 5 * n >= 4 * m else None
+            assert least is None or (n - least + 1 <= simhash.prefix(n, 0.8) and m - least + 1 <= simhash.prefix(m, 0.8) and 5 * least >= 4 * (n + m - least))
+
+
 def test_near_dedup_of_odd_rows(spark, docs):
     kept = simhash.filter_documents(docs)
     comp = brute_near(list(enumerate(TEXTS)))
