@@ -122,6 +122,16 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("event_id").alias("line_no"), line.alias("value"))
 
 
+#: Partitions a core of rows that are small to read and long to work on.
+WAVES = 4
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt evenly over all cores: a file is split by its bytes, and a few
+    megabytes of events make minutes of work."""
+    return rows.repartition(WAVES * rows.sparkSession.sparkContext.defaultParallelism)
+
+
 #: The expected reasons of ``raw_lines``, by event_id % 20.
 REASONS = """raw AS (SELECT event_id, event_id % 20 AS k, CASE event_id % 20 WHEN 6 THEN NULL WHEN 12 THEN '12' ELSE 'b' || (event_id % 3) END AS batch_id,
   CASE event_id % 20 WHEN 0 THEN 'invalid_observed_at' WHEN 1 THEN CASE WHEN event_id % 7 <> 0 THEN 'unsupported_temperature_unit' ELSE '' END WHEN 2 THEN 'invalid_temperature_value'
@@ -157,4 +167,4 @@ def raw_lines(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
     ingested = F.when(k == 11, "2024-02-30T00:00:00Z").otherwise("2029-12-31T00:00:00Z")
     line = F.to_json(F.struct(F.concat(F.lit("b"), (i % 3).cast("string")).alias("batch_id"), ingested.alias("ingested_at"), told.alias("station_id"), raw.alias("raw_json")))
     line = F.when(k == 6, "not an envelope").when(k == 12, F.regexp_replace(line, '"batch_id":"b[0-9]"', '"batch_id":12')).otherwise(line)
-    return table(spark, sf_dir, "events").select(*more, F.explode(F.array_repeat(line, F.when(k == 16, 2).otherwise(1))).alias("value"))
+    return spread(table(spark, sf_dir, "events")).select(*more, F.explode(F.array_repeat(line, F.when(k == 16, 2).otherwise(1))).alias("value"))

@@ -31,3 +31,12 @@ def test_plans_have_no_python(spark):
 
 def test_winner_limits_groups_before_the_shuffle(spark):
     assert "WindowGroupLimit" in queries.QUERIES["dedup_winner"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_of_one_small_file_go_to_all_cores(spark):
+    from obsflow.plans import mapping
+
+    assert mapping.table(spark, SMALL, "events").rdd.getNumPartitions() == 1
+    lines = mapping.raw_lines(spark, SMALL)
+    sizes = lines.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(sizes) >= spark.sparkContext.defaultParallelism and max(sizes) < 2 * min(sizes)
