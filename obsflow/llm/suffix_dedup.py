@@ -15,8 +15,8 @@ depends on the window's bytes alone.  A run of windows of one anchor is a
 string, and equal windows lie in strings of equal gram.  Strings whose gram
 stands nowhere else are dropped before any text moves.  Equal strings become
 one, the first, in a task before the shuffle and again after it; the others go
-whole.  Only different strings of one gram are fetched and compared by suffix
-order.  A gram with more than ``MOST`` different strings is too hot for one
+whole.  Only different strings of one gram are fetched, cut to the windows whose
+halves stand twice in their bucket, and compared by suffix order.  A gram with more than ``MOST`` different strings is too hot for one
 bucket: its strings are cut into single windows, whose hashes are their keys.
 
 Grams and strings are told apart by 64 bits each, 128 together.
@@ -197,32 +197,37 @@ def windows(fetched_strings: DataFrame, least: int) -> DataFrame:
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     """The suffixes of strings, each ended by a 0, in order of their first
-    ``depth`` symbols at least; what is alike so far stands in any order."""
+    ``depth`` symbols at least; equal suffixes stand in order of their places, and
+    what is alike so far in any order."""
     n, packed = len(symbols), 7
     key, going = np.zeros(n, np.int64), np.ones(n, bool)
     for k in range(packed):  # seven symbols of nine bits, none after a string's end
         here = np.zeros(n, np.int64)
         here[: n - k] = symbols[k:]
         going &= here > 0
-        key = key << 9 | np.where(going, here, 0)
-    order = np.argsort(key, kind="stable")
+        key <<= 9
+        key |= here * going
+    order = np.argsort(key)
     sorted_key = key[order]
-    new = np.ones(n, bool)
-    new[1:] = sorted_key[1:] != sorted_key[:-1]
+    new = np.append(True, sorted_key[1:] != sorted_key[:-1])
     rank, h = np.empty(n, np.int64), packed
-    while True:
-        rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        if h >= depth:
-            return order
-        tied = np.nonzero(~new | np.append(~new[1:], False))[0]
-        if not len(tied):
-            return order
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    ends = np.nonzero(symbols == 0)[0]
+    end = np.repeat(ends, np.diff(ends, prepend=-1))
+    tied = np.nonzero(~new | np.append(~new[1:], False))[0]
+    while h < depth and len(tied):
         some = order[tied]
-        pair = rank[some] * n + rank[np.minimum(some + h, n - 1)]
-        sort = np.argsort(pair, kind="stable")
-        order[tied], pair = some[sort], pair[sort]
-        new[tied[1:]] = pair[1:] != pair[:-1]
+        then = some + h
+        # What has ended within h symbols is told apart by its place.
+        pair = rank[some] * n + np.where(then > end[some], some, rank[np.minimum(then, n - 1)])
+        sort = np.argsort(pair)
+        some, pair = some[sort], pair[sort]
+        order[tied] = some
+        new = np.append(True, pair[1:] != pair[:-1])
+        rank[some] = np.maximum.accumulate(np.where(new, tied, 0))
+        tied = tied[~new | np.append(~new[1:], False)]
         h *= 2
+    return order
 
 
 def common_prefixes(symbols: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
@@ -233,26 +238,33 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray, least: int) -> np.nd
     symbols before them it gives the intervals of words one longer.  The end of
     an interval of words of length l + 1 bounds a common prefix of length l,
     unless a shorter one was found there, and only such intervals go on.
+    Intervals of one suffix need no sort.
     """
     n = len(order)
     at = np.empty(n, np.int64)
     at[order] = np.arange(n)
-    before, back = symbols[order - 1].astype(np.int64), at[order - 1]  # the transform, and where its suffixes stand
+    bits = n.bit_length()
+    mask = (1 << bits) - 1
+    # The transform, and where its suffixes stand, in one number.
+    before = symbols[order - 1].astype(np.int64) << bits | at[order - 1]
     length = np.full(n + 1, -1, np.int64)
     length[0] = length[n] = 0
     ends = np.nonzero(symbols[order] == 0)[0]  # every string's end is unlike all others
     length[ends] = length[ends + 1] = 0
     low, high = np.zeros(1, np.int64), np.full(1, n - 1)
     for level in range(least):
-        size = high - low + 1
+        several = high > low
+        alone = before[low[~several]]
+        alone = alone[alone > mask] & mask
+        low, size = low[several], (high - low + 1)[several]
         nth = np.repeat(np.arange(len(low)), size)
-        place = np.arange(len(nth)) - np.repeat(np.cumsum(size) - size, size) + low[nth]
-        code = nth << 9 | before[place]
-        sort = np.argsort(code, kind="stable")
-        code, to = code[sort], back[place[sort]]
-        first = np.nonzero(np.append(True, code[1:] != code[:-1]))[0]
-        some = code[first] & 511 > 0
-        low, high = np.minimum.reduceat(to, first)[some], np.maximum.reduceat(to, first)[some]
+        place = np.arange(len(nth)) + np.repeat(low - np.cumsum(size) + size, size)
+        to = np.sort(nth << bits + 9 | before[place])
+        word = to >> bits
+        last = np.nonzero(np.append(word[1:] != word[:-1], np.ones(min(1, len(word)), bool)))[0]
+        first = np.append(0, last[:-1] + 1)[: len(last)]
+        some = word[first] & 511 > 0
+        low, high = np.append(to[first[some]] & mask, alone), np.append(to[last[some]] & mask, alone)
         fresh = length[high + 1] < 0
         low, high = low[fresh], high[fresh]
         length[high + 1] = level
@@ -263,9 +275,32 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray, least: int) -> np.nd
     return length[:n]
 
 
+def promising(data: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(string, first, last) of runs of windows that may stand twice: each gram of
+    half their length that they hold does, by its hash."""
+    size = np.array([len(d) for d in data], np.int64)
+    half = least // 2
+    hashes = _gram_hashes(np.frombuffer(b"".join(data), np.uint8), half)
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    once = np.ones(len(hashes), np.int64)
+    once[order[1:][same]] = once[order[:-1][same]] = 0
+    seen = np.concatenate([[0], np.cumsum(once)])
+    begin = np.cumsum(size) - size
+    n = size - least + 1
+    string = np.repeat(np.arange(len(size)), n)
+    place = np.arange(len(string)) + np.repeat(begin - np.cumsum(n) + n, n)
+    there = np.nonzero(seen[place + least - half + 1] == seen[place])[0]
+    string, place = string[there], place[there] - begin[string[there]]
+    first = np.nonzero(np.append(np.ones(min(1, len(there)), bool), (np.diff(there) > 1) | (np.diff(string) > 0)))[0]
+    return string[first], place[first], place[np.append(first[1:], len(there))[: len(first)] - 1]
+
+
 def repeats(data: list[bytes], row: np.ndarray, start: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(string, first, last) of runs of windows of strings that start at (row,
     start), each window equal to one that starts earlier."""
+    if not data:
+        return (np.zeros(0, np.int64),) * 3
     size = np.array([len(d) for d in data], np.int64)
     ends = np.cumsum(size + 1)
     symbols = np.frombuffer(b"\0".join(data) + b"\0", np.uint8).astype(np.uint16) + np.uint16(1)
@@ -295,8 +330,11 @@ def compared(strings_of_keys: DataFrame, least: int, bucket_bytes: int = BUCKET_
     buckets = max(1, math.ceil(total / bucket_bytes))
 
     def run(got: pa.Table) -> pa.Table:
-        row, start = got["row"].to_numpy(), got["start"].to_numpy()
-        string, first, last = repeats(got["data"].to_pylist(), row, start, least)
+        data, row, start = got["data"].to_pylist(), got["row"].to_numpy(), got["start"].to_numpy()
+        string, first, last = promising(data, least)
+        data = [data[k][i : j + least] for k, i, j in zip(string.tolist(), first.tolist(), last.tolist(), strict=True)]
+        row, start = row[string], start[string] + first
+        string, first, last = repeats(data, row, start, least)
         out = pa.table({"row": row[string], "start": start[string] + first, "size": (last - first + least).astype(np.int32)})
         pa.default_memory_pool().release_unused()
         return out

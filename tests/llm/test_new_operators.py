@@ -102,6 +102,39 @@ def test_common_prefixes_are_the_suffixes_own():
         assert got[k] == (n if n < 12 else -1)
 
 
+def test_common_prefixes_of_equal_strings():
+    """Equal suffixes stand in one order at every length, whatever follows them."""
+    r = random.Random(6)
+    kinds = [bytes(r.choice(b"ab") for _ in range(n)) for n in (3, 9, 11, 30, 31)]
+    data = [r.choice(kinds) for _ in range(400)]
+    symbols = np.concatenate([np.append(np.frombuffer(d, np.uint8).astype(np.uint16) + 1, 0) for d in data]).astype(np.uint16)
+    order = suffix_dedup.suffix_order(symbols, 20)
+    got = suffix_dedup.common_prefixes(symbols, order, 20)
+    ends = np.nonzero(symbols == 0)[0]
+    suffix = [symbols[i : ends[np.searchsorted(ends, i)]].tolist() for i in order]
+    for k in range(1, len(order)):
+        n = next((j for j, (x, y) in enumerate(zip(suffix[k - 1], suffix[k])) if x != y), min(len(suffix[k - 1]), len(suffix[k])))  # noqa: B905
+        assert got[k] == (n if n < 20 else -1)
+
+
+@pytest.mark.parametrize("least", [2, 7, 40, 100])
+def test_only_windows_whose_halves_repeat_are_put_in_order(least):
+    r = random.Random(least)
+    line = lambda n: bytes(r.choice(b"abcdefgh") for _ in range(n))
+    shared = [line(2 * least) for _ in range(3)]
+    data = [line(r.randint(least, 3 * least)) for _ in range(60)] + [line(least) + r.choice(shared)[r.randint(0, least) :] + line(least) for _ in range(8)]
+    windows = [(k, i, d[i : i + least]) for k, d in enumerate(data) for i in range(len(d) - least + 1)]
+    times = Counter(w for _, _, w in windows)
+    string, first, last = suffix_dedup.promising(data, least)
+    kept = {(k, i) for k, a, b in zip(string.tolist(), first.tolist(), last.tolist(), strict=True) for i in range(a, b + 1)}
+    assert {(k, i) for k, i, w in windows if times[w] > 1} <= kept
+    halves = Counter(h for d in data for h in {d[i : i + least // 2] for i in range(len(d))})
+    if least >= 40:  # what is left has halves of the shared texts alone
+        assert 0 < len(kept) < len(windows) / 4 and all(halves[data[k][i : i + least // 2]] > 1 for k, i in kept)
+    alone = suffix_dedup.promising([bytes(range(256))], 100)
+    assert [len(x) for x in alone] == [0, 0, 0] and [len(x) for x in suffix_dedup.repeats([], alone[0], alone[0], 100)] == [0, 0, 0]
+
+
 # Phrases.
 
 
