@@ -59,6 +59,9 @@ SMALLEST = 6
 GROUP = 32
 #: Orders of shingles tried; in the last one keys of any size are paired.
 ORDERS = 4
+#: Parts in which shingle sets are put in a new order, one after the other, and
+#: the number of sets from which this is done.
+PARTS, MANY_SETS = 4, 5_000
 #: Shingles whose bits are counted at a time.
 CHUNK = 1 << 15
 
@@ -256,16 +259,19 @@ def shingle_sets(df: DataFrame, id_col: str, text_col: str, shingle: int) -> Dat
 
 
 def _sets(df: DataFrame, nodes: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """The shingle sets of the nodes in ``wanted``, from one document each."""
+    """The shingle sets of the nodes in ``wanted``, from one document each.  Where
+    ids aren't repeated, these are the sets of the documents read, so nothing
+    moves them."""
     first = written(wanted.distinct().join(nodes.select("node", "first"), "node").select("node", F.col("first").alias("_first")), "first-documents")
     texts = df.join(_small(first.select("_first").distinct()), df[id_col] == F.col("_first"), "left_semi")
     with small_batches(df.sparkSession):
-        sets = written(shingle_sets(texts, id_col, text_col, shingle).join(_small(first.select("node")), "node", "left_semi"), "shingle-sets", dictionary=False)
-    if sets.count() == first.count():
-        return sets
-    once = written(sets.dropDuplicates(["node"]), "shingle-sets", dictionary=False)  # of repeated ids
-    dropped(sets)
-    return once
+        sets = written(shingle_sets(texts, id_col, text_col, shingle), "shingle-sets", dictionary=False)
+    if sets.count() != first.count():  # of repeated ids
+        every = sets
+        sets = written(every.join(_small(first.select("node")), "node", "left_semi").dropDuplicates(["node"]), "shingle-sets", dictionary=False)
+        dropped(every)
+    dropped(first)
+    return sets
 
 
 def _similar(df: DataFrame, nodes: DataFrame, pairs: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> DataFrame:
@@ -296,11 +302,27 @@ def _across(keyed: DataFrame, similarity: float) -> DataFrame:
     return pairs.filter(F.col("n") >= F.col("least") - 1e-6).select("a", "b")
 
 
+def _put_last(rooted: DataFrame, sets: DataFrame, holders: DataFrame, hot: DataFrame, similarity: float) -> list[DataFrame]:
+    """The holders' prefixes in the order that has the hot keys last.  Only their
+    sets are in the shuffle, of many a part at a time."""
+    parts = PARTS if holders.count() >= MANY_SETS else 1
+    holders, hot, out = _small(holders), _small(hot), []
+    for k in range(parts):
+        some = sets.filter(F.pmod(F.xxhash64("node"), F.lit(parts)) == k).join(holders, "node", "left_semi")
+        last = some.select("node", F.explode("shingles").alias("key")).join(hot, "key", "left_semi")
+        last = last.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("_last"))
+        order = F.concat(F.array_except("shingles", "_last"), "_last")
+        front = F.slice(order, F.lit(1), (F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-9) + 1).cast("int"))
+        out.append(written(rooted.select("node", "root", "size").join(last, "node").join(some, "node").select("node", "root", "size", front.alias("keys")), "prefixes", dictionary=False))
+    return out
+
+
 def _left_out(df: DataFrame, rooted: DataFrame, id_col: str, text_col: str, shingle: int, similarity: float) -> list[DataFrame]:
     """All pairs of at least that similarity between different classes.  rooted:
     node, root, first, size and keys.  A pair that shares a frequent key meets in a
     later order, so what others it shares needn't suffice in this one."""
     found: list[DataFrame] = []
+    parts: list[DataFrame] = []
     rest, hot, sets = rooted, None, None
     for k in range(ORDERS):
         keyed = rest.select(F.explode("keys").alias("key"), "node", "root", "size", F.size("keys").alias("front"))
@@ -312,6 +334,7 @@ def _left_out(df: DataFrame, rooted: DataFrame, id_col: str, text_col: str, shin
         dropped(met)
         if not pairs.isEmpty():
             found.append(_similar(df, rooted, pairs, id_col, text_col, shingle, similarity))
+        dropped(pairs)
         many = keyed.join(_small(several.filter(F.col("n") > GROUP).select("key")), "key", "left_semi")
         many = many.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).filter("least < most")
         many = written(many.select("key"), "frequent-keys", dictionary=False)
@@ -322,14 +345,13 @@ def _left_out(df: DataFrame, rooted: DataFrame, id_col: str, text_col: str, shin
         holders = written(keyed.join(_small(many), "key", "left_semi").select("node").distinct(), "holders-of-frequent-keys", dictionary=False)
         if sets is None:
             sets = _sets(df, rooted, holders, id_col, text_col, shingle)
-        put_last = sets.join(_small(holders), "node", "left_semi").select("node", F.explode("shingles").alias("key")).join(_small(hot), "key", "left_semi")
-        put_last = put_last.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("_last"))
-        order = F.concat(F.array_except("shingles", "_last"), "_last")
-        front = F.slice(order, F.lit(1), (F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - 1e-9) + 1).cast("int"))
-        before = rest
-        rest = written(rooted.select("node", "root", "size").join(put_last, "node").join(sets, "node").select("node", "root", "size", front.alias("keys")), "prefixes", dictionary=False)
-        if before is not rooted:
-            dropped(before)
+        for part in parts:
+            dropped(part)
+        parts = _put_last(rooted, sets, holders, hot, similarity)
+        dropped(holders)
+        rest = reduce(DataFrame.unionByName, parts)
+    for part in parts:
+        dropped(part)
     if sets is not None:
         dropped(sets)
     return found
@@ -342,6 +364,8 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     with small_batches(df.sparkSession):
         rows = written(sketches(df, id_col, text_col, shingle, similarity), "sketches", dictionary=False)
     nodes = written(rows.groupBy("node").agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in ("fp", "size", "keys")]), "sketch-nodes", dictionary=False)
+    ids = written(rows.select("doc_id", "node"), "sketched-ids", dictionary=False)
+    dropped(rows)
     hubs = nodes.groupBy("fp").agg(F.min("node").alias("hub"))
     equal = nodes.join(hubs, "fp").select(F.col("hub").alias("a"), F.col("node").alias("b"))
     met = links(hubs.select("fp"))
@@ -351,17 +375,23 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shared = keyed.join(least, "key").select("a", F.col("node").alias("b"))
     pairs = written(equal.unionByName(close).unionByName(shared).filter("a != b").distinct(), "candidates")
 
-    def classed(edges: DataFrame) -> DataFrame:
-        return nodes.join(connected(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    def classed(some: DataFrame, edges: DataFrame) -> DataFrame:
+        return some.join(connected(edges), "node", "left").withColumn("root", F.coalesce("root", "node"))
 
-    rooted = written(classed(_similar(df, nodes, pairs, id_col, text_col, shingle, similarity)), "first-classes", dictionary=False)
+    near = _similar(df, nodes, pairs, id_col, text_col, shingle, similarity)
+    rooted = written(classed(nodes, near), "first-classes", dictionary=False)
+    for t in (nodes, pairs, near):
+        dropped(t)
     more = _left_out(df, rooted, id_col, text_col, shingle, similarity)
+    final = rooted.select("node", "first", "root")
     if more:
         edges = rooted.select(F.col("root").alias("a"), F.col("node").alias("b"))
-        rooted = classed(reduce(DataFrame.unionByName, more, edges))
-    rooted = rooted.select("node", "first", "root")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.join(rooted.join(least, "root").select("node", "component_id"), "node").select("doc_id", "node", "component_id")
+        final = classed(rooted.select("node", "first"), reduce(DataFrame.unionByName, more, edges))
+    least = final.groupBy("root").agg(F.min("first").alias("component_id"))
+    out = written(ids.join(final.join(least, "root").select("node", "component_id"), "node").select("doc_id", "node", "component_id"), "near-classes", dictionary=False)
+    for t in (ids, rooted, *more):
+        dropped(t)
+    return out
 
 
 def filter_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:

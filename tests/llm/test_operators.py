@@ -14,7 +14,7 @@ import public_tokenizers as P
 import pytest
 from pyspark.sql import functions as F
 
-from obsflow.llm import bpe, components, covertree, cuts, langid, licenses, line_dedup, lm, packing, quality, simhash, warc
+from obsflow.llm import bpe, common, components, covertree, cuts, langid, licenses, line_dedup, lm, packing, quality, simhash, warc
 
 SPACE = "\x20\t\n\x0b\f\r"
 TEXTS = [
@@ -695,6 +695,21 @@ def test_near_classes_equal_brute_force(spark, monkeypatch, group, orders):
     assert got == want and len(set(want.values())) < len(texts) - 10
 
 
+def test_near_classes_in_parts_leave_no_tables(spark, tmp_path, monkeypatch):
+    """Sets are put in a new order in parts; what was written on the way goes."""
+    monkeypatch.setattr(simhash, "GROUP", 1)
+    monkeypatch.setattr(simhash, "MANY_SETS", 1)
+    monkeypatch.setattr("obsflow.llm.common.shared_dir", lambda spark: f"file://{tmp_path}")
+    made = []
+    monkeypatch.setattr(simhash, "written", lambda df, label, **kw: (made.append(label), common.written(df, label, **kw))[1])
+    texts = [" ".join(f"b{k % 7}w{n}" for n in range(30)) + f" r{k % 3} tail" * (k % 4) for k in range(40)]
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_near(rows) and made.count("prefixes") % simhash.PARTS == 0 < made.count("prefixes")
+    left = {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir() if p.is_dir()}
+    assert not left & {"sketches", "sketched-ids", "sketch-nodes", "candidates", "first-classes", "shingle-sets", "first-documents", "prefixes", "similar"} and "near-classes" in left
+
+
 def test_prefixes_hold_a_member_of_every_similar_set():
     for n in range(1, 400):
         for m in range(n, 2 * n):
