@@ -22,6 +22,10 @@ distinct pair of a batch, whatever is frequent is met once a batch, and no
 count goes through the driver.  The number of buckets grows with the text, so
 that a bucket stays small.
 
+A batch meets its answers in a co-group of its own, once for the weights and once
+for the scores.  So no task, row or file needs memory for more than a few batches,
+however many of them are in a partition.
+
 Words are told apart by their 64-bit XXH64, pairs by a mix of both words' keys.
 
 Defined results: a null or empty text is one end token.  One row comes back for
@@ -33,7 +37,7 @@ token has probability 1.  Other columns aren't read.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -42,7 +46,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_CHARS, dropped, id_mod, id_mod_py, table, written
+from .common import WS_CHARS, dropped, id_mod, id_mod_py, small_batches, table, written
 
 #: Remainders of crc32(id) modulo FOLDS: held out from training, and held out
 #: within training for the weights.
@@ -50,6 +54,8 @@ FOLDS, HELD_OUT, DEV = 10, 0, 1
 #: Rows and bytes of text of a batch at most (one longer text is a batch); they
 #: bound a worker's memory.
 ROWS, BYTES = 2048, 4 << 20
+#: Batches of texts that Python gets at a time, where it doesn't get them one by one.
+TOGETHER = 8
 #: Bytes of text for which there is a bucket of counts.
 BUCKET_BYTES = 16 << 20
 ROUNDS = 30
@@ -141,15 +147,24 @@ def _unpack_keys(data: bytes, n: int) -> np.ndarray:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of (id, text) of at most ROWS rows and, but for one row, BYTES."""
+    """Batches of (id, text) of at most ROWS rows and, but for one row, BYTES; what
+    is left of one goes with the next."""
+    held, rows, size = [], 0, 0
     for whole in batches:
-        size = pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy()
-        ends = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(whole.column(1)), 0).to_numpy(), dtype=np.int64)])
         at = 0
         while at < whole.num_rows:
-            to = min(at + ROWS, max(at + 1, int(np.searchsorted(ends, ends[at] + BYTES, side="right")) - 1))
-            yield whole.slice(at, to - at)
+            to = min(at + ROWS - rows, int(np.searchsorted(ends, ends[at] + BYTES - size, side="right")) - 1)
+            to = max(to, at if held else at + 1)
+            if to > at:
+                held.append(whole.slice(at, to - at))
+                rows, size = rows + to - at, size + int(ends[to] - ends[at])
+            if to < whole.num_rows:
+                yield pa.concat_batches(held)
+                held, rows, size = [], 0, 0
             at = to
+    if held:
+        yield pa.concat_batches(held)
 
 
 def batched(rows: DataFrame) -> DataFrame:
@@ -169,7 +184,7 @@ def batched(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, f"batch string, ids array<{id_type}>, ends binary, codes binary, keys binary, n_tokens long, n_keys long")
 
 
-def _tokens_of(b: pa.RecordBatch, row: int) -> tuple[pa.Array, Tokens]:
+def _tokens_of(b: pa.RecordBatch | pa.Table, row: int) -> tuple[pa.Array, Tokens]:
     value = lambda name: b.column(name)[row].as_py()
     ids = b.column("ids")[row].values
     return ids, Tokens(_unpack_keys(value("keys"), value("n_keys")), _unpack(value("codes"), value("n_tokens"), np.uint32).astype(np.int64), _unpack(value("ends"), len(ids) + 1, np.int64))
@@ -251,21 +266,42 @@ class Counted:
     start_dev: int
 
 
-def _counted(b: pa.RecordBatch) -> Iterator[Counted]:
-    for row in range(b.num_rows):
-        ids, t = _tokens_of(b, row)
-        blocks = sorted(b.column("totals")[row].as_py(), key=lambda x: x["bucket"])
-        read = lambda kind, what, blocks=blocks: np.concatenate([_unpack(x[f"{kind}_{what}"], x[f"n_{kind}"], np.int64) for x in blocks])
-        h, w, at, key = t.pairs()
-        order = np.argsort(key)
-        place = int(np.searchsorted(key[order], _start()))
-        pairs = {}
-        for what in ("n", "dev"):
-            got = read("pairs", what)
-            pairs[what] = np.empty(len(key), np.int64)
-            pairs[what][order] = np.delete(got, place)
-            pairs[f"start_{what}"] = int(got[place])
-        yield Counted(ids, t, read("words", "n"), read("words", "dev"), h, w, at, pairs["n"], pairs["dev"], pairs["start_n"], pairs["start_dev"])
+def _counted(batch: pa.Table, totals: pa.Table) -> Counted:
+    """A batch, a table of one row, with the blocks that answer it."""
+    ids, t = _tokens_of(batch, 0)
+    blocks = sorted(totals.to_pylist(), key=lambda x: x["bucket"])
+    read = lambda kind, what: np.concatenate([_unpack(x[f"{kind}_{what}"], x[f"n_{kind}"], np.int64) for x in blocks])
+    h, w, at, key = t.pairs()
+    order = np.argsort(key)
+    place = int(np.searchsorted(key[order], _start()))
+    pairs = {}
+    for what in ("n", "dev"):
+        got = read("pairs", what)
+        pairs[what] = np.empty(len(key), np.int64)
+        pairs[what][order] = np.delete(got, place)
+        pairs[f"start_{what}"] = int(got[place])
+    return Counted(ids, t, read("words", "n"), read("words", "dev"), h, w, at, pairs["n"], pairs["dev"], pairs["start_n"], pairs["start_dev"])
+
+
+@dataclass
+class CountedTexts:
+    """The batches of all texts and the blocks that answer them, both written."""
+
+    texts: DataFrame
+    totals: DataFrame
+
+    def each(self, run: Callable[[Counted], pa.Table], schema: str) -> DataFrame:
+        """What ``run`` makes of every batch.  A batch and its blocks come to Python by
+        themselves: as one row of a join, or as one batch of rows, a partition's
+        batches would stand in memory together."""
+
+        def of(batch: pa.Table, totals: pa.Table) -> pa.Table:
+            try:
+                return run(_counted(batch, totals))
+            finally:
+                pa.default_memory_pool().release_unused()
+
+        return self.texts.groupBy("batch").cogroup(self.totals.groupBy("batch")).applyInArrow(of, schema)
 
 
 def bucket_of(context_counts: np.ndarray) -> np.ndarray:
@@ -273,24 +309,22 @@ def bucket_of(context_counts: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(context_counts + 1.0)).astype(np.int64)
 
 
-def held_out_events(counted: DataFrame) -> DataFrame:
+def held_out_events(counted: CountedTexts) -> DataFrame:
     """b, d, p2 and w of the DEV rows' pairs: the bucket of c(h), how many there
     are, and their mean c(h, w) / c(h) and c(w), all without the DEV rows."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for c in _counted(b):
-                fold = np.array([i is not None and id_mod_py(i, FOLDS) == DEV for i in c.ids.to_pylist()], bool)
-                d = np.bincount(c.at, fold[c.t.text()], len(c.context))
-                k = np.nonzero(d)[0]
-                d, h = d[k], np.append(c.words_n - c.words_dev, c.start_n - c.start_dev)[c.context[k]]
-                p2, w = (c.pairs_n - c.pairs_dev)[k] / np.maximum(1, h), (c.words_n - c.words_dev)[c.word[k]].astype(float)
-                order = [np.where(x > 0, np.floor(FINE * np.log2(np.maximum(x, 1e-300))), -4096).astype(np.int64) for x in (p2, w)]
-                cell, back = np.unique(np.stack([bucket_of(h), *order], 1), axis=0, return_inverse=True)
-                total = lambda x, back=back, n=len(cell): np.bincount(back.ravel(), x, n).astype(float)
-                yield pa.RecordBatch.from_arrays([*[pa.array(cell[:, j]) for j in range(3)], pa.array(total(d)), pa.array(total(d * p2)), pa.array(total(d * w))], names=["b", "o2", "o1", "d", "p2", "w"])
-
-    cells = counted.mapInArrow(run, "b long, o2 long, o1 long, d double, p2 double, w double")
+    def run(c: Counted) -> pa.Table:
+        fold = np.array([i is not None and id_mod_py(i, FOLDS) == DEV for i in c.ids.to_pylist()], bool)
+        d = np.bincount(c.at, fold[c.t.text()], len(c.context))
+        k = np.nonzero(d)[0]
+        d, h = d[k], np.append(c.words_n - c.words_dev, c.start_n - c.start_dev)[c.context[k]]
+        p2, w = (c.pairs_n - c.pairs_dev)[k] / np.maximum(1, h), (c.words_n - c.words_dev)[c.word[k]].astype(float)
+        order = [np.where(x > 0, np.floor(FINE * np.log2(np.maximum(x, 1e-300))), -4096).astype(np.int64) for x in (p2, w)]
+        cell, back = np.unique(np.stack([bucket_of(h), *order], 1), axis=0, return_inverse=True)
+        total = lambda x: np.bincount(back.ravel(), x, len(cell)).astype(float)
+        return pa.table([*[pa.array(cell[:, j]) for j in range(3)], pa.array(total(d)), pa.array(total(d * p2)), pa.array(total(d * w))], names=["b", "o2", "o1", "d", "p2", "w"])
+
+    cells = counted.each(run, "b long, o2 long, o1 long, d double, p2 double, w double")
     summed = cells.groupBy("b", "o2", "o1").agg(*[F.sum(c).alias(c) for c in ("d", "p2", "w")])
     return summed.select("b", "d", (F.col("p2") / F.col("d")).alias("p2"), (F.col("w") / F.col("d")).alias("w"))
 
@@ -331,47 +365,45 @@ class Model:
         return np.log10(f[:, 0] * pair / np.maximum(1, context) + f[:, 1] * word / self.tokens + f[:, 2] / (self.types + 1))
 
 
-def counted_texts(rows: DataFrame) -> tuple[DataFrame, dict]:
-    """The batches of all texts with their counts, written; and tokens, tokens_dev
-    and types of the training rows."""
+def counted_texts(rows: DataFrame) -> tuple[CountedTexts, dict]:
+    """The batches of all texts with their counts; and tokens, tokens_dev and types
+    of the training rows."""
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     buckets = max(1, math.ceil(size / BUCKET_BYTES))
-    texts = written(batched(rows), "token-batches")
-    totals = written(asked(texts, buckets).groupBy("bucket").applyInArrow(_sum_bucket, TOTALS), "count-totals")
+    with small_batches(rows.sparkSession):
+        texts = written(batched(rows), "token-batches", group_rows=1)
+    with small_batches(rows.sparkSession, TOGETHER):
+        totals = written(asked(texts, buckets).groupBy("bucket").applyInArrow(_sum_bucket, TOTALS), "count-totals")
     stats = totals.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "tokens_dev", "types")]).first().asDict()
-    answers = totals.groupBy("batch").agg(F.collect_list(F.struct("bucket", "n_words", "n_pairs", "words_n", "words_dev", "pairs_n", "pairs_dev")).alias("totals"))
-    out = written(texts.join(answers, "batch"), "counted-texts")
-    dropped(texts)
-    dropped(totals)
-    return out, stats
+    return CountedTexts(texts, totals.drop("tokens", "tokens_dev", "types")), stats
 
 
-def fit(counted: DataFrame, stats: dict) -> Model:
+def fit(counted: CountedTexts, stats: dict) -> Model:
     """The mixture weights; at most one event for each cell of (bucket, order of
     p2, order of w) reaches the driver, whatever the input."""
-    got = held_out_events(counted).toArrow()
+    # Written, so that the shuffled batches go before the scores shuffle them again.
+    events = written(held_out_events(counted), "held-out-events")
+    got = events.toArrow()
+    dropped(events)
     b, d, p2, w = (got[c].to_numpy() for c in ("b", "d", "p2", "w"))
     weights = learn_weights(b.astype(np.int64), p2, w / max(1, stats["tokens"] - stats["tokens_dev"]), 1 / (stats["types"] + 1), d)
     return Model(weights, stats["tokens"], stats["types"])
 
 
-def score(counted: DataFrame, model: Model) -> DataFrame:
+def score(counted: CountedTexts, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score of every text."""
-    shared = counted.sparkSession.sparkContext.broadcast(model)
-    id_type = counted.schema["ids"].dataType.elementType.simpleString()
+    shared = counted.texts.sparkSession.sparkContext.broadcast(model)
+    id_type = counted.texts.schema["ids"].dataType.elementType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(c: Counted) -> pa.Table:
         m = shared.value
-        for b in batches:
-            for c in _counted(b):
-                text, n = c.t.text(), c.words_n[c.t.code]
-                logs = m.log(c.pairs_n, np.append(c.words_n, c.start_n)[c.context], c.words_n[c.word])
-                sums = [np.bincount(text, x, len(c.ids)) for x in (n > 0, m.base(c.words_n)[c.t.code], logs[c.at])]
-                columns = [c.ids, pa.array(np.diff(c.t.ends)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
-                pa.default_memory_pool().release_unused()
+        text, n = c.t.text(), c.words_n[c.t.code]
+        logs = m.log(c.pairs_n, np.append(c.words_n, c.start_n)[c.context], c.words_n[c.word])
+        sums = [np.bincount(text, x, len(c.ids)) for x in (n > 0, m.base(c.words_n)[c.t.code], logs[c.at])]
+        columns = [c.ids, pa.array(np.diff(c.t.ends)), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2])]
+        return pa.table(columns, names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
-    return counted.mapInArrow(run, f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double")
+    return counted.each(run, f"doc_id {id_type}, n_tokens long, n_known long, base_score double, score double")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -11,6 +11,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -556,6 +557,39 @@ def test_lm_without_training_rows(spark):
     assert lm.score_documents(df.limit(0)).count() == 0
 
 
+def test_lm_batches_never_stand_in_memory_together(spark, tmp_path, monkeypatch):
+    """No row group, which writers and readers hold whole, has two batches of a
+    partition or what all buckets answered to several."""
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr("obsflow.llm.common.shared_dir", lambda spark: f"file://{tmp_path}")
+    n = 20 * lm.ROWS + 1
+    df = spark.range(0, n, 1, 1).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("a"), F.col("id") % 97, F.col("id") % 89, F.lit("b")).alias("text"))
+    got = lm.score_documents(df)
+    assert got.count() == n and got.select("doc_id").distinct().count() == n
+    files = [pq.ParquetFile(p) for p in tmp_path.rglob("*.parquet")]
+    whole = {"codes", "totals"}  # columns of a batch's own size
+    rows = [f.metadata.row_group(k).num_rows for f in files if whole & set(f.schema_arrow.names) for k in range(f.num_row_groups)]
+    assert rows == [1] * 21
+
+
+def test_lm_slices_are_full_and_keep_all_rows(monkeypatch):
+    monkeypatch.setattr(lm, "ROWS", 4)
+    monkeypatch.setattr(lm, "BYTES", 10)
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        sizes = [None if s < 0 else int(s) for s in rng.integers(-1, 14, rng.integers(0, 30))]
+        ids, texts = list(range(len(sizes))), [None if s is None else "x" * s for s in sizes]
+        cuts = [0, *sorted(rng.integers(0, len(ids) + 1, 4)), len(ids)]
+        batches = [pa.RecordBatch.from_arrays([pa.array(ids[i:j], pa.int64()), pa.array(texts[i:j], pa.string())], names=["id", "text"]) for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        got = [b.to_pydict() for b in lm._slices(iter(batches))]
+        assert [i for b in got for i in b["id"]] == ids and [t for b in got for t in b["text"]] == texts
+        size = lambda b: sum(len(t or "") for t in b["text"])
+        assert all(0 < len(b["id"]) <= 4 and (size(b) <= 10 or len(b["id"]) == 1) for b in got)
+        # The first row of the next one wouldn't have fitted.
+        assert all(len(a["id"]) == 4 or size(a) + len(b["text"][0] or "") > 10 for a, b in zip(got, got[1:], strict=False))
+
+
 def test_lm_learns_weights_exactly_from_exact_events():
     rng = np.random.default_rng(1)
     b, p2, p1, d = rng.integers(0, 4, 200), rng.random(200), rng.random(200) / 10, rng.integers(1, 5, 200).astype(float)
